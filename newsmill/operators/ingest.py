@@ -139,13 +139,13 @@ def shift_segments(segments: DataFrame, durations: DataFrame, file: str = "sourc
     ``durations`` has one row per file and chunk number. The result stays one row per segment, so
     a recording of any length is never gathered in one place.
     """
-    offsets = prefix_sum(durations, [file], F.floor(col(chunk) / width), [col(chunk)], F.col("duration_s"), "_nm_offset")
-    offset = F.col("_nm_offset")
+    offsets = prefix_sum(durations, [file], F.floor(col(chunk) / width), [col(chunk)], F.col("duration_s"), "_nm_earlier")
+    offset = F.col("_nm_earlier")
 
     def moved(c: Column) -> Column:
         return F.bround(c + offset, 3)
 
-    joined = segments.join(offsets.select(file, chunk, "_nm_offset"), [file, chunk])
+    joined = segments.join(offsets.select(file, chunk, "_nm_earlier"), [file, chunk])
     shifted = joined.withColumns({"start": moved(F.col("start")), "end": moved(F.col("end"))})
     if "words" in segments.columns:
         fields = [f.name for f in segments.schema["words"].dataType.elementType.fields]
@@ -154,7 +154,7 @@ def shift_segments(segments: DataFrame, durations: DataFrame, file: str = "sourc
             return F.struct(*[(moved(w.getField(f)) if f in ("start", "end") else w.getField(f)).alias(f) for f in fields])
 
         shifted = shifted.withColumn("words", F.transform("words", word))
-    return shifted.drop("_nm_offset")
+    return shifted.drop("_nm_earlier")
 
 
 def recording_summary(chunks: DataFrame, file: str = "source_file", chunk: str = "chunk") -> DataFrame:

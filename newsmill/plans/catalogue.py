@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from newsmill.plans import (  # noqa: F401
     queries_aggregate,
+    queries_clean,
+    queries_ingest,
     queries_reshape,
+    queries_search,
     queries_select,
+    queries_stream,
 )
 from newsmill.plans.registry import CATALOGUE
 

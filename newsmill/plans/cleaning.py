@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from newsmill.columns import col, present
 from newsmill.operators import clean, dedup
 from newsmill.operators.quality import missing_report, require_valid
 from newsmill.session import cut
@@ -53,20 +56,15 @@ def clean_all(df: DataFrame, order: Sequence[str], threshold: float = 0.60, chec
 
 
 def step_counts(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Rows left after each deduplication step."""
-    from pyspark.sql import functions as F
-
-    rows = clean_rows(df)
-    steps = {"input": rows}
-    steps["equal_rows"] = dedup.distinct_rows(rows, order)
-    steps["url"] = dedup.by_url(steps["equal_rows"], order)
-    steps["title_date"] = dedup.by_title_and_date(steps["url"], order)
-    steps["id"] = dedup.by_id(steps["title_date"], order)
+    """Rows left after each deduplication step. Only the key columns are kept past the first."""
+    rows = df.transform(clean_rows).transform(clean.fill_medians, IMPUTED)
+    keys = present(df, [*order, "url", "title", *dedup.DATE_COLUMNS, *dedup.ID_COLUMNS])
+    unique = cut(dedup.distinct_rows(rows, order).select(*[col(k) for k in dict.fromkeys(keys)]))
+    by_url = dedup.by_url(unique, order)
+    by_title = dedup.by_title_and_date(by_url, order)
+    steps = {"input": rows, "equal_rows": unique, "url": by_url, "title_date": by_title, "id": dedup.by_id(by_title, order)}
     counts = [d.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("step"), "rows") for n, d in steps.items()]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    return reduce(DataFrame.unionByName, counts)
 
 
 __all__ = ["clean_all", "clean_rows", "deduplicate", "missing_report", "step_counts"]

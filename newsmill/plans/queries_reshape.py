@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsmill.functions.dates import decade
+from newsmill.functions.dates import decade, parsed
 from newsmill.operators import reshape
 from newsmill.operators import timeseries as ts
 from newsmill.plans.registry import query
@@ -114,7 +114,7 @@ def _(spark, sf):
 @query(
     "label_counts", 84,
     sql="""SELECT label, count(*) AS "count" FROM (
-      SELECT unnest(CASE WHEN p_size % 2 = 0 THEN [p_type, p_brand] ELSE list_transform(regexp_extract_all(p_name, '[A-Za-z][A-Za-z\\s&\\-]+'), x -> trim(x)) END) AS label FROM part)
+      SELECT unnest(CASE WHEN p_size % 2 = 0 THEN [p_type, p_brand] ELSE list_transform(regexp_extract_all(p_name, '[A-Za-z][A-Za-z\\s&\\-]+'), lambda x: trim(x)) END) AS label FROM part)
     GROUP BY label ORDER BY "count" DESC, label LIMIT 15""",
 )
 def _(spark, sf):
@@ -166,21 +166,19 @@ def _(spark, sf):
 @query(
     "rolling_means", 75,
     sql=f"""WITH {_series_sql('month')} SELECT analysis_date, article_count, total_estimated_value, """
-    + ", ".join(f"round(avg(total_estimated_value) OVER (ORDER BY analysis_date ROWS {w - 1} PRECEDING), 2) AS rolling_{w}_month_avg" for w in (3, 6, 12))
+    + ", ".join(f"round(avg(total_estimated_value) OVER (ORDER BY analysis_date ROWS {w - 1} PRECEDING), 4) AS rolling_{w}_month_avg" for w in (3, 6, 12))
     + " FROM series",
 )
 def _(spark, sf):
     series = ts.resample(_gappy(spark, sf), "month").drop("avg_estimated_value")
     rolled = ts.with_rolling_means(series, "total_estimated_value")
-    return rounded(rolled, 2, "total_estimated_value", *[f"rolling_{w}_month_avg" for w in (3, 6, 12)])
+    return rounded(rounded(rolled, 2, "total_estimated_value"), 4, *[f"rolling_{w}_month_avg" for w in (3, 6, 12)])
 
 
 @query("dated_articles", 95, sql="""SELECT doc_id AS record_id, TIMESTAMP '2020-01-01' + doc_id % 1000 * INTERVAL 1 DAY AS analysis_date FROM documents WHERE lang <> 'fr' UNION ALL SELECT doc_id, NULL FROM documents WHERE lang = 'fr'""")
 def _(spark, sf):
     day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("record_id") % 1000).cast("int"))
     text = F.when(F.col("language") == "fr", "no date").when(F.col("language") == "en", F.date_format(day, "dd/MM/yyyy")).otherwise(day.cast("string"))
-    from newsmill.functions.dates import parsed
-
     raw = articles(spark, sf).select("record_id", text.alias("publishedAt"))
     return raw.select("record_id", parsed(raw, "publishedAt", ["dd/MM/yyyy"]).cast("timestamp_ntz").alias("analysis_date"))
 
@@ -192,4 +190,4 @@ def _(spark, sf):
 )
 def _(spark, sf):
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("record_id"), F.col("o_orderdate").alias("published_date"))
-    return ts.with_date_parts(orders).drop("published_date")
+    return ts.with_date_parts(orders).drop("published_date", "analysis_date")

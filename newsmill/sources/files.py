@@ -89,9 +89,9 @@ def read_decoded(spark: SparkSession, path: str, fallback: str = "windows-1252")
     return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), decode_bytes(F.col("content"), fallback).alias("text"))
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def is_file(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).isFile(hadoop_path)
 
 
 def with_fallback(primary, secondary) -> DataFrame:

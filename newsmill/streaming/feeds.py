@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsmill.columns import col
+from newsmill.sources.files import is_file
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -25,7 +26,9 @@ def parquet_feed(spark: SparkSession, path: str, schema: T.StructType | None = N
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path).withColumn(time, col(time).cast("timestamp"))
+    # The stream source takes folders and patterns; a single file is named by a pattern.
+    source = f"{path[:-1]}[{path[-1]}]" if is_file(spark, path) else path
+    return reader.parquet(source).withColumn(time, col(time).cast("timestamp"))
 
 
 def window_totals(feed: DataFrame, aggregates: Sequence[Column], every: str, slide: str | None = None, groups: Sequence[str] = (), time: str = "ts", lateness: str = "1 day") -> DataFrame:
