@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -222,15 +223,33 @@ def search_text(parts: dict[str, Column]) -> Column:
     return F.when(line == "", F.lit("Unknown news document")).otherwise(line)
 
 
-def decode_bytes(content: Column, fallback: str = "windows-1252") -> Column:
+# Charsets that Spark decodes itself.
+JVM_CHARSETS = ["us-ascii", "iso-8859-1", "utf-8", "utf-16", "utf-16be", "utf-16le", "utf-32"]
+
+
+def decode_as(content: Column, charset: str) -> Column:
+    """Bytes in a known charset; charsets that Spark lacks go through an Arrow-batched function,
+    where bad bytes become the replacement character."""
+    if charset.lower() in JVM_CHARSETS:
+        return F.decode(content, charset)
+
+    @F.pandas_udf("string")
+    def decoded(values: pd.Series) -> pd.Series:
+        return values.map(lambda b: None if b is None else bytes(b).decode(charset, "replace"))
+
+    return decoded(content)
+
+
+def decode_bytes(content: Column, fallback: str = "iso-8859-1") -> Column:
     """Bytes to text: a byte-order mark decides, then valid UTF-8, then the given charset.
-    Bad UTF-8 sequences after a mark become the replacement character."""
+    Bad UTF-8 sequences after a mark become the replacement character, a cut last unit is left out."""
     head = F.hex(F.substring(content, 1, 3))
     as_text = content.cast("string")
+    units = F.substring(content, F.lit(3), (F.octet_length(content) / 2).cast("int") * 2 - 2)
     return (
         F.when(head == "EFBBBF", F.make_valid_utf8(F.substring(content, 4, 2**31 - 1).cast("string")))
-        .when(head.startswith("FFFE"), F.decode(F.substring(content, 3, 2**31 - 1), "UTF-16LE"))
-        .when(head.startswith("FEFF"), F.decode(F.substring(content, 3, 2**31 - 1), "UTF-16BE"))
+        .when(head.startswith("FFFE"), F.decode(units, "UTF-16LE"))
+        .when(head.startswith("FEFF"), F.decode(units, "UTF-16BE"))
         .when(F.is_valid_utf8(as_text), as_text)
-        .otherwise(F.decode(content, fallback))
+        .otherwise(decode_as(content, fallback))
     )

@@ -83,7 +83,7 @@ def read_whole_texts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
 
 
-def read_decoded(spark: SparkSession, path: str, fallback: str = "windows-1252") -> DataFrame:
+def read_decoded(spark: SparkSession, path: str, fallback: str = "iso-8859-1") -> DataFrame:
     """One row per file, decoded by byte-order mark, as UTF-8 where valid, else by ``fallback``."""
     files = spark.read.format("binaryFile").load(path)
     return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), decode_bytes(F.col("content"), fallback).alias("text"))

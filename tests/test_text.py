@@ -75,6 +75,11 @@ def test_bytes(spark):
     assert apply(spark, values, tx.decode_bytes, "binary") == ["hi", "hé", "hé", "hé", "a�", ""]
 
 
+def test_other_charsets_and_cut_units(spark):
+    values = ["Łódź €".encode("cp1250"), "ok".encode(), b"\xff\xfeh\x00x", None]
+    assert apply(spark, values, lambda c: tx.decode_bytes(c, "cp1250"), "binary") == ["Łódź €", "ok", "h", None]
+
+
 def test_search_text(spark):
     df = spark.createDataFrame([(" T ", "", "D", "c", "c"), (None, None, None, None, "g"), (None, None, None, " ", None)], "title string, overview string, description string, category string, genres string")
     from newsmill.operators.search import searchable_text
