@@ -20,15 +20,15 @@ from newsmill.session import table
     sql=f"""WITH {MEASURED_SQL} SELECT primary_category, count(record_id) AS article_count, round(avg(rating_score), 4) AS avg_rating_score,
       median(rating_score) AS median_rating_score, round(sum(estimated_value), 2) AS total_estimated_value,
       round(avg(estimated_value), 4) AS avg_estimated_value, round(median(estimated_value), 4) AS median_estimated_value,
-      max(estimated_value) AS max_estimated_value, round(sum(engagement_score), 4) AS total_engagement_score,
+      max(estimated_value) AS max_estimated_value, round(sum(engagement_score), 6) AS total_engagement_score,
       round(avg(engagement_score), 6) AS avg_engagement_score, round(avg(popularity), 6) AS avg_popularity,
       CAST(sum(content_length) AS BIGINT) AS total_content_length, median(content_length) AS median_content_length
     FROM measured GROUP BY primary_category""",
 )
 def _(spark, sf):
     out = agg.category_summary(measured(spark, sf))
-    out = rounded(out, 4, "avg_rating_score", "avg_estimated_value", "median_estimated_value", "total_engagement_score")
-    return rounded(rounded(out, 2, "total_estimated_value"), 6, "avg_engagement_score", "avg_popularity")
+    out = rounded(out, 4, "avg_rating_score", "avg_estimated_value", "median_estimated_value")
+    return rounded(rounded(out, 2, "total_estimated_value"), 6, "total_engagement_score", "avg_engagement_score", "avg_popularity")
 
 
 @query(

@@ -130,12 +130,12 @@ def _(spark, sf):
     return reshape.label_counts(events.select(named.alias("genres")), top=None)
 
 
-def _series_sql(unit: str, extra: str = "") -> str:
+def _series_sql(unit: str, extra: str = "", total: str = "round(sum(v), 2)") -> str:
     months = {"month": 1, "quarter": 3, "year": 12}[unit]
     median = ", round(median(v), 4) AS median_estimated_value" if extra else ""
     keep = ", median_estimated_value" if extra else ""
-    return f"""r AS (SELECT date_trunc('{unit}', o_orderdate)::DATE AS p, o_totalprice AS v FROM orders WHERE o_orderstatus = 'F' AND month(o_orderdate) NOT IN (4, 5, 6)),
-    t AS (SELECT p, count(*) AS c, round(sum(v), 2) AS total_estimated_value, round(avg(v), 4) AS avg_estimated_value{median} FROM r GROUP BY p),
+    return f"""r AS (SELECT date_trunc('{unit}', o_orderdate)::DATE AS p, o_totalprice / 997 AS v FROM orders WHERE o_orderstatus = 'F' AND month(o_orderdate) NOT IN (4, 5, 6)),
+    t AS (SELECT p, count(*) AS c, {total} AS total_estimated_value, round(avg(v), 4) AS avg_estimated_value{median} FROM r GROUP BY p),
     spine AS (SELECT unnest(generate_series((SELECT min(p) FROM r)::TIMESTAMP, (SELECT max(p) FROM r)::TIMESTAMP, INTERVAL {months} MONTH))::DATE AS p),
     series AS (SELECT last_day((p + INTERVAL {months - 1} MONTH)::DATE) AS analysis_date, coalesce(c, 0) AS article_count,
       coalesce(total_estimated_value, 0) AS total_estimated_value, avg_estimated_value{keep} FROM spine LEFT JOIN t USING (p))"""
@@ -165,7 +165,7 @@ def _(spark, sf):
 
 @query(
     "rolling_means", 75,
-    sql=f"""WITH {_series_sql('month')} SELECT analysis_date, article_count, total_estimated_value, """
+    sql=f"""WITH {_series_sql('month', total='sum(v)')} SELECT analysis_date, article_count, round(total_estimated_value, 2) AS total_estimated_value, """
     + ", ".join(f"round(avg(total_estimated_value) OVER (ORDER BY analysis_date ROWS {w - 1} PRECEDING), 4) AS rolling_{w}_month_avg" for w in (3, 6, 12))
     + " FROM series",
 )

@@ -1,4 +1,8 @@
-"""The standard tables seen as articles, dated articles and measured articles, each with its SQL."""
+"""The standard tables seen as articles, dated articles and measured articles, each with its SQL.
+
+Prices are divided by 997, so that no mean of them ends on a rounding tie: two engines add doubles
+in different orders, and a tie would show the last bit.
+"""
 
 from __future__ import annotations
 
@@ -23,13 +27,13 @@ RATED_SQL = """rated AS (
 DATED_SQL = """dated AS (
   SELECT o_orderkey AS record_id, 'Order ' || o_orderkey AS title, o_orderpriority AS primary_category,
          o_orderstatus AS document_type, o_orderdate AS published_date, CAST(year(o_orderdate) AS INTEGER) AS analysis_year,
-         o_totalprice / 50000 AS rating_score, o_totalprice AS estimated_value, o_totalprice / 100 AS engagement_score,
+         o_totalprice / 50000 AS rating_score, o_totalprice / 997 AS estimated_value, o_totalprice / 99700 AS engagement_score,
          CAST(o_custkey AS DOUBLE) AS popularity, o_custkey AS content_length
   FROM orders)"""
 
 MEASURED_SQL = """measured AS (
   SELECT l_orderkey AS record_id, l_returnflag AS primary_category, l_linestatus AS document_type, l_quantity AS rating_score,
-         l_discount AS popularity, l_linenumber AS content_length, l_tax AS engagement_score, l_extendedprice AS estimated_value
+         l_discount AS popularity, l_linenumber AS content_length, l_tax / 997 AS engagement_score, l_extendedprice / 997 AS estimated_value
   FROM lineitem)"""
 
 # Literals for the SQL side: trimmed characters, and the same set inside a character class.
@@ -71,8 +75,8 @@ def dated(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderdate").alias("published_date"),
         F.year("o_orderdate").alias("analysis_year"),
         (F.col("o_totalprice") / 50000).alias("rating_score"),
-        F.col("o_totalprice").alias("estimated_value"),
-        (F.col("o_totalprice") / 100).alias("engagement_score"),
+        (F.col("o_totalprice") / 997).alias("estimated_value"),
+        (F.col("o_totalprice") / 99700).alias("engagement_score"),
         F.col("o_custkey").cast("double").alias("popularity"),
         F.col("o_custkey").alias("content_length"),
     )
@@ -86,8 +90,8 @@ def measured(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_quantity").alias("rating_score"),
         F.col("l_discount").alias("popularity"),
         F.col("l_linenumber").alias("content_length"),
-        F.col("l_tax").alias("engagement_score"),
-        F.col("l_extendedprice").alias("estimated_value"),
+        (F.col("l_tax") / 997).alias("engagement_score"),
+        (F.col("l_extendedprice") / 997).alias("estimated_value"),
     )
 
 
