@@ -84,7 +84,10 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({n: F.nanvl(col(n), F.lit(None).cast(df.schema[n].dataType)) for n in floating})
 
 
-def stack(df_keys: Sequence[str], entries: Sequence[tuple[str, Column]], key: str, value: str, cast: str) -> list[Column]:
-    """Columns of a wide-to-long projection: the keys, then one row per entry."""
-    structs = [F.struct(F.lit(n).alias(key), c.cast(cast).alias(value)) for n, c in entries]
-    return [*[col(k) for k in df_keys], F.inline(F.array(*structs))]
+def tall(df: DataFrame, keys: Sequence[str], entries: Sequence[tuple[str, Column]], key: str, value: str, cast: str) -> DataFrame:
+    """Wide to long: the keys, then one row per entry with its name and its value. NULLs stay."""
+    names = [n for n, _ in entries]
+    if set(names) & set(keys):
+        raise ValueError(f"columns are both key and value: {set(names) & set(keys)}")
+    wide = df.select(*[col(k) for k in keys], *[c.cast(cast).alias(n) for n, c in entries])
+    return wide.unpivot([col(k) for k in keys], [col(n) for n in names], key, value)

@@ -1,7 +1,8 @@
 r"""Text functions.
 
-White space and word characters follow the Unicode rules of the data's producer: the classes
-below are spelled out because ``\s``, ``\w`` and ``\b`` are ASCII-only in Java patterns.
+White space and word characters follow the Unicode rules of the data's producer. In Java patterns
+``\s`` does so only under the ``(?U)`` flag; ``\w`` and ``\b`` differ in detail even then, so word
+characters are spelled out.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 WHITE = "".join(
     map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 )
-WS = r"\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+WS = r"\s\x1C-\x1F"  # inside a character class of a pattern with the (?U) flag
 WORD = r"\p{L}\p{N}_"
 WORD_START = rf"(?<![{WORD}])"
 WORD_END = rf"(?![{WORD}])"
@@ -61,7 +62,7 @@ def non_blank(c: Column) -> Column:
 
 
 def collapse(c: Column) -> Column:
-    return F.regexp_replace(c, f"[{WS}]+", " ")
+    return F.regexp_replace(c, f"(?U)[{WS}]+", " ")
 
 
 def fill(c: Column, default: str) -> Column:
@@ -98,7 +99,7 @@ def clean_body(c: Column) -> Column:
 
 def clean_label(c: Column) -> Column:
     label = collapse(F.lower(strip(F.coalesce(c, F.lit(UNKNOWN)))))
-    spaced = F.regexp_replace(label, f"[{WS}]*,[{WS}]*", ", ")
+    spaced = F.regexp_replace(label, f"(?U)[{WS}]*,[{WS}]*", ", ")
     return F.when(spaced.isin(NULL_LABELS), UNKNOWN).otherwise(spaced)
 
 
@@ -150,7 +151,7 @@ def valid_id(c: Column) -> Column:
 
 
 def valid_url(c: Column) -> Column:
-    pattern = rf"(?i)^https?://[^{WS}/$.?#][^\n][^{WS}]*$"
+    pattern = rf"(?iU)^https?://[^{WS}/$.?#][^\n][^{WS}]*$"
     return F.coalesce(strip(c.cast("string")).rlike(pattern), F.lit(False))
 
 
@@ -185,9 +186,9 @@ def parse_labels(c: Column) -> Column:
     def kept(parts: Column) -> Column:
         return F.filter(parts, lambda p: p != "")
 
-    names = F.regexp_extract_all(value, F.lit(rf'"name"[{WS}]*:[{WS}]*"([^"]+)"'), F.lit(1))
+    names = F.regexp_extract_all(value, F.lit(rf'(?U)"name"[{WS}]*:[{WS}]*"([^"]+)"'), F.lit(1))
     pieces = F.transform(F.split(value, ","), lambda p: F.btrim(p, F.lit(" []'\"")))
-    runs = kept(F.transform(F.regexp_extract_all(value, F.lit(rf"[A-Za-z][A-Za-z{WS}&\-]+"), F.lit(0)), strip))
+    runs = kept(F.transform(F.regexp_extract_all(value, F.lit(rf"(?U)[A-Za-z][A-Za-z{WS}&\-]+"), F.lit(0)), strip))
     none = F.array().cast("array<string>")
     return (
         F.when(is_blank(value), none)

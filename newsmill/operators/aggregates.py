@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsmill.columns import col, first_present, number, number_or_zero, numeric_columns, present, stack, text_columns
+from newsmill.columns import col, first_present, number, number_or_zero, numeric_columns, present, tall, text_columns
 from newsmill.columns import text as as_text
 from newsmill.functions import text as tx
 from newsmill.functions.numbers import clip, half_even
@@ -174,7 +174,7 @@ def kpi_row(df: DataFrame) -> DataFrame:
 def value_counts(df: DataFrame, names: Sequence[str], top: int = 15) -> DataFrame:
     """The ``top`` values of each column with its distinct count, all columns in one pass.
     NULL is a value in the counts but not in the distinct count."""
-    counts = df.select(*stack([], [(n, as_text(df, n)) for n in names], "column", "value", "string"))
+    counts = tall(df, [], [(n, as_text(df, n)) for n in names], "column", "value", "string")
     counts = counts.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
     distinct = counts.groupBy("column").agg(F.count("value").alias("nunique"))
     best = Window.partitionBy("column").orderBy(F.desc("count"), F.asc_nulls_last("value"))
@@ -190,14 +190,14 @@ def distinct_counts(df: DataFrame, names: Sequence[str] | None = None, relative_
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     if relative_error is not None:
         one = df.agg(*[F.approx_count_distinct(col(n), relative_error).alias(n) for n in names])
-        tall = one.select(*stack([], [(n, col(n)) for n in names], "column", "nunique", "bigint"))
+        found = tall(one, [], [(n, col(n)) for n in names], "column", "nunique", "bigint")
     else:
-        values = df.select(*stack([], [(n, as_text(df, n)) for n in names], "column", "value", "string"))
-        found = values.where("value IS NOT NULL").distinct().groupBy("column").agg(F.count(F.lit(1)).alias("nunique"))
+        values = tall(df, [], [(n, as_text(df, n)) for n in names], "column", "value", "string")
+        some = values.where("value IS NOT NULL").distinct().groupBy("column").agg(F.count(F.lit(1)).alias("nunique"))
         every = df.sparkSession.createDataFrame([(n,) for n in names], "column string")
-        tall = every.join(found, "column", "left").fillna(0, ["nunique"])
+        found = every.join(some, "column", "left").fillna(0, ["nunique"])
     dtype = F.create_map(*[F.lit(x) for n in names for x in (n, types[n])])[F.col("column")]
-    return tall.select("column", "nunique", dtype.alias("dtype")).orderBy(F.desc("nunique"), "column")
+    return found.select("column", "nunique", dtype.alias("dtype")).orderBy(F.desc("nunique"), "column")
 
 
 def describe_numbers(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
@@ -216,8 +216,8 @@ def describe_numbers(df: DataFrame, names: Sequence[str] | None = None) -> DataF
         for i, n in enumerate(names)
     ]
     quartiles = exact_quantiles(df, names, QUARTILES).select("column", "q1", "median", "q3")
-    tall = one.select(F.inline(F.array(*rows)))
-    return tall.join(quartiles, "column", "left").select("column", "count", "mean", "std", "min", "q1", "median", "q3", "max")
+    moments = one.select(F.inline(F.array(*rows)))
+    return moments.join(quartiles, "column", "left").select("column", "count", "mean", "std", "min", "q1", "median", "q3", "max")
 
 
 def describe_all(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
@@ -230,7 +230,7 @@ def describe_all(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame
     if numbers:
         parts.append(describe_numbers(df, numbers))
     if texts:
-        counts = df.select(*stack([], [(n, col(n)) for n in texts], "column", "value", "string"))
+        counts = tall(df, [], [(n, col(n)) for n in texts], "column", "value", "string")
         counts = counts.where("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
         best = F.struct((-F.col("c")).alias("neg"), F.col("value"))
         parts.append(

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsmill.columns import col, number, stack
+from newsmill.columns import col, number, tall
 
 # Value ranges per unit of log1p: a range spans 0.02 % of its value.
 RESOLUTION = 4096
@@ -30,7 +30,7 @@ def _rank(p: float, total: Column) -> Column:
 def long_values(df: DataFrame, values: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
     """One row per non-NULL value: the groups, ``column`` and ``value`` (double)."""
     entries = [(v, number(df, v)) for v in values]
-    return df.select(*stack(groups, entries, "column", "value", "double")).where(F.col("value").isNotNull())
+    return tall(df, groups, entries, "column", "value", "double").where(F.col("value").isNotNull())
 
 
 def exact_quantiles(df: DataFrame, values: Sequence[str], probs: Mapping[str, float], groups: Sequence[str] = ()) -> DataFrame:
@@ -90,6 +90,6 @@ def exact_quantiles(df: DataFrame, values: Sequence[str], probs: Mapping[str, fl
 
 def medians(df: DataFrame, values: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
     """One row per group with a ``median_<column>`` for each value column."""
-    tall = exact_quantiles(df, values, {"median": 0.5}, groups)
+    found = exact_quantiles(df, values, {"median": 0.5}, groups)
     picked = [F.max(F.when(F.col("column") == v, F.col("median"))).alias(f"median_{v}") for v in values]
-    return tall.groupBy(*[col(g) for g in groups]).agg(*picked) if groups else tall.agg(*picked)
+    return found.groupBy(*[col(g) for g in groups]).agg(*picked) if groups else found.agg(*picked)

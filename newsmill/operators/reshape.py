@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsmill.columns import col, first_present, number, present, stack
+from newsmill.columns import col, first_present, number, present, tall
 from newsmill.functions import text as tx
 
 MAX_PIVOT_COLUMNS = 1_000
@@ -21,7 +21,7 @@ LABEL_COLUMNS = ["category", "genres", "document_type", "source_name", "source_p
 
 def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str], key: str = "metric", value: str = "value") -> DataFrame:
     """One row per id and measure; NULL measures stay."""
-    return df.select(*stack(ids, [(v, number(df, v)) for v in values], key, value, "double"))
+    return tall(df, ids, [(v, number(df, v)) for v in values], key, value, "double")
 
 
 def melt_metrics(df: DataFrame, ids: Sequence[str] | None = None, values: Sequence[str] | None = None) -> DataFrame:

@@ -19,6 +19,12 @@ def test_white_space_is_that_of_the_producer():
     assert {chr(i) for i in range(0x3100) if chr(i).isspace()} == set(tx.WHITE)
 
 
+def test_every_white_character_collapses(spark):
+    values = [f"a{c}b" for c in tx.WHITE] + ["a\u200bb", "a\x00b"]
+    found = apply(spark, values, tx.collapse)
+    assert found == ["a b"] * len(tx.WHITE) + ["a\u200bb", "a\x00b"]
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(alphabet="a é1(2026)\t\n  \x1f_-", max_size=20), min_size=20, max_size=20))
 def test_text_rules_against_plain_python(spark, values):
