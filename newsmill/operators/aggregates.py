@@ -13,6 +13,7 @@ from newsmill.columns import text as as_text
 from newsmill.functions import text as tx
 from newsmill.functions.numbers import clip, half_even
 from newsmill.operators.quantiles import exact_quantiles, medians
+from newsmill.session import broadcast_if_small, cut
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -98,7 +99,11 @@ def _first_value(df: DataFrame, names: Sequence[str]) -> Column:
 
 def store_category_groups(df: DataFrame, order: str) -> DataFrame:
     """Records, titles, texts and document types per category; the sample source is that of the
-    first record by ``order``."""
+    first record by ``order``, a column of unique numbers.
+
+    Only the number of the first record is aggregated: a text in the aggregate would make Spark
+    sort the whole input. Its source is looked up afterwards.
+    """
     staged = df.select(
         _first_value(df, ["category", "document_type"]).alias("category"),
         _first_value(df, ["document_type"]).alias("_type"),
@@ -107,17 +112,17 @@ def store_category_groups(df: DataFrame, order: str) -> DataFrame:
         _any_text(df, ["text", "raw_text", "processed_text", "preview_text"]).alias("_texted"),
         col(order).alias("_order"),
     )
-    return (
-        staged.groupBy("category")
-        .agg(
+    groups = broadcast_if_small(
+        staged.groupBy("category").agg(
             F.count(F.lit(1)).alias("record_count"),
             F.count_if("_titled").alias("titles_available"),
             F.count_if("_texted").alias("text_records_available"),
             F.count_distinct("_type").alias("unique_document_type_count"),
-            F.min_by("_source", "_order").alias("sample_source"),
+            F.min("_order").alias("_order"),
         )
-        .orderBy(F.desc("record_count"), "category")
     )
+    sources = staged.select("_order", F.col("_source").alias("sample_source"))
+    return sources.join(groups, "_order").drop("_order").orderBy(F.desc("record_count"), "category")
 
 
 def store_type_groups(df: DataFrame) -> DataFrame:
@@ -328,10 +333,11 @@ def top_values(df: DataFrame, column: str, top: int) -> DataFrame:
 
 
 def in_top_groups(df: DataFrame, column: str, top: int) -> DataFrame:
-    """Rows of the ``top`` most frequent labels, the label tidied."""
+    """Rows of the ``top`` most frequent labels, the label tidied. The labels, at most ``top`` of
+    them, are read once and become constants of the plan."""
+    labels = [r[0] for r in top_values(df, column, top).select(column).collect()]
     tidy = df.withColumn(column, tx.fill(as_text(df, column), tx.UNKNOWN))
-    # At most ``top`` rows.
-    return tidy.join(F.broadcast(top_values(df, column, top).select(column)), column, "left_semi")
+    return tidy.where(col(column).isin(labels))
 
 
 def box_numbers(df: DataFrame, value: str, group: str, top: int = 8) -> DataFrame:
@@ -340,8 +346,8 @@ def box_numbers(df: DataFrame, value: str, group: str, top: int = 8) -> DataFram
     rows = in_top_groups(df, group, top).select(col(group), number(df, value).cast("double").alias("_v")).where("_v IS NOT NULL")
     box = exact_quantiles(rows, ["_v"], QUARTILES, [group]).drop("column")
     iqr = F.col("q3") - F.col("q1")
-    box = box.withColumns({"low_fence": F.col("q1") - 1.5 * iqr, "high_fence": F.col("q3") + 1.5 * iqr})
-    # At most ``top`` rows.
+    # At most ``top`` rows, used twice.
+    box = cut(box.withColumns({"low_fence": F.col("q1") - 1.5 * iqr, "high_fence": F.col("q3") + 1.5 * iqr}))
     joined = rows.join(F.broadcast(box), group)
     inside = F.col("_v").between(F.col("low_fence"), F.col("high_fence"))
     spread = joined.groupBy(group).agg(

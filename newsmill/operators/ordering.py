@@ -47,17 +47,13 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequen
     )
 
 
-def range_bucket(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def range_bucket(df: DataFrame, order_col: str, buckets: int) -> DataFrame:
     """Adds ``_nm_range``, which cuts a unique numeric order key into ranges of similar size.
 
     The cut points are read once and become constants of the plan, so that a recomputed task
     places its rows exactly as the lost one did.
     """
     key = col(order_col).cast("double")
-    rows = df.select(F.count(key)).first()[0]
-    buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
-    if buckets < 2:
-        return df.withColumn("_nm_range", F.lit(0).cast("bigint"))
     keyed = df.withColumn("_nm_key", key)
     cuts = keyed.approxQuantile("_nm_key", [i / buckets for i in range(1, buckets)], 0.25 / buckets)
     splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
@@ -67,7 +63,12 @@ def range_bucket(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS_PER_
 
 def position(df: DataFrame, order_col: str, out: str = "position", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Adds the 0-based position of each row over the whole frame, by a unique numeric key."""
-    ranged = range_bucket(df, order_col, rows_per_bucket)
+    rows = df.select(F.count(col(order_col))).first()[0]
+    buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
+    if buckets < 2:
+        # Counted: the whole frame is no larger than one range.
+        return df.withColumn(out, (F.row_number().over(Window.orderBy(col(order_col))) - 1).cast("bigint"))
+    ranged = range_bucket(df, order_col, buckets)
     placed = prefix_sum(ranged, [], F.col("_nm_range"), [col(order_col)], F.lit(1).cast("bigint"), out)
     return placed.drop("_nm_range")
 

@@ -13,6 +13,7 @@ from newsmill.functions import dates
 from newsmill.functions import text as tx
 from newsmill.functions.numbers import half_even, severity, share
 from newsmill.operators.quantiles import exact_quantiles, long_values
+from newsmill.session import cut
 
 # The checked columns, ranges and issue texts.
 ZERO_COLUMNS = ["mentions", "sentiment_score", "rating_score", "content_length", "title_length", "popularity", "vote_average", "vote_count"]
@@ -100,8 +101,8 @@ def outlier_report(df: DataFrame, names: Sequence[str] | None = None) -> DataFra
     names = list(names or numeric_columns(df))
     q = exact_quantiles(df, names, {"q1": 0.25, "q3": 0.75}).where("q3 <> q1")
     iqr = F.col("q3") - F.col("q1")
-    bounds = q.withColumns({"iqr": iqr, "lower_bound": F.col("q1") - 1.5 * iqr, "upper_bound": F.col("q3") + 1.5 * iqr})
-    # One row per named column.
+    # One row per named column, used twice.
+    bounds = cut(q.withColumns({"iqr": iqr, "lower_bound": F.col("q1") - 1.5 * iqr, "upper_bound": F.col("q3") + 1.5 * iqr}))
     tagged = long_values(df, names).join(F.broadcast(bounds), "column")
     hits = tagged.groupBy("column").agg(
         F.count_if((F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))).alias("outliers")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsmill.columns import col, first_present, number, present, tall
 from newsmill.functions import text as tx
+from newsmill.session import cut
 
 MAX_PIVOT_COLUMNS = 1_000
 ALL = "All"
@@ -97,6 +98,8 @@ def crosstab(df: DataFrame, index: str, column: str, normalize: str | None = Non
     if normalize == "index":
         kept = names[:-1]
         return wide.select(col(index), *[F.try_divide(col(n), col(ALL)).alias(n) for n in kept])
+    # The margins are read from the counted table, not counted again.
+    wide = cut(wide)
     margin = wide.where(col(index) == ALL)
     if normalize == "columns":
         return wide.where(col(index) != ALL).select(

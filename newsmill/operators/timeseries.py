@@ -54,7 +54,7 @@ def resample(
     if with_median:
         totals = totals.join(medians(valued, ["_value"], ["_period"]).withColumnRenamed("median__value", f"median_{value}"), "_period")
     step = F.expr(f"INTERVAL {months} MONTH")
-    spine = totals.agg(F.min("_period").alias("a"), F.max("_period").alias("b")).where("a IS NOT NULL")
+    spine = valued.agg(F.min("_period").alias("a"), F.max("_period").alias("b")).where("a IS NOT NULL")
     spine = spine.select(F.explode(F.sequence("a", "b", step)).alias("_period"))
     filled = spine.join(totals, "_period", "left").fillna(0, ["article_count", f"total_{value}"])
     label = F.last_day(F.add_months("_period", months - 1)).alias(date)
