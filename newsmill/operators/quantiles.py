@@ -1,8 +1,8 @@
 """Exact quantiles with linear interpolation.
 
 The built-in exact percentile keeps every distinct value of a group in one task's memory. Here the
-values are counted first, cut into ordered value ranges, and only the ranges that hold a wanted
-rank are sorted. A task never holds more than one value range of one group.
+values are cut into ordered ranges, and only the ranges that hold a wanted rank are counted value by
+value and sorted. A task never holds more than one value range of one group.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsmill.columns import col, number, tall
+from newsmill.session import broadcast_if_small
 
 # Value ranges per unit of log1p: a range spans 0.02 % of its value.
 RESOLUTION = 4096
@@ -35,24 +36,21 @@ def long_values(df: DataFrame, values: Sequence[str], groups: Sequence[str] = ()
 
 def exact_quantiles(df: DataFrame, values: Sequence[str], probs: Mapping[str, float], groups: Sequence[str] = ()) -> DataFrame:
     """One row per group and value column: the groups, ``column``, ``n`` and one column per
-    entry of ``probs``. NULL values do not count, and NULL groups give no row."""
+    entry of ``probs``. NULL values do not count, and NULL groups give no row.
+
+    The input is read twice and hardly shuffled. The first pass counts the rows per value range,
+    which shows the ranges that hold a wanted rank; the second keeps only the values in those.
+    """
     keys = [*groups, "column"]
     ks = [col(k) for k in keys]
     source = df.where(" AND ".join(f"`{g}` IS NOT NULL" for g in groups)) if groups else df
-    counted = (
-        long_values(source, values, groups)
-        .groupBy(*ks, "value")
-        .agg(F.count(F.lit(1)).alias("_nm_c"))
-        .withColumn("_nm_b", value_range(F.col("value")))
-        # The join below implies this filter; stated here, both uses share one shuffle.
-        .where(F.col("_nm_b").isNotNull())
-    )
+    ranged = long_values(source, values, groups).withColumn("_nm_b", value_range(F.col("value")))
 
     per_group = Window.partitionBy(*ks)
     up_to = per_group.orderBy("_nm_b").rowsBetween(Window.unboundedPreceding, 0)
     ranges = (
-        counted.groupBy(*ks, "_nm_b")
-        .agg(F.sum("_nm_c").alias("_nm_c"))
+        ranged.groupBy(*ks, "_nm_b")
+        .agg(F.count(F.lit(1)).alias("_nm_c"))
         .withColumns({"_nm_after": F.sum("_nm_c").over(up_to), "n": F.sum("_nm_c").over(per_group)})
         .withColumn("_nm_before", F.col("_nm_after") - F.col("_nm_c"))
     )
@@ -64,11 +62,14 @@ def exact_quantiles(df: DataFrame, values: Sequence[str], probs: Mapping[str, fl
     for p in probs.values():
         for edge in (F.floor, F.ceil):
             wanted = wanted | holds(edge(_rank(p, F.col("n"))), F.col("_nm_before"), F.col("_nm_after"))
-    wanted_ranges = ranges.where(wanted).select(*ks, "_nm_b", "_nm_before", "n")
+    wanted_ranges = broadcast_if_small(ranges.where(wanted).select(*ks, "_nm_b", "_nm_before", "n"))
 
     in_range = Window.partitionBy(*ks, "_nm_b").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.join(wanted_ranges, [*keys, "_nm_b"]).withColumn(
-        "_nm_after", F.col("_nm_before") + F.sum("_nm_c").over(in_range)
+    ranked = (
+        ranged.join(wanted_ranges, [*keys, "_nm_b"])
+        .groupBy(*ks, "_nm_b", "_nm_before", "n", "value")
+        .agg(F.count(F.lit(1)).alias("_nm_c"))
+        .withColumn("_nm_after", F.col("_nm_before") + F.sum("_nm_c").over(in_range))
     )
 
     before, after = F.col("_nm_after") - F.col("_nm_c"), F.col("_nm_after")

@@ -25,6 +25,7 @@ def build_session(app: str = "newsmill", master: str | None = None, **conf: obje
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     defaults.update({k: str(v) for k, v in conf.items()})
     for key, value in defaults.items():

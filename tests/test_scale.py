@@ -43,6 +43,15 @@ def test_quantiles_of_any_numbers(spark, values):
         assert found[0][name] == pytest.approx(np.quantile(known, p), rel=1e-9, abs=1e-12)
 
 
+def test_quantiles_beyond_the_broadcast_bound(spark, monkeypatch):
+    from newsmill.operators import quantiles
+
+    rows, df = skewed(spark)
+    monkeypatch.setattr(quantiles, "broadcast_if_small", lambda d: broadcast_if_small(d, 1))
+    found = {r["g"]: r["median"] for r in quantiles.exact_quantiles(df, ["v"], {"median": 0.5}, ["g"]).collect()}
+    assert found["hot"] == np.median([r[2] for r in rows if r[1] == "hot"])
+
+
 def test_value_ranges_rise_with_the_value(spark):
     values = sorted([-1e18, -3.5, -1.0, -1e-3, 0.0, 1e-3, 0.5, 1.0, 1.0000001, 1e6, 1e6 + 1, 1e18])
     df = spark.createDataFrame([(v,) for v in values], "v double")
