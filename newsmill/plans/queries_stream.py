@@ -15,7 +15,7 @@ def _feed(spark, sf):
 
 
 def _ntz(df, *names):
-    return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in names})
+    return df.withColumns({n: feeds.utc_time(F.col(n)) for n in names})
 
 
 @query(

@@ -21,14 +21,23 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 def parquet_feed(spark: SparkSession, path: str, schema: T.StructType | None = None, time: str = "ts", files_per_trigger: int | None = None) -> DataFrame:
-    """New Parquet files as a stream; the event time becomes a TIMESTAMP, which watermarks need."""
+    """New Parquet files as a stream. The event time becomes a TIMESTAMP, which watermarks need; a
+    time stored without a zone is read as UTC, whatever the session's zone."""
     schema = schema or spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     # The stream source takes folders and patterns; a single file is named by a pattern.
     source = f"{path[:-1]}[{path[-1]}]" if is_file(spark, path) else path
-    return reader.parquet(source).withColumn(time, col(time).cast("timestamp"))
+    stamp = col(time).cast("timestamp")
+    if isinstance(schema[time].dataType, T.TimestampNTZType):
+        stamp = F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), col(time)))
+    return reader.parquet(source).withColumn(time, stamp)
+
+
+def utc_time(stamp: Column) -> Column:
+    """A TIMESTAMP as a time without a zone, in UTC."""
+    return F.convert_timezone(None, F.lit("UTC"), stamp.cast("timestamp_ntz"))
 
 
 def window_totals(feed: DataFrame, aggregates: Sequence[Column], every: str, slide: str | None = None, groups: Sequence[str] = (), time: str = "ts", lateness: str = "1 day") -> DataFrame:
