@@ -78,6 +78,11 @@ def text(df: DataFrame, name: str) -> Column:
     return col(name) if isinstance(dtype, T.StringType) else col(name).cast("string")
 
 
+def with_id(df: DataFrame, name: str = "record_id") -> DataFrame:
+    """Rows without an id column get a hash of the whole row: it needs no counter and no order."""
+    return df if name in df.columns else df.withColumn(name, F.xxhash64(*[text(df, n) for n in df.columns]))
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Missing values are NULL and nothing else: call once, right after a load."""
     floating = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsmill.columns import col, first_present, number, number_or_zero, present
+from newsmill.columns import col, first_present, number, number_or_zero, present, with_id
 from newsmill.columns import text as as_text
 from newsmill.functions import dates
 from newsmill.functions import text as tx
@@ -227,7 +227,7 @@ def with_published_year(df: DataFrame) -> DataFrame:
 def article_metrics(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """The typed metrics table: header-like rows, blank titles and rows without an id are gone,
     the first row per id stays, scores are derived from rating, popularity and length."""
-    df = without_header_rows(df, present(df, ["record_id", "title"]))
+    df = with_id(without_header_rows(df, present(df, ["record_id", "title"])))
     category = first_present(df, CATEGORY_COLUMNS[:3])
 
     def label(name: str | None, default: str) -> Column:

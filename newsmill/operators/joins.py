@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsmill.columns import col, number, present
+from newsmill.columns import col, number, present, with_id
 from newsmill.columns import text as as_text
 from newsmill.operators.ordering import keep_first
 from newsmill.session import broadcast_if_small
@@ -68,6 +68,7 @@ def join_counts(left: DataFrame, right: DataFrame, on: str = "record_id") -> Dat
 
 def metadata_side(df: DataFrame, order: Sequence[str], on: str = "record_id") -> DataFrame:
     """The descriptive columns, first row per whole-number id."""
+    df = with_id(df, on)
     names = present(df, METADATA_COLUMNS)
     keyed = _keyed(df, on)
     first = keep_first(keyed, [col(on)], [col(o) for o in order])

@@ -11,7 +11,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsmill.columns import col
+from newsmill.columns import col, number_or_zero, require
 
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 10_000
@@ -27,6 +27,16 @@ def keep_first(df: DataFrame, keys: Sequence[Column], order: Sequence[Column], n
     return df.withColumn("_nm_rank", F.row_number().over(w)).where(F.col("_nm_rank") <= n).drop("_nm_rank")
 
 
+def top_per_group(
+    df: DataFrame, group: str, value: str, key: str, n: int = 3, ascending: bool = False, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """The ``n`` rows with the largest (or smallest) value per group. NULL values count as 0, rows
+    without a group vanish, ``key`` settles ties. The group column is always kept."""
+    zeroed = df.where(col(group).isNotNull()).withColumn(value, number_or_zero(df, require(df, value)))
+    best = keep_first(zeroed, [col(group)], [col(value).asc() if ascending else col(value).desc(), col(key)], n)
+    return best if keep is None else best.select(*[col(c) for c in dict.fromkeys([key, group, value, *keep])])
+
+
 def prefix_sum(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[Column], value: Column, out: str) -> DataFrame:
     """Adds the sum of ``value`` over all earlier rows of the same key.
 

@@ -47,7 +47,7 @@ def metadata(df: DataFrame, key: str = "record_id") -> DataFrame:
 
     def measure(name: str, cast: str) -> Column:
         value = number(df, name).cast("double") if name in df.columns else F.lit(None).cast("double")
-        return F.coalesce(F.floor(value).try_cast(cast) if cast != "double" else value, F.lit(0).cast(cast))
+        return F.coalesce(value.try_cast(cast), F.lit(0).cast(cast))
 
     record = number(df, key).try_cast("bigint").cast("string")
     return df.select(

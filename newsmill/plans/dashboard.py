@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsmill.columns import col
 from newsmill.functions.text import shorten
 from newsmill.operators import aggregates as agg
+from newsmill.operators.clean import dashboard_rows
 from newsmill.operators.select import faceted
 
 TITLE_LENGTHS = {"chart": 70, "table": 95, "bars": 35}
@@ -27,6 +28,11 @@ def top_records(df: DataFrame, n: int = 10, key: str = "record_id", keep: Sequen
     )
 
 
+def filtered(df: DataFrame, **facets) -> DataFrame:
+    """Any article frame with the dashboard's defaults and facets applied."""
+    return faceted(dashboard_rows(df), **facets)
+
+
 def panels(df: DataFrame, n: int = 12, **facets) -> dict[str, DataFrame]:
     """All panels of one filtered input. Cache the input first if all of them will be drawn."""
     rows = faceted(df, **facets)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsmill.columns import col, first_present, number, present
+from newsmill.columns import col, first_present, number, present, with_id
 from newsmill.columns import text as as_text
 from newsmill.functions import dates
 from newsmill.functions.numbers import clip
@@ -66,18 +66,13 @@ def normalise(df: DataFrame, key: str | None = None) -> DataFrame:
     A fallback column is chosen by presence in the schema, not row by row. ``key`` names the
     record's own id where there is no ``record_id``; without either a hash of the row serves.
     """
-    if "record_id" in df.columns:
-        record_id = number(df, "record_id")
-    elif key:
-        record_id = col(key)
-    else:
-        record_id = F.xxhash64(*[as_text(df, n) for n in df.columns])
+    df = with_id(df.withColumn("record_id", col(key)) if key else df)
     source = first_present(df, ["source_name", "source", "source_path"])
     language = first_present(df, ["language", "original_language"])
     date = first_present(df, ["published_date", "publishedAt", "extraction_timestamp", "fetched_at"])
     base = df.withColumns(
         {
-            "record_id": record_id,
+            "record_id": number(df, "record_id"),
             "document_type": _document_type(df),
             "title": _title(df),
             "source_name": F.coalesce(as_text(df, source), F.lit(UNKNOWN)) if source else F.lit(UNKNOWN),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from newsmill.operators import aggregates as agg
 from newsmill.operators import clean
-from newsmill.operators.ordering import keep_first
+from newsmill.operators.ordering import top_per_group
 from newsmill.plans import dashboard, insights
 from newsmill.plans.registry import query
 from newsmill.plans.stand_ins import ARTICLES_SQL, DATED_SQL, MEASURED_SQL, RATED_SQL, articles, dated, measured, rated, rounded
@@ -353,17 +353,16 @@ def _(spark, sf):
     sql="""SELECT o_orderkey, o_custkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) <= 3""",
 )
 def _(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return keep_first(orders, [F.col("o_custkey")], [F.desc("o_totalprice"), F.col("o_orderkey")], 3)
+    return top_per_group(table(spark, sf, "orders"), "o_custkey", "o_totalprice", "o_orderkey", keep=[])
 
 
 @query(
     "lowest_per_group", 72,
-    sql="""SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice, o_orderkey) <= 5""",
+    sql=f"""WITH {RATED_SQL} SELECT record_id, language, coalesce(rating_score, 0) AS rating_score, category FROM rated
+    QUALIFY row_number() OVER (PARTITION BY language ORDER BY coalesce(rating_score, 0), record_id) <= 5""",
 )
 def _(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    return keep_first(orders, [F.col("o_orderpriority")], [F.col("o_totalprice"), F.col("o_orderkey")], 5)
+    return top_per_group(rated(spark, sf), "language", "rating_score", "record_id", 5, ascending=True, keep=["category"])
 
 
 @query(

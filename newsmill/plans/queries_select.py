@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from newsmill.functions.text import CRIME_TERMS, TOPIC_TERMS
 from newsmill.operators import joins, select
 from newsmill.operators.ordering import every_kth
+from newsmill.plans.dashboard import filtered
 from newsmill.plans.registry import query
 from newsmill.plans.stand_ins import ARTICLES_SQL, DATED_SQL, MEASURED_SQL, RATED_SQL, SQL_WORD, articles, dated, measured, rated, rounded
 from newsmill.session import table
@@ -110,9 +111,9 @@ def _(spark, sf):
       AND contains(lower(title || ' ' || content_text || ' ' || overview || ' ' || category || ' ' || document_type), 'the th')""",
 )
 def _(spark, sf):
-    dash = articles(spark, sf).withColumns({"published_year": F.lit(0), "overview": F.col("content_text")})
-    wanted = [f"src{i}" for i in range(1, 6)]
-    return select.faceted(dash, wanted, ["doc_en", "doc_fr"], (2000, 2020), " The th").select("record_id", "category", "document_type")
+    docs = articles(spark, sf).withColumn("overview", F.col("content_text"))
+    facets = {"categories": [f"src{i}" for i in range(1, 6)], "document_types": ["doc_en", "doc_fr"], "years": (2000, 2020), "search": " The th"}
+    return filtered(docs, **facets).select("record_id", "category", "document_type")
 
 
 @query("facet_values", 39, sql="SELECT DISTINCT lang AS language FROM documents")

@@ -33,6 +33,13 @@ def test_copies_are_dropped_across_deliveries(spark, feed_path, tmp_path):
     assert sorted(r["event_id"] for r in spark.read.parquet(result).collect()) == [1, 2, 3, 4, 5]
 
 
+def test_thinning_keeps_one_copy_of_each(spark):
+    rows = [(i % 7, at(1), "x" * (i % 7)) for i in range(500)] + [(None, at(2), "n"), (None, at(2), "n")]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp, kind string").coalesce(1)
+    assert sorted(tuple(r) for r in feeds.thinned(df, ["event_id"]).collect() if r[0] is not None) == [(i, at(1), "x" * i) for i in range(7)]
+    assert feeds.thinned(df, ["event_id", "kind"]).where("event_id IS NULL").count() == 1
+
+
 def test_running_means_are_those_of_the_whole(spark, feed_path, tmp_path):
     result = feeds.run_available(feeds.running_means(feed(spark, feed_path), "kind", "value"), str(tmp_path / "out"))
     found = {r["kind"]: (r["value_sum"], r["record_count"]) for r in feeds.latest(spark, result, ["kind"]).collect()}
