@@ -19,6 +19,11 @@ METADATA_COLUMNS = [
 ]
 SUFFIXES = ("_mysql", "_mongo")
 
+# From how many rows a key counts as hot, and the share of rows looked at to find out.
+HOT_ROWS = 1_000_000
+HOT_SAMPLE = 0.01
+MAX_HOT_KEYS = 1_000
+
 
 def _keyed(df: DataFrame, on: str) -> DataFrame:
     """The key as a whole number; rows without one cannot match and are dropped."""
@@ -29,23 +34,49 @@ def _suffixed(df: DataFrame, shared: Sequence[str], suffix: str) -> DataFrame:
     return df.withColumnsRenamed({n: n + suffix for n in shared})
 
 
+def hot_keys(df: DataFrame, on: str) -> list:
+    """The keys that hold more than about ``HOT_ROWS`` rows, at most ``MAX_HOT_KEYS`` of them, by a
+    sample. No result depends on the answer, only the way it is computed."""
+    counts = df.select(on).sample(HOT_SAMPLE, seed=42).groupBy(on).count()
+    top = counts.where(F.col("count") > HOT_ROWS * HOT_SAMPLE).orderBy(F.desc("count"), on).limit(MAX_HOT_KEYS)
+    return [r[0] for r in top.collect()]
+
+
+def _held(df: DataFrame, on: str, keys: Sequence) -> set:
+    """Those of a bounded list of keys that occur."""
+    return {r[0] for r in df.where(col(on).isin(list(keys))).select(on).distinct().collect()}
+
+
 def merge(left: DataFrame, right: DataFrame, on: str = "record_id", how: str = "inner", suffixes: tuple[str, str] = SUFFIXES) -> DataFrame:
     """Equi-join; non-key columns in both sides get a suffix.
 
-    The outer kinds are the inner join plus anti joins against the distinct keys. Adaptive
-    execution can split a hot key on either side of those, which it cannot do for a full outer join.
+    Adaptive execution splits a hot key on either side of an inner join, but only on the kept side
+    of a left or right join and on neither side of a full one. So hot keys of the sides that it
+    could not split go through an inner join of their own; rows of theirs without a partner need
+    no join at all.
     """
     if how not in ("inner", "left", "right", "outer"):
         raise ValueError(f"unknown join kind: {how}")
     shared = [n for n in left.columns if n in set(right.columns) and n != on]
     l = _suffixed(_keyed(left, on), shared, suffixes[0])
     r = _suffixed(_keyed(right, on), shared, suffixes[1])
-    out = l.join(r, on, "inner")
+    if how == "inner":
+        return l.join(r, on)
+    kind = "full_outer" if how == "outer" else how
+    hot: set = set()
     if how in ("left", "outer"):
-        out = out.unionByName(l.join(r.select(on).distinct(), on, "left_anti"), allowMissingColumns=True)
+        hot |= set(hot_keys(r, on))
     if how in ("right", "outer"):
-        out = out.unionByName(r.join(l.select(on).distinct(), on, "left_anti"), allowMissingColumns=True)
-    return out
+        hot |= set(hot_keys(l, on))
+    if not hot:
+        return l.join(r, on, kind)
+    is_hot = col(on).isin(sorted(hot))
+    parts = [l.where(~is_hot).join(r.where(~is_hot), on, kind), l.where(is_hot).join(r.where(is_hot), on)]
+    if how in ("left", "outer"):
+        parts.append(l.where(col(on).isin(sorted(hot - _held(r, on, hot)))))
+    if how in ("right", "outer"):
+        parts.append(r.where(col(on).isin(sorted(hot - _held(l, on, hot)))))
+    return same_type_union(parts)
 
 
 def join_counts(left: DataFrame, right: DataFrame, on: str = "record_id") -> DataFrame:

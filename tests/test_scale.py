@@ -94,8 +94,12 @@ def test_keep_first_takes_ties_by_the_last_key(spark):
     assert sorted(r["id"] for r in kept) == [1, 3, 9]
 
 
+@pytest.mark.parametrize("hot", [False, True])
 @pytest.mark.parametrize("how", ["inner", "left", "right", "outer"])
-def test_joins_with_hot_and_null_keys(spark, how):
+def test_joins_with_hot_and_null_keys(spark, how, hot, monkeypatch):
+    if hot:
+        monkeypatch.setattr(joins, "HOT_ROWS", 0)
+        monkeypatch.setattr(joins, "HOT_SAMPLE", 1.0)
     left = [(None, "x"), (1, "a"), (1, "b"), (1, "c"), (2, "d"), (9, "e")]
     right = [(None, "y"), (1, "p"), (1, "q"), (3, "r")]
     a = spark.createDataFrame(left, "record_id int, name string")
