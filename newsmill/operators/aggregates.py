@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsmill.columns import col, first_present, number, number_or_zero, numeric_columns, present, tall, text_columns
+from newsmill.columns import col, fingerprint, first_present, number, number_or_zero, numeric_columns, present, tall, text_columns
 from newsmill.columns import text as as_text
 from newsmill.functions import text as tx
 from newsmill.functions.numbers import clip, half_even
@@ -161,18 +161,21 @@ def mean_by_group(df: DataFrame, group: str = "language", value: str = "rating_s
 
 
 def kpi_row(df: DataFrame) -> DataFrame:
-    """Counts and rounded means of a frame with the dashboard columns."""
+    """Counts and rounded means of a frame with the dashboard columns.
 
-    def mean(name: str) -> Column:
-        return F.coalesce(half_even(F.avg(number(df, name))), F.lit(0.0))
-
-    return df.agg(
-        F.count(F.lit(1)).alias("total_records"),
+    The rows are summed per pair of labels before the labels are counted: two distinct counts over
+    the raw rows would send every row through the shuffle twice.
+    """
+    means = {"rating_score": "avg_rating", "popularity": "avg_popularity", "content_length": "avg_content_length"}
+    sums = []
+    for n in means:
+        sums += [F.sum(number(df, n).cast("double")).alias(f"s_{n}"), F.count(number(df, n)).alias(f"n_{n}")]
+    pairs = df.groupBy("category", "document_type").agg(F.count(F.lit(1)).alias("n"), *sums)
+    return pairs.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"),
         F.count_distinct("category").alias("category_count"),
         F.count_distinct("document_type").alias("document_type_count"),
-        mean("rating_score").alias("avg_rating"),
-        mean("popularity").alias("avg_popularity"),
-        mean("content_length").alias("avg_content_length"),
+        *[F.coalesce(half_even(F.try_divide(F.sum(f"s_{n}"), F.sum(f"n_{n}"))), F.lit(0.0)).alias(out) for n, out in means.items()],
     )
 
 
@@ -198,7 +201,8 @@ def distinct_counts(df: DataFrame, names: Sequence[str] | None = None, relative_
         found = tall(one, [], [(n, col(n)) for n in names], "column", "nunique", "bigint")
     else:
         values = tall(df, [], [(n, as_text(df, n)) for n in names], "column", "value", "string")
-        some = values.where("value IS NOT NULL").distinct().groupBy("column").agg(F.count(F.lit(1)).alias("nunique"))
+        values = values.where("value IS NOT NULL").select("column", fingerprint(F.col("value")).alias("value"))
+        some = values.distinct().groupBy("column").agg(F.count(F.lit(1)).alias("nunique"))
         every = df.sparkSession.createDataFrame([(n,) for n in names], "column string")
         found = every.join(some, "column", "left").fillna(0, ["nunique"])
     dtype = F.create_map(*[F.lit(x) for n in names for x in (n, types[n])])[F.col("column")]

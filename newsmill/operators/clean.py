@@ -13,6 +13,7 @@ from newsmill.columns import text as as_text
 from newsmill.functions import dates
 from newsmill.functions import text as tx
 from newsmill.functions.numbers import engagement, worth
+from newsmill.operators.aggregates import distinct_counts
 from newsmill.operators.ordering import keep_first
 from newsmill.operators.quantiles import exact_quantiles
 from newsmill.operators.select import without_header_rows
@@ -169,8 +170,11 @@ _WHOLE_TYPES = [("tinyint", 8), ("smallint", 16), ("int", 32)]
 
 def type_advice(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Per column the narrowest Spark type for its values; text of less than half distinct values
-    is marked as dictionary material. One aggregate over the input."""
+    is marked as dictionary material. One aggregate over the numbers, one over the texts."""
     fields = [f for f in df.schema.fields if names is None or f.name in names]
+    texts = [f.name for f in fields if isinstance(f.dataType, T.StringType) and f.name not in LONG_TEXT_COLUMNS]
+    # One number per column.
+    distinct = {r["column"]: r["nunique"] for r in distinct_counts(df, texts).collect()} if texts else {}
     aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
     rows: list[Column] = []
     for i, f in enumerate(fields):
@@ -185,9 +189,8 @@ def type_advice(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             aggs.append(F.max(F.when(c.cast("float").cast("double") != c.cast("double"), 1).otherwise(0)).alias(f"x{i}"))
             advice = F.when(F.col(f"x{i}") == 0, "float").otherwise("double")
-        elif isinstance(f.dataType, T.StringType) and f.name not in LONG_TEXT_COLUMNS:
-            aggs.append(F.count_distinct(c).alias(f"d{i}"))
-            advice = F.when(F.col(f"d{i}") < 0.5 * F.col("rows"), "dictionary").otherwise("string")
+        elif f.name in texts:
+            advice = F.when(F.lit(distinct[f.name]) < 0.5 * F.col("rows"), "dictionary").otherwise("string")
         else:
             advice = F.lit(current)
         rows.append(F.struct(F.lit(f.name).alias("column"), F.lit(current).alias("dtype"), advice.alias("advice")))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsmill.columns import col, first_present, number, numeric_columns, present, tall
+from newsmill.columns import col, fingerprint, first_present, number, numeric_columns, present, tall
 from newsmill.columns import text as as_text
 from newsmill.functions import dates
 from newsmill.functions import text as tx
@@ -138,7 +138,7 @@ def duplicate_report(df: DataFrame, names: Sequence[str] | None = None) -> DataF
     if not names:
         return _no_issues(df)
     values = tall(df, [], [(n, as_text(df, n)) for n in names], "column", "value", "string").where("value IS NOT NULL")
-    per_value = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
+    per_value = values.groupBy("column", fingerprint(F.col("value")).alias("value")).agg(F.count(F.lit(1)).alias("c"))
     found = per_value.groupBy("column").agg((F.sum("c") - F.count(F.lit(1))).alias("count")).where("count > 0")
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     level = F.when(F.col("column").isin("record_id", "url"), "HIGH").otherwise("MEDIUM")

@@ -32,9 +32,14 @@ METRICS_SCHEMA = T.StructType(
 )
 
 
-def scan_documents(spark: SparkSession, path: str, equals: Mapping[str, Any] | None = None, limit: int = 0, flatten: bool = False) -> DataFrame:
-    """Stored documents by equality filters, which reach the Parquet scan."""
-    df = spark.read.parquet(path)
+def scan_documents(
+    spark: SparkSession, path: str, equals: Mapping[str, Any] | None = None, limit: int = 0, flatten: bool = False,
+    fmt: str = "parquet", schema: T.StructType | None = None,
+) -> DataFrame:
+    """Stored documents by equality filters, which reach a columnar scan. JSON stores take a
+    schema, so that they are not read twice."""
+    reader = spark.read.format(fmt)
+    df = (reader.schema(schema) if schema else reader).load(path)
     for name, value in (equals or {}).items():
         df = df.where(col(name) == F.lit(value))
     if limit:
