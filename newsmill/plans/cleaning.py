@@ -12,6 +12,7 @@ from newsmill.columns import col, present
 from newsmill.operators import clean, dedup
 from newsmill.operators.quality import missing_report, require_valid
 from newsmill.session import cut
+from newsmill.sources.stores import write_results
 
 # Columns whose zeros mean missing, and columns imputed by median.
 ZERO_IS_MISSING = ["mentions", "sentiment_score", "rating_score", "popularity", "vote_average", "vote_count"]
@@ -55,6 +56,12 @@ def clean_all(df: DataFrame, order: Sequence[str], threshold: float = 0.60, chec
     return typed
 
 
+def clean_and_save(df: DataFrame, order: Sequence[str], folder: str, threshold: float = 0.60) -> dict[str, str]:
+    """The whole run with its files: the missing report of the input and the checked, cleaned rows."""
+    results = {"missing_report": missing_report(df), "cleaned_data": clean_all(df, order, threshold, check=True)}
+    return write_results(results, folder)
+
+
 def step_counts(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Rows left after each deduplication step. Only the key columns are kept past the first."""
     rows = df.transform(clean_rows).transform(clean.fill_medians, IMPUTED)
@@ -65,6 +72,3 @@ def step_counts(df: DataFrame, order: Sequence[str]) -> DataFrame:
     steps = {"input": rows, "equal_rows": unique, "url": by_url, "title_date": by_title, "id": dedup.by_id(by_title, order)}
     counts = [d.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("step"), "rows") for n, d in steps.items()]
     return reduce(DataFrame.unionByName, counts)
-
-
-__all__ = ["clean_all", "clean_rows", "deduplicate", "missing_report", "step_counts"]

@@ -11,7 +11,7 @@ from newsmill.operators import clean
 from newsmill.operators.ordering import top_per_group
 from newsmill.plans import dashboard, insights
 from newsmill.plans.registry import query
-from newsmill.plans.stand_ins import ARTICLES_SQL, DATED_SQL, MEASURED_SQL, RATED_SQL, articles, dated, measured, rated, rounded
+from newsmill.plans.stand_ins import DATED_SQL, MEASURED_SQL, RATED_SQL, articles, dated, measured, rated, rounded
 from newsmill.session import table
 
 

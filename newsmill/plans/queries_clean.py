@@ -11,7 +11,7 @@ from newsmill.operators.search import metadata, searchable_text
 from newsmill.plans import cleaning
 from newsmill.plans.normalise import normalise
 from newsmill.plans.registry import query
-from newsmill.plans.stand_ins import ARTICLES_SQL, DATED_SQL, RATED_SQL, SQL_WHITE, SQL_WORD, SQL_WS, articles, dated, rated, rounded
+from newsmill.plans.stand_ins import ARTICLES_SQL, RATED_SQL, SQL_WHITE, SQL_WORD, SQL_WS, articles, rated, rounded
 from newsmill.session import table
 
 

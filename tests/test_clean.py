@@ -137,6 +137,17 @@ def test_whole_run_is_valid(news):
         quality.require_valid(out.withColumn("rating_score", F.lit(11.0)))
 
 
+def test_run_from_csv_to_csv(news, spark, tmp_path):
+    from newsmill.sources.files import read_csv
+
+    paths = cleaning.clean_and_save(news, ["seq"], str(tmp_path))
+    names = spark.read.csv(paths["cleaned_data"], header=True).columns
+    saved = read_csv(spark, paths["cleaned_data"], {n: "string" for n in names})
+    assert sorted(column(saved, "title", "title")) == ["AI Market Growth", "Election Update", "Sports Highlights"]
+    gaps = {r["column"] for r in spark.read.csv(paths["missing_report"], header=True).collect()}
+    assert gaps == {"content_text", "overview", "language", "rating_score", "vote_average", "popularity", "vote_count", "url"}
+
+
 def test_metrics_keep_the_first_row_per_id(spark):
     rows = [(1, "7", "T", 2.0, 10), (2, "7", "U", 9.0, 10), (3, "record_id", "title", 1.0, 1), (4, None, "V", 1.0, 1), (5, "8", " ", 1.0, 1)]
     df = spark.createDataFrame(rows, "seq int, record_id string, title string, rating_score double, content_length int")
