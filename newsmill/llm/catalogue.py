@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsmill.llm import compression_rules, decontaminate
 from newsmill.llm.near_duplicates import near_duplicates
 from newsmill.session import table
 
@@ -24,6 +25,18 @@ def _query(name: str, sql: str | None = None):
     return register
 
 
+@_query("op1_spaced_seed_decontamination")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("row_key")
+
+
+@_query("op5_compression_bands")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    judged = compression_rules.judge(table(spark, folder, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio", "n_chunks", "n_bad_chunks")
+
+
 @_query("op10_minhash_near_duplicates")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
