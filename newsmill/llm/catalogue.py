@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm import compression_rules, decontaminate
+from newsmill.llm import compression_rules, decontaminate, packing
 from newsmill.llm.near_duplicates import near_duplicates
 from newsmill.session import table
 
@@ -31,6 +31,12 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("row_key")
 
 
+@_query("op4_sum_of_squares_packing")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pieces(table(spark, folder, "documents"))
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
 @_query("op5_compression_bands")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     judged = compression_rules.judge(table(spark, folder, "documents"))
