@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm import compression_rules, decontaminate, packing
+from newsmill.llm import chat, compression_rules, compression_score, decontaminate, packing, sharding, url_filter
 from newsmill.llm.near_duplicates import near_duplicates
 from newsmill.session import table
 
@@ -31,6 +31,16 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("row_key")
 
 
+@_query("op2_compression_classifier")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return compression_score.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@_query("op3_permutation_sharding")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.place(table(spark, folder, "documents"), [f"shard-{k:03d}" for k in range(256)])
+
+
 @_query("op4_sum_of_squares_packing")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pieces(table(spark, folder, "documents"))
@@ -43,6 +53,17 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio", "n_chunks", "n_bad_chunks")
 
 
+@_query("op6_perspective_rotation", chat.SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.rotate(table(spark, folder, "conversations"))
+
+
+@_query("op7_blocked_bloom_url_filter", url_filter.SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return url_filter.judge(pages, url_filter.listed_pages(pages))
+
+
 @_query("op10_minhash_near_duplicates")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
