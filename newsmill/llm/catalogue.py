@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm import chat, compression_rules, compression_score, decontaminate, packing, sharding, url_filter
+from newsmill.llm import chat, compression_rules, compression_score, decontaminate, disclosure, packing, sharding, url_filter, warc
 from newsmill.llm.near_duplicates import near_duplicates
 from newsmill.session import table
 
@@ -64,6 +64,16 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.listed_pages(pages))
 
 
+@_query("op8_warc_derivatives", warc.SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.derive(warc.responses(table(spark, folder, "pages"), "2026-01-01T00:00:00Z"), keep=["page_id"])
+
+
+@_query("op9_disclosure_sanitisation")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return disclosure.counts(disclosure.find(table(spark, folder, "documents")))
+
+
 @_query("op10_minhash_near_duplicates")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
