@@ -6,18 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmill.llm.stages import deduplicate
+from newsmill.llm import stages
 from newsmill.session import scratch_path, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = [("near_duplicates", deduplicate)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", stages.quality),
+    ("near_duplicates", stages.deduplicate),
+    ("decontamination", stages.decontaminated),
+    ("personal_data", stages.sanitised),
+    ("packing", stages.packed),
+]
 
 # SQL cannot state MinHash, zstandard or the tokenizer; the tests compare the run with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applies the stages to ``documents``; what lies between them is in the shared scratch folder."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"corpus-{name}")
