@@ -109,16 +109,20 @@ def _context(text: Column, span: Column) -> Column:
     after = F.substr(text, span["stop"] + 1, F.lit(CONTEXT))
     before = F.when(begin > 0, F.regexp_replace(before, r"\A\S*+", "")).otherwise(before)
     after = F.when(F.char_length(after) == CONTEXT, F.regexp_replace(after, r"(?<!\S)\S++\z", "")).otherwise(after)
-    plain = lambda part: F.regexp_replace(part, r"\S*[@0-9]\S*", " ")  # noqa: E731  other mentions are no terms
-    return F.concat(plain(before), F.lit(" "), plain(after))
+    return F.concat(before, F.lit(" "), after)
+
+
+def _mention(text: Column, span: Column) -> Column:
+    around = _context(text, span)
+    terms = _terms(F.regexp_replace(around, r"\S*[@0-9]\S*", " "))  # other mentions are no terms
+    return F.struct(_entity(text, span).alias("entity"), F.xxhash64(around).alias("context"), terms.alias("terms"))
 
 
 def mentions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``row_key, doc_id, spans, mentions`` of every row; a mention is an entity with the terms around it."""
     rows = docs.select(F.xxhash64(col(id_col), col(text_col)).alias("row_key"), col(id_col).alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     found = rows.withColumn("spans", base_spans(F.col("text")))
-    around = F.transform("spans", lambda s: F.struct(_entity(F.col("text"), s).alias("entity"), _terms(_context(F.col("text"), s)).alias("terms")))
-    return found.select("row_key", "doc_id", "spans", around.alias("mentions"))
+    return found.select("row_key", "doc_id", "spans", F.transform("spans", lambda s: _mention(F.col("text"), s)).alias("mentions"))
 
 
 def disclosing(docs: DataFrame, seen: DataFrame, text_col: str, support: int, generalise: float, remove: float) -> DataFrame:
@@ -129,8 +133,8 @@ def disclosing(docs: DataFrame, seen: DataFrame, text_col: str, support: int, ge
     share of the two is 1 for a term that never occurs without the entity.
     """
     total = seen.count()
-    one = seen.select("row_key", F.explode("mentions").alias("m")).select("row_key", "m.entity", "m.terms")
-    pairs = one.select("entity", "row_key", F.xxhash64("terms").alias("context"), F.explode("terms").alias("term"))
+    one = seen.select("row_key", F.explode("mentions").alias("m")).select("row_key", "m.entity", "m.context", "m.terms")
+    pairs = one.select("entity", "row_key", "context", F.explode("terms").alias("term"))
     both = pairs.groupBy("entity", "term").agg(F.countDistinct("context").alias("contexts"), F.countDistinct("row_key").alias("n_both"))
     candidates = cut(both.where((F.col("contexts") >= support) & (F.col("n_both") >= support)).select("entity", "term", "n_both"))
     n_entity = one.groupBy("entity").agg(F.countDistinct("row_key").alias("n_entity"))
