@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsmill.columns import col
+from newsmill.llm.bloom import Filter
 from newsmill.llm.common import Batch, per_batch, strings
 from newsmill.session import cut
 
@@ -22,8 +23,10 @@ MIN_WORDS = 12
 MIN_EQUAL = 0.75
 # Words around hits that an overlap may reach, and hits closer than this lie in one segment.
 REACH = 48
-# Bits of the filter that spares the join windows without a partner: 16 per benchmark window, at most 2^27.
-MAX_FILTER_BITS = 27
+# The filter that spares the join windows without a partner: 64 bits per benchmark window, of which four
+# are set; at least 2^24 bits and at most 2^27 (16 MB).
+FILTER_BITS = (24, 27)
+_PROBES = tuple(np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407))
 
 _WORD = re.compile(r"\w+").findall
 
@@ -52,11 +55,6 @@ def windows(words: np.ndarray, masks: Sequence[str]) -> tuple[np.ndarray, np.nda
     return np.concatenate(hashes), np.concatenate(starts)
 
 
-def _slots(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    low = np.uint64((1 << bits) - 1)
-    return h & low, (h >> np.uint64(64 - bits)) & low
-
-
 def _item_windows(items: DataFrame, masks: Sequence[str]) -> DataFrame:
     """``item_id, words, hash, at``: one row per window of an item; short items have none."""
 
@@ -79,17 +77,33 @@ def _item_windows(items: DataFrame, masks: Sequence[str]) -> DataFrame:
 
 
 def _filter(hashes: DataFrame) -> tuple[np.ndarray, int]:
-    """A bit filter of bounded size: the driver gets its set 64-bit words, never the hashes."""
-    bits = min(MAX_FILTER_BITS, max(16, (16 * hashes.count()).bit_length()))
-    low = (1 << bits) - 1
-    h = F.col("hash")
-    both = hashes.select(F.explode(F.array(h.bitwiseAND(low), F.shiftrightunsigned(h, 64 - bits))).alias("slot"))
-    words = both.groupBy(F.shiftright("slot", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("m")).toPandas()
+    """A bit filter of bounded size: the driver gets its filled 64-bit words, never the hashes."""
+    bits = min(FILTER_BITS[1], max(FILTER_BITS[0], (64 * hashes.count()).bit_length()))
+
+    def make() -> Batch:
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            h = batch.column("hash").to_numpy(zero_copy_only=False).view(np.uint64)
+            slots = np.concatenate([(h * f) >> np.uint64(64 - bits) for f in _PROBES])
+            masks = np.uint64(1) << (slots & np.uint64(63))
+            return pa.RecordBatch.from_arrays([pa.array((slots >> np.uint64(6)).astype(np.int64)), pa.array(masks.view(np.int64))], names=["w", "m"])
+
+        return one
+
+    words = per_batch(hashes, make, "w bigint, m bigint").groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
     table = np.zeros(1 << (bits - 6), np.uint64)
     table[words["w"].to_numpy(np.int64)] = words["m"].to_numpy(np.int64).view(np.uint64)
     return table, bits
 
 
+def _passing(h: np.ndarray, table: np.ndarray, bits: int) -> np.ndarray:
+    """Places of the hashes all of whose bits are set."""
+    at = np.arange(len(h))
+    for f in _PROBES:
+        slot = (h[at] * f) >> np.uint64(64 - bits)
+        at = at[((table[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)]
+    return at
+
+
 def _segments(docs: DataFrame, masks: Sequence[str], table, bits: int, reach: int) -> DataFrame:
     """Stretches of documents around windows that pass the filter, with their word hashes and windows."""
     schema = "row_key bigint, doc_id bigint, start int, words array<bigint>, hits array<struct<hash:bigint,at:int>>"
@@ -101,10 +115,8 @@ def _segments(docs: DataFrame, masks: Sequence[str], table, bits: int, reach: in
             for key, doc, text in zip(batch.column("row_key").to_pylist(), batch.column("doc_id").to_pylist(), strings(batch, "text")):
                 words = word_hashes(text)
                 h, at = windows(words, masks)
-                a, b = _slots(h, bits)
-                one_, six, low = np.uint64(1), np.uint64(6), np.uint64(63)
-                hit = ((filled[a >> six] >> (a & low)) & (filled[b >> six] >> (b & low)) & one_).astype(bool)
-                if not hit.any():
+                hit = _passing(h, filled, bits)
+                if not len(hit):
                     continue
                 h, at = h[hit], at[hit]
                 order = np.argsort(at, kind="stable")
@@ -202,7 +214,10 @@ def _verified(laid: DataFrame, min_words: int, min_equal: float) -> DataFrame:
 
 
 def clean_of(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that overlap with an item."""
-    name = "_nm_row_key"
-    leaks = found.select(F.col("row_key").alias(name)).distinct()
-    return docs.withColumn(name, F.xxhash64(col(id_col), col(text_col))).join(leaks, name, "left_anti").select(*[col(c) for c in docs.columns])
+    """``docs`` without the rows that overlap with an item. Rows that a filter of the leaks rules out are
+    not shuffled."""
+    key, maybe = "_nm_row_key", "_nm_maybe"
+    leaks = cut(found.select(F.col("row_key").alias(key)).distinct())
+    marked = Filter(leaks, key).mark(docs.withColumn(key, F.xxhash64(col(id_col), col(text_col))), F.col(key), maybe)
+    rest = marked.where(F.col(maybe)).join(leaks, key, "left_anti")
+    return marked.where(~F.col(maybe)).unionByName(rest).select(*[col(c) for c in docs.columns])
