@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsmill.columns import col
+from newsmill.llm.bloom import Filter
 from newsmill.session import cut
 
 # Characters on either side of a mention that are its context.
@@ -152,11 +153,11 @@ def disclosing(docs: DataFrame, seen: DataFrame, text_col: str, support: int, ge
 def _term_spans(docs: DataFrame, seen: DataFrame, revealing: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``row_key, term_spans`` of the rows that hold an entity together with a term that reveals it."""
     held = seen.select("row_key", F.explode("mentions.entity").alias("entity")).distinct()
-    touched = held.join(revealing.select("entity").distinct(), "entity", "left_semi")
+    touched = cut(held.join(revealing.select("entity").distinct(), "entity", "left_semi"))
     text = F.coalesce(col(text_col), F.lit(""))
-    rows = docs.select(F.xxhash64(col(id_col), col(text_col)).alias("row_key"), text.alias("text")).where(_looks(F.col("text")))
-    texts = rows.join(touched.select("row_key").distinct(), "row_key", "left_semi").dropDuplicates(["row_key"])
-    texts = cut(texts)
+    rows = docs.select(F.xxhash64(col(id_col), col(text_col)).alias("row_key"), text.alias("text"))
+    likely = Filter(touched, "row_key").mark(rows, F.col("row_key"), "maybe").where("maybe").drop("maybe")
+    texts = cut(likely.join(touched.select("row_key").distinct(), "row_key", "left_semi").dropDuplicates(["row_key"]))
     words = texts.select("row_key", F.explode(_terms(F.col("text"))).alias("term"))
     marks = words.join(touched, "row_key").join(revealing, ["entity", "term"]).groupBy("row_key", "term").agg(F.max("action").alias("action"))
     per_row = marks.groupBy("row_key").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("actions"))
@@ -199,8 +200,8 @@ def listed(spans: Column) -> Column:
 
 def cleaned(text: Column, spans: Column) -> Column:
     """The text with each span replaced: mentions by their kind, generalised words by their form, removed
-    words by nothing. Spans that overlap are replaced as one, by the first."""
-    in_place = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
+    words by nothing. Spans that overlap are replaced as one, by the first and longest."""
+    in_place = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["stop"]).alias("longest"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(state: Column, s: Column) -> Column:
@@ -220,11 +221,14 @@ def cleaned(text: Column, spans: Column) -> Column:
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **thresholds) -> DataFrame:
     """``docs`` with personal data and the words that reveal it replaced in ``text_col``; all rows and columns
     stay, a NULL text stays NULL."""
-    key, spans = "_nm_row_key", "_nm_spans"
-    found = find(docs, id_col, text_col, **thresholds).where(F.size("spans") > 0).select(F.col("row_key").alias(key), F.col("spans").alias(spans)).dropDuplicates([key])
-    keyed = docs.withColumn(key, F.xxhash64(col(id_col), col(text_col))).join(found, key, "left")
+    key, spans, maybe = "_nm_row_key", "_nm_spans", "_nm_maybe"
+    found = find(docs, id_col, text_col, **thresholds).where(F.size("spans") > 0)
+    found = cut(found.select(F.col("row_key").alias(key), F.col("spans").alias(spans)).dropDuplicates([key]))
+    marked = Filter(found, key).mark(docs.withColumn(key, F.xxhash64(col(id_col), col(text_col))), F.col(key), maybe)
+    changed = marked.where(F.col(maybe)).join(found, key, "left")
     new = F.when(F.col(spans).isNotNull(), cleaned(col(text_col), F.col(spans))).otherwise(col(text_col))
-    return keyed.withColumn(text_col, new).select(*[col(c) for c in docs.columns])
+    names = [col(c) for c in docs.columns]
+    return marked.where(~F.col(maybe)).select(*names).unionByName(changed.withColumn(text_col, new).select(*names))
 
 
 def counts(found: DataFrame) -> DataFrame:

@@ -9,13 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsmill.columns import col
+from newsmill.llm.bloom import Filter
 from newsmill.session import cut
 
-# Filter bits per listed URL, bits set for each, and the most 64-bit blocks a filter has (16 MB in all).
-BITS_PER_URL = 16
-BITS_SET = 4
-MAX_BLOCKS = 1 << 20
-
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -69,24 +65,6 @@ def canonical(host_col: Column, path_col: Column) -> Column:
     return F.when(host_col != "", F.concat(bare, F.regexp_replace(path_col, r"/+\z", "")))
 
 
-def _slots(key: Column, blocks: int) -> tuple[Column, Column]:
-    """Block of a URL, and its bits within the block."""
-    h, g = F.xxhash64(key), F.xxhash64(F.lit(7), key)
-    mask = F.lit(0).cast("long")
-    for k in range(BITS_SET):
-        bit = F.shiftrightunsigned(g, 6 * k).bitwiseAND(63).cast("int")
-        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
-    return F.pmod(h, F.lit(blocks)), mask
-
-
-def bloom(listed: DataFrame) -> tuple[DataFrame, int]:
-    """``block, bits`` of the listed ``canonical`` URLs and the number of blocks: about ``BITS_PER_URL`` bits
-    per URL, never more than ``MAX_BLOCKS`` rows."""
-    blocks = min(MAX_BLOCKS, max(1, -(-listed.count() * BITS_PER_URL // 64)))
-    block, bits = _slots(F.col("canonical"), blocks)
-    return listed.select(block.alias("block"), bits.alias("bits")).groupBy("block").agg(F.bit_or("bits").alias("bits")), blocks
-
-
 def judge(pages: DataFrame, listed_urls: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "page_id", url_col: str = "url", listed_col: str = "url") -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``canonical``, ``listed``, one row per input row.
 
@@ -99,14 +77,9 @@ def judge(pages: DataFrame, listed_urls: DataFrame, rules: Sequence[Rule] = RULE
     """
     named = canonical(host(col(listed_col)), path(col(listed_col)))
     entries = cut(listed_urls.select(named.alias("canonical")).where("canonical IS NOT NULL").distinct())
-    table, blocks = bloom(entries)
     rows = pages.select(col(id_col).alias("page_id"), host(col(url_col)).alias("host"), path(col(url_col)).alias("path"))
     rows = rows.withColumns({"n": rule_for(F.col("host"), F.col("path"), rules), "canonical": canonical(F.col("host"), F.col("path"))})
-    block, bits = _slots(F.col("canonical"), blocks)
-    filter_ = F.broadcast(table.select(F.col("block").alias("_b"), F.col("bits").alias("_bits")))
-    tested = rows.join(filter_, block == F.col("_b"), "left")
-    possible = F.col("canonical").isNotNull() & F.coalesce(F.col("_bits").bitwiseAND(bits) == bits, F.lit(False))
-    tested = tested.withColumn("possible", possible).drop("_b", "_bits")
+    tested = Filter(entries, "canonical").mark(rows, F.col("canonical"), "possible")
     no = tested.where(~F.col("possible")).withColumn("listed", F.lit(False))
     yes = tested.where("possible").join(entries.withColumn("listed", F.lit(True)), "canonical", "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
     names, verdicts = F.array(*[F.lit(r.text) for r in rules]), F.array(*[F.lit(r.verdict) for r in rules])
