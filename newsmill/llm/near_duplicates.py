@@ -5,10 +5,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsmill.columns import col
+from newsmill.llm.bloom import Filter
 from newsmill.llm.common import Batch, bytes_lower, per_batch, strings
 from newsmill.llm.graph import components
 from newsmill.session import cut
@@ -18,10 +19,11 @@ from newsmill.session import cut
 # in ten million shares fewer than 26.
 COORDINATES = 48
 MATCHES = 26
-# Posting lists up to this size are compared pair by pair (between components only); longer ones are
-# first resolved by comparing everything with one document per round.
-SHORT_LIST = 32
-STAR_ROUNDS = 6
+# Documents, and shingles, of a block: two blocks are compared with each other in one task.
+BLOCK_DOCS = 512
+BLOCK_SHINGLES = 400_000
+# Clusters of more blocks than this are first thinned out by comparing every document with one centre per list.
+FEW_BLOCKS = 4
 
 _SHINGLE = "doc_id bigint, text_key bigint, n_shingles bigint, set_key binary, tokens array<bigint>"
 
@@ -85,23 +87,20 @@ def signatures(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
     return per_batch(docs, make, _SHINGLE)
 
 
-def _sets(docs: DataFrame, words: int) -> DataFrame:
+def _with_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """``members`` with the shingle hashes of their documents. Texts of others are not shuffled."""
+    names = [f.name for f in members.schema.fields if f.name != "doc_id"]
+
     def make() -> Batch:
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists([shingles(t, words) for t in strings(batch, "text")])], names=["doc_id", "hashes"])
+            kept = [batch.column(n) for n in ("doc_id", *names)]
+            return pa.RecordBatch.from_arrays([*kept, _lists([shingles(t, words) for t in strings(batch, "text")])], names=["doc_id", *names, "hashes"])
 
         return one
 
-    return per_batch(docs, make, "doc_id bigint, hashes array<bigint>")
-
-
-def _similar(shared: Column, n: Column, m: Column, percent: int) -> Column:
-    return 100 * shared >= percent * (n + m - shared)
-
-
-def _pairs_at(pairs: DataFrame, side: DataFrame, key: str, value: str) -> DataFrame:
-    """``pairs`` with the array of the document in ``key``, under the name ``key_value``."""
-    return pairs.join(side.select(F.col("doc_id").alias(key), F.col(value).alias(f"{key}_{value}")), key)
+    likely = Filter(members, "doc_id").mark(docs, F.col("doc_id"), "_nm_maybe").where("_nm_maybe").drop("_nm_maybe")
+    schema = ", ".join(["doc_id bigint", *[f"{n} {members.schema[n].dataType.simpleString()}" for n in names], "hashes array<bigint>"])
+    return per_batch(likely.join(members, "doc_id"), make, schema)
 
 
 def postings(heads: DataFrame, matches: int, coordinates: int) -> DataFrame:
@@ -119,59 +118,133 @@ def postings(heads: DataFrame, matches: int, coordinates: int) -> DataFrame:
     return common.select("doc_id", F.explode(F.slice("common", F.lit(1), F.greatest(room, F.lit(0)))).alias("t")).select("doc_id", F.col("t.token").alias("token"))
 
 
-def _confirmed(pairs: DataFrame, heads: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
-    """Of ``(a, b)`` candidates those that agree in enough coordinates and whose full sets are similar."""
-    merged = _pairs_at(_pairs_at(pairs, heads, "a", "tokens"), heads, "b", "tokens")
-    hopeful = merged.where(F.size(F.array_intersect("a_tokens", "b_tokens")) >= matches).select("a", "b")
-    full = _pairs_at(_pairs_at(hopeful, sets, "a", "hashes"), sets, "b", "hashes")
-    shared = F.size(F.array_intersect("a_hashes", "b_hashes"))
-    return full.where(_similar(shared, F.size("a_hashes"), F.size("b_hashes"), percent)).select("a", "b")
-
-
-def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Posting lists with each document's component; lists of one component only are settled."""
-    named = lists.join(labels.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left")
-    named = named.select("token", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    open_lists = named.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    return named.join(open_lists.select("token", "n"), "token")
+def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
+    out: list[np.ndarray] = []
+    for lists in column.chunks:
+        flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+        out += [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+    return out
+
+
+def shared_counts(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of ``sets[a[k]]`` and ``sets[b[k]]``. Few pairs are counted one by one, many
+    as products of 0/1 matrices over stretches of the hashes that occur."""
+    if len(a) <= 2048:
+        return np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a, b)], np.int64)
+    used, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    row_of = np.repeat(np.arange(len(used)), [len(sets[u]) for u in used])
+    _, column = np.unique(np.concatenate([sets[u] for u in used]), return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    row_of, column = row_of[order], column[order]
+    total, width = np.zeros((len(used), len(used)), np.float32), 4096
+    edges = np.searchsorted(column, np.arange(0, column[-1] + 1 + width, width))
+    for k, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
+        part = np.zeros((len(used), width), np.float32)
+        part[row_of[lo:hi], column[lo:hi] - k * width] = 1
+        total += part @ part.T
+    return np.rint(total[place[: len(a)], place[len(a) :]]).astype(np.int64)
+
+
+def linked(ids, groups, blocks, tokens, sets, across: bool, matches: int, percent: int) -> list[tuple[int, int]]:
+    """Links that connect documents of unlike groups: of all similar pairs as many as make a spanning forest.
+
+    Pairs are counted over the coordinates first and confirmed on the full sets if ``matches`` agree;
+    ``across`` leaves out pairs within one block, which are compared elsewhere.
+    """
+    values, sizes = np.vstack(tokens), np.array([len(x) for x in sets])
+    equal = np.zeros((len(ids), len(ids)), np.int16)
+    for c in range(values.shape[1]):
+        equal += values[:, c, None] == values[None, :, c]
+    hopeful = np.triu(equal >= matches, 1) & (groups[:, None] != groups[None, :])
+    hopeful &= 100 * np.minimum(sizes[:, None], sizes[None, :]) >= percent * np.maximum(sizes[:, None], sizes[None, :])
+    if across:
+        hopeful &= blocks[:, None] != blocks[None, :]
+    a, b = np.nonzero(hopeful)
+    if not len(a):
+        return []
+    shared = shared_counts(sets, a, b)
+    similar = 100 * shared >= percent * (sizes[a] + sizes[b] - shared)
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out = []
+    for x, y in zip(a[similar], b[similar]):
+        one, other = root(int(groups[x])), root(int(groups[y]))
+        if one != other:
+            parent[one] = other
+            out.append((int(ids[x]), int(ids[y])))
+    return out
+
+
+def _compared(members: DataFrame, matches: int, percent: int) -> DataFrame:
+    """Links within clusters. A cluster of ``blocks`` blocks is compared block by block, each pair of blocks
+    in a task of its own, so that a task holds two blocks at most and no pair of documents is a row."""
+    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("block")
+    dealt = members.select("doc_id", "cluster", "component", "tokens", "hashes", block, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other")
+
+    def one(key: tuple, table: pa.Table) -> pa.Table:
+        plain = {n: table.column(n).to_numpy() for n in ("doc_id", "component", "block")}
+        across = key[1].as_py() != key[2].as_py()
+        found = linked(plain["doc_id"], plain["component"], plain["block"], _arrays(table.column("tokens")), _arrays(table.column("hashes")), across, matches, percent)
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    return dealt.groupBy("cluster", "lo", "hi").applyInArrow(one, "a bigint, b bigint")
+
+
+def _clustered(pairs: DataFrame, heads: DataFrame) -> DataFrame:
+    """Documents with their cluster (what posting lists connect), its number of blocks and their tokens."""
+    named = components(pairs).withColumnsRenamed({"id": "doc_id", "component": "cluster"}).join(heads, "doc_id")
+    sizes = named.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("long")
+    return cut(named.join(sizes.select("cluster", blocks.alias("blocks")), "cluster").select("doc_id", "cluster", "blocks", "tokens"))
+
+
+def _starred(lists: DataFrame) -> DataFrame:
+    """Each document of a posting list with the smallest one of the list."""
+    centres = lists.groupBy("token").agg(F.min("doc_id").alias("b"))
+    return lists.join(centres, "token").select(F.col("doc_id").alias("a"), "b").distinct()
 
 
 def links(docs: DataFrame, heads: DataFrame, words: int, percent: int, coordinates: int, matches: int) -> DataFrame:
     """Links ``(a, b)`` between documents of different shingle sets, enough to connect all that are similar.
 
-    Round one compares each posted document with the smallest one of its list. After that only documents
-    of different components can add anything: short lists give their remaining pairs at once, long ones
-    go through further rounds with another centre each, and what is still apart is compared pair by pair.
+    Documents that posting lists connect form a cluster; all similar pairs lie within clusters, and small
+    clusters are compared at once. In a large one every document is first compared with the smallest one
+    of each of its lists, which connects most of a group of copies in a pass that is linear in its size.
+    Lists that hold documents of more than one component after that form clusters anew, and those are
+    compared by blocks, leaving out pairs of one component.
     """
     lists = cut(postings(heads, matches, coordinates))
-    posted = lists.select("doc_id").distinct()
-    sets = cut(_sets(docs.join(posted, "doc_id", "left_semi"), words))
-    signed = cut(heads.join(posted, "doc_id", "left_semi"))
-
-    def compared(pairs: DataFrame) -> DataFrame:
-        return cut(_confirmed(pairs.where("a <> b").distinct(), signed, sets, matches, percent))
-
-    centres = lists.groupBy("token").agg(F.min("doc_id").alias("b"))
-    found = compared(lists.join(centres, "token").select(F.col("doc_id").alias("a"), "b"))
-    rest = cut(lists.join(centres, "token").where("doc_id <> b").select("token", "doc_id"))
-    for turn in range(STAR_ROUNDS + 1):
-        apart = cut(_labelled(rest, components(found)))
-        if apart.isEmpty():
-            break
-        last = turn == STAR_ROUNDS
-        short = apart if last else apart.where(F.col("n") <= SHORT_LIST)
-        left = short.select("token", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-        right = short.select("token", F.col("doc_id").alias("b"), F.col("component").alias("cb"))
-        pairs = left.join(right, "token").where("a < b AND ca <> cb").select("a", "b")
-        rest = apart.where(F.col("n") > SHORT_LIST).select("token", "doc_id", "component")
-        heads_of = rest.groupBy("token").agg(F.min(F.struct("doc_id", "component")).alias("c"))
-        starred = rest.join(heads_of, "token").where("component <> c.component")
-        new = compared(pairs if last else pairs.unionAll(starred.select(F.col("doc_id").alias("a"), F.col("c.doc_id").alias("b"))))
-        found = cut(found.unionAll(new))
-        if last:
-            break
-        rest = cut(rest.join(heads_of, "token").where("doc_id <> c.doc_id").select("token", "doc_id"))
-    return found
+    members = _clustered(_starred(lists), heads)
+    own = F.col("doc_id").alias("component")
+    small = members.where(F.col("blocks") <= FEW_BLOCKS)
+    near = cut(_compared(_with_sets(docs, small, words).select("*", own), matches, percent))
+    large = members.where(F.col("blocks") > FEW_BLOCKS)
+    if large.isEmpty():
+        return near
+    known = cut(_with_sets(docs, large, words))
+    crowded = lists.join(large.select("doc_id"), "doc_id", "left_semi")
+    star = cut(_confirmed(_starred(crowded).where("a <> b"), known, matches, percent))
+    label = components(star).withColumnsRenamed({"id": "doc_id"})
+    named = crowded.join(label, "doc_id", "left").select("token", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    apart = named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    again = _clustered(_starred(crowded.join(apart.select("token"), "token", "left_semi")), heads)
+    rest = again.drop("tokens").join(known.select("doc_id", "tokens", "hashes"), "doc_id").join(label, "doc_id", "left")
+    rest = rest.withColumn("component", F.coalesce("component", "doc_id"))
+    return near.unionAll(star).unionAll(_compared(rest, matches, percent))
+
+
+def _confirmed(pairs: DataFrame, known: DataFrame, matches: int, percent: int) -> DataFrame:
+    """Of ``(a, b)`` pairs those that agree in enough coordinates and whose full sets are similar."""
+    side = lambda n: known.select(F.col("doc_id").alias(n), F.col("tokens").alias(f"{n}_tokens"), F.col("hashes").alias(f"{n}_hashes"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(F.size(F.array_intersect("a_tokens", "b_tokens")) >= matches)
+    shared = F.size(F.array_intersect("a_hashes", "b_hashes"))
+    return both.where(100 * shared >= percent * (F.size("a_hashes") + F.size("b_hashes") - shared)).select("a", "b")
 
 
 def near_duplicates(
@@ -194,8 +267,8 @@ def near_duplicates(
     rows = docs.select(col(id_col).cast("bigint").alias("doc_id"), col(text_col).alias("text"))
     signed = cut(signatures(rows.withColumn("text_key", F.xxhash64("text")), words, coordinates))
     named = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
-    groups = cut(named.groupBy("set_key").agg(F.min(F.struct("doc_id", "tokens")).alias("head")).select("set_key", "head.*"))
-    near = links(rows.where("doc_id IS NOT NULL"), groups.select("doc_id", "tokens"), words, percent, coordinates, matches)
+    groups = cut(named.groupBy("set_key").agg(F.min(F.struct("doc_id", "tokens", "n_shingles")).alias("head")).select("set_key", "head.*"))
+    near = links(rows.where("doc_id IS NOT NULL"), groups.select("doc_id", "tokens", "n_shingles"), words, percent, coordinates, matches)
     members = named.select(F.col("doc_id").alias("a"), "set_key").join(groups.select("set_key", F.col("doc_id").alias("b")), "set_key").where("a <> b")
     labels = components(near.unionAll(members.select("a", "b")))
     out = signed.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")

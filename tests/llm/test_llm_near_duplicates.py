@@ -2,9 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from newsmill.llm import graph
+from newsmill.llm import near_duplicates as near
 from newsmill.llm.near_duplicates import near_duplicates
 
 
@@ -58,8 +60,11 @@ def corpus(seed=5):
     return [(i, docs[k]) for i, k in enumerate(order)]
 
 
-@pytest.mark.parametrize("words,percent", [(3, 85), (5, 80)])
-def test_components_as_by_brute_force(spark, words, percent):
+@pytest.mark.parametrize("words,percent,block,few", [(3, 85, 512, 4), (5, 80, 8, 100), (3, 85, 8, 1)])
+def test_components_as_by_brute_force(spark, monkeypatch, words, percent, block, few):
+    """In one block; in many blocks; in many blocks after a round of stars."""
+    monkeypatch.setattr(near, "BLOCK_DOCS", block)
+    monkeypatch.setattr(near, "FEW_BLOCKS", few)
     docs = corpus()
     labels, sizes = brute_components(docs, words, percent)
     got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=words, percent=percent).collect()
@@ -99,3 +104,11 @@ def test_components_of_chains_and_stars(spark):
             parent[max(x, y)] = min(x, y)
     got = {r.id: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: root(x) for x in parent}
+
+
+def test_many_intersections_as_one_by_one():
+    rnd = random.Random(2)
+    sets = [np.unique(np.array([rnd.randrange(9000) for _ in range(rnd.randrange(1, 300))], np.int64)) for _ in range(80)]
+    a, b = np.triu_indices(80, 1)
+    many = near.shared_counts(sets, a, b)
+    assert len(a) > 2048 and many.tolist() == [len(np.intersect1d(sets[x], sets[y])) for x, y in zip(a, b)]
