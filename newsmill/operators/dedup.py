@@ -27,15 +27,27 @@ def _comparable(df: DataFrame, name: str) -> Column:
     return as_text(df, name) if isinstance(dtype, (T.MapType, T.VariantType, T.StructType, T.ArrayType)) else col(name)
 
 
-def distinct_rows(df: DataFrame, order: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
-    """First of each group of equal rows; nested values compare by their text, NULL equals NULL.
+def row_fingerprint(df: DataFrame, ignore: Sequence[str] = ()) -> list[Column]:
+    """Two 64-bit hashes that stand for a whole row but for ``ignore``. Hashes skip NULL, so where the NULLs
+    are is hashed as well."""
+    compared = [_comparable(df, n) for n in df.columns if n not in set(ignore)]
+    gaps = F.concat(F.lit(""), *[F.when(c.isNull(), "1").otherwise("0") for c in compared])
+    return [F.xxhash64(gaps, *compared), F.xxhash64(F.lit(1), gaps, *compared)]
 
-    The order columns and ``ignore`` are not compared. Sorting goes by a 64-bit hash first, so
-    long texts are compared only where the hashes meet.
+
+def distinct_rows(df: DataFrame, ignore: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
+    """One of each group of rows that are equal in every column, ids included; nested values compare by
+    their text, NULL equals NULL.
+
+    Only columns in ``ignore`` (an arrival number, say) are not compared; the row that is first by ``order``
+    stays. Sorting goes by two hashes, the whole rows are compared where both meet.
     """
-    skip = {*order, *ignore}
-    compared = [_comparable(df, n) for n in df.columns if n not in skip]
-    return keep_first(df, [F.xxhash64(*compared), *compared], _order(order))
+    compared = [_comparable(df, n) for n in df.columns if n not in set(ignore)]
+    if not order and not ignore:
+        order = df.columns[:1]  # equal rows: any of them is the first
+    first = _order(order or ignore)
+    keyed = df.withColumns(dict(zip(("_nm_a", "_nm_b"), row_fingerprint(df, ignore))))
+    return keep_first(keyed, [F.col("_nm_a"), F.col("_nm_b"), *compared], first).drop("_nm_a", "_nm_b")
 
 
 def repeats(df: DataFrame, column: str) -> DataFrame:
@@ -52,27 +64,28 @@ def by_id(df: DataFrame, order: Sequence[str], column: str = "record_id") -> Dat
     return df if name is None else keep_first(df, [col(name)], _order(order))
 
 
-def _where_known(df: DataFrame, keys: Sequence[Column], known: Column, order: Sequence[str]) -> DataFrame:
+def _where_known(df: DataFrame, keys: Sequence[Column], known: Column, order: Sequence[str], row: str | None) -> DataFrame:
     """Keep-first among the rows where ``known`` holds; all other rows stay.
 
-    Those others form one-row groups of their own, spread by a hash of their order key: one pass,
-    and no task that has to take every row without a key.
+    With ``row``, a column that is unique per row, those others are groups of one and a single pass is
+    enough. Without it they bypass the exchange, and the input is read once more.
     """
-    alone = F.when(~known, F.xxhash64(*_order(order)))
-    own = [F.when(~known, o) for o in _order(order)]
-    return keep_first(df, [*[F.when(known, k) for k in keys], alone, *own], _order(order))
+    if row is None:
+        return keep_first(df.where(known), keys, _order(order)).unionByName(df.where(~known))
+    alone = F.when(~known, col(row))
+    return keep_first(df, [*[F.when(known, k) for k in keys], alone], [*_order(order), col(row)])
 
 
-def by_url(df: DataFrame, order: Sequence[str], column: str = "url") -> DataFrame:
-    """Rows without a URL all stay. ``order`` must tell any two rows apart."""
+def by_url(df: DataFrame, order: Sequence[str], column: str = "url", row: str | None = None) -> DataFrame:
+    """Rows without a URL all stay, whatever their order values."""
     if column not in df.columns:
         return df
-    return _where_known(df, [col(column)], ~tx.is_blank(as_text(df, column)), order)
+    return _where_known(df, [col(column)], ~F.coalesce(tx.is_blank(as_text(df, column)), F.lit(True)), order, row)
 
 
-def by_title_and_date(df: DataFrame, order: Sequence[str], title: str = "title", date: str | None = None) -> DataFrame:
-    """Rows without a date all stay. ``order`` must tell any two rows apart."""
+def by_title_and_date(df: DataFrame, order: Sequence[str], title: str = "title", date: str | None = None, row: str | None = None) -> DataFrame:
+    """Rows without a date all stay, whatever their order values."""
     name = date or first_present(df, DATE_COLUMNS)
     if title not in df.columns or name is None:
         return df
-    return _where_known(df, [col(title), col(name)], col(name).isNotNull(), order)
+    return _where_known(df, [col(title), col(name)], col(name).isNotNull(), order, row)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from newsmill.columns import col, present
 from newsmill.operators import clean, dedup
+from newsmill.operators.ordering import keep_first
 from newsmill.operators.quality import missing_report, require_valid
 from newsmill.session import cut
 from newsmill.sources.stores import write_results
@@ -31,44 +32,61 @@ def clean_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def deduplicate(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Equal rows, then URLs, then title and date, then ids."""
-    return (
-        df.transform(dedup.distinct_rows, order)
-        .transform(dedup.by_url, order)
-        .transform(dedup.by_title_and_date, order)
-        .transform(dedup.by_id, order)
-    )
+_ROW = "_nm_row"
+
+
+def _steps(stored: DataFrame, order: Sequence[str], arrival: Sequence[str]) -> dict[str, DataFrame]:
+    """The rows left after each rule, as narrow frames: a row number, what the rules look at, and a
+    fingerprint of the whole row. Texts that no rule looks at are not moved."""
+    compared = stored.drop(_ROW)
+    a, b = dedup.row_fingerprint(compared, arrival)
+    names = present(compared, dict.fromkeys([*order, "url", "title", *dedup.DATE_COLUMNS, *dedup.ID_COLUMNS]))
+    narrow = stored.select(_ROW, a.alias("_nm_a"), b.alias("_nm_b"), *[col(n) for n in names])
+    equal = keep_first(narrow, [F.col("_nm_a"), F.col("_nm_b")], [*[col(o) for o in order], F.col(_ROW)]).drop("_nm_a", "_nm_b")
+    url = dedup.by_url(equal, order, row=_ROW)
+    title = dedup.by_title_and_date(url, order, row=_ROW)
+    return {"equal_rows": equal, "url": url, "title_date": title, "id": dedup.by_id(title, [*order, _ROW])}
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """The rows, stored, so that their numbers stay the same however often they are read."""
+    return cut(df).withColumn(_ROW, F.monotonically_increasing_id())
 
 
-def clean_all(df: DataFrame, order: Sequence[str], threshold: float = 0.60, check: bool = False) -> DataFrame:
+def deduplicate(df: DataFrame, order: Sequence[str], arrival: Sequence[str] = ()) -> DataFrame:
+    """Rows equal in every column (but ``arrival``), then URLs, then title and date, then ids.
+
+    The rules work on row numbers; the full rows are stored once and joined once with what is left.
+    """
+    stored = _numbered(df)
+    left = _steps(stored, order, arrival)["id"].select(_ROW)
+    return stored.join(left, _ROW, "left_semi").drop(_ROW)
+
+
+def clean_all(df: DataFrame, order: Sequence[str], threshold: float = 0.60, check: bool = False, arrival: Sequence[str] = ()) -> DataFrame:
     """The eleven-step run. The medians scan only the imputed columns. The deduplicated rows are
     stored once, because the NULL shares, the checks and the caller all read them.
 
-    ``order`` lists columns that tell any two input rows apart and say which comes first; they are
-    not compared by the equal-row step.
+    ``order`` says which of several rows comes first. Every column counts when rows are compared, ids
+    included; only columns in ``arrival``, made up to number the rows, do not.
     """
     rows = df.transform(clean_rows).transform(clean.fill_medians, IMPUTED)
-    unique = cut(deduplicate(rows, order))
+    unique = cut(deduplicate(rows, order, arrival))
     typed = unique.transform(clean.drop_sparse, threshold).transform(clean.convert_types)
     if check:
         require_valid(typed)
     return typed
 
 
-def clean_and_save(df: DataFrame, order: Sequence[str], folder: str, threshold: float = 0.60) -> dict[str, str]:
+def clean_and_save(df: DataFrame, order: Sequence[str], folder: str, threshold: float = 0.60, arrival: Sequence[str] = ()) -> dict[str, str]:
     """The whole run with its files: the missing report of the input and the checked, cleaned rows."""
-    results = {"missing_report": missing_report(df), "cleaned_data": clean_all(df, order, threshold, check=True)}
+    results = {"missing_report": missing_report(df), "cleaned_data": clean_all(df, order, threshold, True, arrival)}
     return write_results(results, folder)
 
 
-def step_counts(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Rows left after each deduplication step. Only the key columns are kept past the first."""
-    rows = df.transform(clean_rows).transform(clean.fill_medians, IMPUTED)
-    keys = present(df, [*order, "url", "title", *dedup.DATE_COLUMNS, *dedup.ID_COLUMNS])
-    unique = cut(dedup.distinct_rows(rows, order).select(*[col(k) for k in dict.fromkeys(keys)]))
-    by_url = dedup.by_url(unique, order)
-    by_title = dedup.by_title_and_date(by_url, order)
-    steps = {"input": rows, "equal_rows": unique, "url": by_url, "title_date": by_title, "id": dedup.by_id(by_title, order)}
+def step_counts(df: DataFrame, order: Sequence[str], arrival: Sequence[str] = ()) -> DataFrame:
+    """Rows left after each deduplication step."""
+    stored = _numbered(df.transform(clean_rows).transform(clean.fill_medians, IMPUTED))
+    steps = {"input": stored} | _steps(stored, order, arrival)
     counts = [d.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("step"), "rows") for n, d in steps.items()]
     return reduce(DataFrame.unionByName, counts)

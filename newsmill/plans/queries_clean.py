@@ -428,27 +428,31 @@ def _(spark, sf):
     return quality.validate(rows.unionByName(rows.withColumn("title", F.lit("copy")).drop("rating_score"), allowMissingColumns=True))
 
 
-_RAW_SQL = f"""raw AS (SELECT doc_id AS record_id, {_RAW_TITLE_SQL} AS title, text AS content_text, source AS category, 'Doc' AS document_type, lang AS language,
+_RAW_SQL = f"""raw0 AS (SELECT doc_id AS record_id, {_RAW_TITLE_SQL} AS title, text AS content_text, source AS category, 'Doc' AS document_type, lang AS language,
   CAST(quality * 7 + toxic * 2 AS DOUBLE) AS rating_score, n_chars AS content_length, CASE WHEN lang <> 'de' THEN 'http://h/' || source || '/' || n_chars END AS url,
-  CASE WHEN lang <> 'es' THEN DATE '2026-03-01' + CAST(doc_id % 50 AS INTEGER) END AS day FROM documents LEFT JOIN labels USING (doc_id))"""
+  CASE WHEN lang <> 'es' THEN DATE '2026-03-01' + CAST(doc_id % 50 AS INTEGER) END AS day FROM documents LEFT JOIN labels USING (doc_id)),
+raw AS (SELECT * FROM raw0 UNION ALL SELECT * FROM raw0 WHERE record_id % 11 = 0 UNION ALL SELECT * REPLACE (record_id + 1000000000 AS record_id) FROM raw0 WHERE record_id % 13 = 0)"""
 
 
 def _raw(spark, sf):
-    """Collected articles with gaps, repeated URLs and repeated titles on a day."""
+    """Collected articles with gaps, repeated URLs and titles on a day, rows that came twice, and rows
+    that came again under another id."""
     labels = table(spark, sf, "labels").select("doc_id", (F.col("quality") * 7 + F.col("toxic") * 2).cast("double").alias("rating_score"))
     day = F.date_add(F.lit("2026-03-01").cast("date"), (F.col("doc_id") % 50).cast("int"))
-    return table(spark, sf, "documents").join(labels, "doc_id", "left").select(
+    once = table(spark, sf, "documents").join(labels, "doc_id", "left").select(
         F.col("doc_id").alias("record_id"), _raw_title().alias("title"), F.col("text").alias("content_text"), F.col("source").alias("category"), F.lit("Doc").alias("document_type"),
         F.col("lang").alias("language"), "rating_score", F.col("n_chars").alias("content_length"),
         F.when(F.col("lang") != "de", F.concat_ws("/", F.lit("http://h"), "source", F.col("n_chars").cast("string"))).alias("url"),
         F.when(F.col("lang") != "es", day.cast("string")).alias("published_date"),
     )
+    renamed = once.where("record_id % 13 = 0").withColumn("record_id", F.col("record_id") + 1_000_000_000)
+    return once.unionByName(once.where("record_id % 11 = 0")).unionByName(renamed)
 
 
 _CLEANED_SQL = f"""{_RAW_SQL}, c AS (SELECT record_id, {_title_sql('title')} AS title, {_body_sql('content_text')} AS content_text, {_label_sql('category')} AS category, 'doc' AS document_type, language,
   nullif(rating_score, 0) AS rating_score, content_length, url, day FROM raw WHERE {_trim('title')} <> ''),
 m AS (SELECT * REPLACE (coalesce(rating_score, (SELECT median(rating_score) FROM c)) AS rating_score) FROM c),
-u0 AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY title, content_text, category, language, rating_score, content_length, url, day ORDER BY record_id) = 1),
+u0 AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY record_id, title, content_text, category, language, rating_score, content_length, url, day ORDER BY record_id) = 1),
 u1 AS (SELECT * FROM u0 QUALIFY url IS NULL OR row_number() OVER (PARTITION BY url ORDER BY record_id) = 1),
 u2 AS (SELECT * FROM u1 QUALIFY day IS NULL OR row_number() OVER (PARTITION BY title, day ORDER BY record_id) = 1)"""
 
@@ -468,16 +472,24 @@ def _(spark, sf):
     return cleaning.step_counts(_raw(spark, sf), ["record_id"])
 
 
-@query("distinct_rows", 122, sql="SELECT doc_id, text, lang, source, n_chars FROM documents QUALIFY row_number() OVER (PARTITION BY text, lang, n_chars ORDER BY doc_id) = 1")
+@query("distinct_rows", 122, sql="SELECT DISTINCT doc_id, text, lang, source, n_chars FROM (SELECT * FROM documents UNION ALL SELECT * REPLACE (doc_id // 2 AS doc_id) FROM documents WHERE doc_id % 4 <> 3)")
 def _(spark, sf):
-    return dedup.distinct_rows(table(spark, sf, "documents"), ["doc_id"], ignore=["source"])
+    docs = table(spark, sf, "documents")
+    moved = docs.where("doc_id % 4 <> 3").withColumn("doc_id", F.floor(F.col("doc_id") / 2))
+    return dedup.distinct_rows(docs.unionByName(moved))
+
+
+@query("first_arrivals", 122, sql="SELECT doc_id AS seq, text, lang, n_chars FROM documents QUALIFY row_number() OVER (PARTITION BY text, lang, n_chars ORDER BY doc_id) = 1")
+def _(spark, sf):
+    arrived = table(spark, sf, "documents").select(F.col("doc_id").alias("seq"), "text", "lang", "n_chars")
+    return dedup.distinct_rows(arrived, ignore=["seq"], order=["seq"])
 
 
 @query("distinct_nested_rows", 122, sql="SELECT min(vec_id) AS vec_id, label FROM embeddings GROUP BY embedding, label")
 def _(spark, sf):
     e = table(spark, sf, "embeddings")
     twice = e.unionByName(e.withColumn("vec_id", F.col("vec_id") + 1_000_000))
-    return dedup.distinct_rows(twice, ["vec_id"]).drop("embedding")
+    return dedup.distinct_rows(twice, ignore=["vec_id"]).drop("embedding")
 
 
 @query("repeats", 123, sql="SELECT count(*) - count(DISTINCT coalesce(user_id, -1)) AS duplicate_count FROM (SELECT CASE WHEN event_type <> 'error' THEN user_id END AS user_id FROM events)")

@@ -71,12 +71,28 @@ def test_years_and_labels(news):
 def test_equal_rows_with_nested_values(spark):
     rows = [(1, 1, "A", ["x"], {"k": 1}), (2, 1, "A", ["x"], {"k": 1}), (3, 2, "B", ["y"], {}), (4, 1, "A", ["x", "x"], {"k": 1})]
     df = spark.createDataFrame(rows, "seq int, record_id int, title string, tags array<string>, m map<string,int>")
-    assert column(dedup.distinct_rows(df, ["seq"]), "seq") == [1, 3, 4]
+    assert column(dedup.distinct_rows(df, ignore=["seq"]), "seq") == [1, 3, 4]
 
 
 def test_null_equals_null_in_equal_rows(spark):
     df = spark.createDataFrame([(2, None, "a"), (1, None, "a"), (3, "", "a")], "seq int, x string, y string")
-    assert column(dedup.distinct_rows(df, ["seq"]), "seq") == [1, 3]
+    assert column(dedup.distinct_rows(df, ignore=["seq"]), "seq") == [1, 3]
+
+
+def test_rows_with_unlike_ids_are_not_equal(spark):
+    rows = [(1, "Title", "text", None, None), (2, "Title", "text", None, None), (2, "Title", "text", None, None)]
+    df = spark.createDataFrame(rows, "record_id long, title string, content_text string, url string, published_date string")
+    assert sorted(r.record_id for r in dedup.distinct_rows(df).collect()) == [1, 2]
+    assert sorted(r.record_id for r in cleaning.deduplicate(df, ["record_id"]).collect()) == [1, 2]
+    gaps = spark.createDataFrame([(None, "a"), ("a", None)], "x string, y string")
+    assert dedup.distinct_rows(gaps).count() == 2
+
+
+def test_rows_without_keys_stay_where_the_order_repeats(spark):
+    df = spark.createDataFrame([(1, "a", None, None), (1, "b", None, None), (1, "c", "u", "2026-01-01"), (1, "d", "u", "2026-01-01")], "seq int, title string, url string, published_date string")
+    assert dedup.by_url(df, ["seq"]).count() == 3
+    assert dedup.by_title_and_date(df, ["seq"]).count() == 4
+    assert cleaning.deduplicate(df, ["seq"]).count() == 3
 
 
 def test_repeats(news, spark):
@@ -101,7 +117,7 @@ def test_rows_without_a_url_all_stay(spark):
 
 def test_dedup_limits_rows_before_the_shuffle(news):
     plan = dedup.by_url(news, ["seq"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    assert plan.count("WindowGroupLimit") >= 1
 
 
 def test_types(news):
@@ -130,7 +146,7 @@ def test_score_out_of_range(spark):
 
 
 def test_whole_run_is_valid(news):
-    out = cleaning.clean_all(news, ["seq"])
+    out = cleaning.clean_all(news, ["seq"], arrival=["seq"])
     assert quality.require_valid(out) == {"passed": 7, "failed": 0}
     assert sorted(column(out, "record_id")) == [1, 2, 4]
     with pytest.raises(quality.ValidationError):
@@ -159,5 +175,5 @@ def test_metrics_keep_the_first_row_per_id(spark):
 def test_empty_input(spark, news):
     nothing = news.where("false")
     assert quality.full_report(nothing).count() == 0
-    assert cleaning.clean_all(nothing, ["seq"]).count() == 0
+    assert cleaning.clean_all(nothing, ["seq"], arrival=["seq"]).count() == 0
     assert quality.outlier_report(nothing).count() == 0
