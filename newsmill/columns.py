@@ -55,6 +55,14 @@ def number(df: DataFrame, name: str) -> Column:
     return F.nanvl(c.cast("string").try_cast("double"), F.lit(None).cast("double"))
 
 
+def measure(df: DataFrame, name: str) -> Column:
+    """As :func:`number`, with NaN as NULL: what means, extremes and quantiles are taken of."""
+    c = number(df, name)
+    if not isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        return c
+    return F.nanvl(c, F.lit(None).cast(df.schema[name].dataType))
+
+
 def number_or_zero(df: DataFrame, name: str) -> Column:
     """As :func:`number`; an absent column or a NULL counts as zero."""
     if name not in df.columns:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsmill.columns import col, fingerprint, first_present, number, number_or_zero, numeric_columns, present, tall, text_columns
+from newsmill.columns import col, fingerprint, first_present, measure, number, number_or_zero, numeric_columns, present, tall, text_columns
 from newsmill.columns import text as as_text
 from newsmill.functions import text as tx
 from newsmill.functions.numbers import clip, half_even
@@ -69,7 +71,7 @@ def yearly_summary(
 ) -> DataFrame:
     """Seven measures per year that has rows, in order; the bounds are inclusive."""
     z = with_zeroed(df, ["rating_score", "estimated_value", "engagement_score", "content_length"])
-    z = z.withColumn(year, number(df, year).cast("int")).where(col(year).isNotNull())
+    z = z.withColumn(year, number(df, year).try_cast("int")).where(col(year).isNotNull())
     if first is not None:
         z = z.where(col(year) >= first)
     if last is not None:
@@ -93,18 +95,25 @@ def _any_text(df: DataFrame, names: Sequence[str]) -> Column:
     return out
 
 
+# A record is counted by category if it has any of these.
+GROUPED_BY_ANY_OF = ["category", "document_type", "source_name", "source", "source_path", "name"]
+
+
 def _first_value(df: DataFrame, names: Sequence[str]) -> Column:
     return F.coalesce(*[as_text(df, n) for n in present(df, names)], F.lit(tx.UNKNOWN))
 
 
 def store_category_groups(df: DataFrame, order: str) -> DataFrame:
     """Records, titles, texts and document types per category; the sample source is that of the
-    first record by ``order``, a column of unique numbers.
+    first record by ``order``, a column of unique numbers. Records without any of the six describing
+    fields are left out.
 
     Only the number of the first record is aggregated: a text in the aggregate would make Spark
     sort the whole input. Its source is looked up afterwards.
     """
-    staged = df.select(
+    given = [col(n).isNotNull() for n in present(df, GROUPED_BY_ANY_OF)]
+    counted = df.where(reduce(or_, given)) if given else df.limit(0)
+    staged = counted.select(
         _first_value(df, ["category", "document_type"]).alias("category"),
         _first_value(df, ["document_type"]).alias("_type"),
         _first_value(df, ["source_name", "source", "source_path"]).alias("_source"),
@@ -141,7 +150,7 @@ def store_source_groups(df: DataFrame) -> DataFrame:
 
 
 def global_mean(df: DataFrame, value: str = "rating_score") -> DataFrame:
-    v = number(df, value)
+    v = measure(df, value)
     return df.agg(
         F.coalesce(F.avg(v), F.lit(0.0)).alias("global_mean"), F.count(F.lit(1)).alias("total_rows"), F.count(v).alias("rating_count")
     )
@@ -151,7 +160,7 @@ def mean_by_group(df: DataFrame, group: str = "language", value: str = "rating_s
     """Mean and count of the rows that have both a group and a value."""
     if group not in df.columns:
         df = df.withColumn(group, F.lit(tx.UNKNOWN))
-    v = number(df, value)
+    v = measure(df, value)
     return (
         df.where(col(group).isNotNull() & v.isNotNull())
         .groupBy(col(group))
@@ -169,7 +178,7 @@ def kpi_row(df: DataFrame) -> DataFrame:
     means = {"rating_score": "avg_rating", "popularity": "avg_popularity", "content_length": "avg_content_length"}
     sums = []
     for n in means:
-        sums += [F.sum(number(df, n).cast("double")).alias(f"s_{n}"), F.count(number(df, n)).alias(f"n_{n}")]
+        sums += [F.sum(measure(df, n).cast("double")).alias(f"s_{n}"), F.count(measure(df, n)).alias(f"n_{n}")]
     pairs = df.groupBy("category", "document_type").agg(F.count(F.lit(1)).alias("n"), *sums)
     return pairs.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"),
@@ -214,7 +223,7 @@ def describe_numbers(df: DataFrame, names: Sequence[str] | None = None) -> DataF
     names = list(names or numeric_columns(df))
     moments = []
     for i, n in enumerate(names):
-        c = number(df, n).cast("double")
+        c = measure(df, n).cast("double")
         moments += [F.count(c).alias(f"n{i}"), F.avg(c).alias(f"a{i}"), F.stddev_samp(c).alias(f"s{i}"), F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}")]
     one = df.agg(*moments)
     rows = [
@@ -239,13 +248,11 @@ def describe_all(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame
     if numbers:
         parts.append(describe_numbers(df, numbers))
     if texts:
-        counts = tall(df, [], [(n, col(n)) for n in texts], "column", "value", "string")
-        counts = counts.where("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
-        best = F.struct((-F.col("c")).alias("neg"), F.col("value"))
-        parts.append(
-            counts.groupBy("column").agg(F.sum("c").alias("count"), F.count(F.lit(1)).alias("unique"), F.min(best).alias("best"))
-            .select("column", "count", "unique", F.col("best.value").alias("top"), (-F.col("best.neg")).alias("freq"))
-        )
+        every = tall(df, [], [(n, col(n)) for n in texts], "column", "value", "string")
+        counts = every.groupBy("column", "value").agg(F.count("value").alias("c"))
+        best = F.min(F.when(F.col("c") > 0, F.struct((-F.col("c")).alias("neg"), F.col("value")))).alias("best")
+        found = counts.groupBy("column").agg(F.sum("c").alias("count"), F.count("value").alias("unique"), best)
+        parts.append(found.select("column", "count", "unique", F.col("best.value").alias("top"), (-F.col("best.neg")).alias("freq")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
@@ -286,7 +293,7 @@ def column_reductions(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Mean and population deviation down each column."""
     pairs = []
     for i, n in enumerate(names):
-        pairs += [F.avg(number(df, n)).alias(f"a{i}"), F.stddev_pop(number(df, n)).alias(f"s{i}")]
+        pairs += [F.avg(measure(df, n)).alias(f"a{i}"), F.stddev_pop(measure(df, n)).alias(f"s{i}")]
     rows = [F.struct(F.lit(n).alias("column"), F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("std")) for i, n in enumerate(names)]
     return df.agg(*pairs).select(F.inline(F.array(*rows)))
 
@@ -294,7 +301,7 @@ def column_reductions(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def row_means(df: DataFrame, names: Sequence[str], out: str = "row_mean") -> DataFrame:
     total = number(df, names[0])
     for n in names[1:]:
-        total = total + number(df, n)
+        total = total + measure(df, n)
     return df.withColumn(out, total / len(names))
 
 
@@ -302,7 +309,7 @@ def correlations(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Pearson coefficient of every column pair over the rows that have both values; one pass.
     Columns with fewer than two values give no row."""
     pairs = [(a, a) for a in names] + list(combinations(names, 2))
-    doubles = {n: number(df, n).cast("double") for n in names}
+    doubles = {n: measure(df, n).cast("double") for n in names}
     exprs = []
     for i, (a, b) in enumerate(pairs):
         both = doubles[a].isNotNull() & doubles[b].isNotNull()
@@ -318,7 +325,7 @@ def correlations(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int = 30, groups: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins over the whole range, the last one closed; bins without rows are absent."""
-    v = number(df, value).cast("double")
+    v = measure(df, value).cast("double")
     valued = df.select(*[col(g) for g in groups], v.alias("_v")).where("_v IS NOT NULL")
     limits = valued.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
     lo, hi = limits.select("lo").scalar(), limits.select("hi").scalar()
@@ -347,7 +354,7 @@ def in_top_groups(df: DataFrame, column: str, top: int) -> DataFrame:
 def box_numbers(df: DataFrame, value: str, group: str, top: int = 8) -> DataFrame:
     """Quartiles, whiskers (the furthest values within 1.5 IQR) and outlier counts for the largest
     groups, ordered by median."""
-    rows = in_top_groups(df, group, top).select(col(group), number(df, value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    rows = in_top_groups(df, group, top).select(col(group), measure(df, value).cast("double").alias("_v")).where("_v IS NOT NULL")
     box = exact_quantiles(rows, ["_v"], QUARTILES, [group]).drop("column")
     iqr = F.col("q3") - F.col("q1")
     # At most ``top`` rows, used twice.
@@ -365,20 +372,20 @@ def box_numbers(df: DataFrame, value: str, group: str, top: int = 8) -> DataFram
 def bar_data(df: DataFrame, group: str, means: dict[str, str], top: int = 10, key: str = "record_id") -> DataFrame:
     """Largest groups with their means; ``means`` maps a measure to its output name."""
     label = tx.fill(as_text(df, group), tx.UNKNOWN).alias(group)
-    aggs = [F.avg(number(df, n)).alias(out) for n, out in means.items()]
+    aggs = [F.avg(measure(df, n)).alias(out) for n, out in means.items()]
     return df.groupBy(label).agg(F.count(col(key)).alias("record_count"), *aggs).orderBy(F.desc("record_count"), group).limit(top)
 
 
 def yearly_chart(df: DataFrame, year: str, means: dict[str, str], key: str = "record_id") -> DataFrame:
-    aggs = [F.avg(number(df, n)).alias(out) for n, out in means.items()]
-    known = df.withColumn(year, number(df, year).cast("int")).where(col(year) > 0)
+    aggs = [F.avg(measure(df, n)).alias(out) for n, out in means.items()]
+    known = df.withColumn(year, number(df, year).try_cast("int")).where(col(year) > 0)
     return known.groupBy(col(year)).agg(F.count(col(key)).alias("record_count"), *aggs).orderBy(col(year))
 
 
 def scatter_data(df: DataFrame, x: str, y: str, size: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Points that have every plotted value; the size is clipped to 0.2–10."""
     plotted = [n for n in (x, y, size) if n]
-    points = df.dropna(subset=plotted).select(*[col(k) for k in keep], *[number(df, n).alias(n) for n in plotted])
+    points = df.dropna(subset=plotted).select(*[col(k) for k in keep], *[measure(df, n).alias(n) for n in plotted])
     return points.withColumn("marker_size", clip(col(size).cast("double"), 0.2, 10.0)) if size else points
 
 
@@ -389,7 +396,7 @@ def top_of(df: DataFrame, by: str, group: str, top: int = 10) -> DataFrame:
 
 def scaled(df: DataFrame, value: str, out: str = "scaled") -> DataFrame:
     """Min-max scaling to 0–1; a constant column scales to 0."""
-    v = number(df, value).cast("double")
+    v = measure(df, value).cast("double")
     limits = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
     lo, hi = limits.select("lo").scalar(), limits.select("hi").scalar()
     return df.withColumn(out, F.when(hi == lo, F.lit(0.0)).otherwise((v - lo) / (hi - lo)))

@@ -207,7 +207,7 @@ def with_analysis_year(df: DataFrame, out: str = "analysis_year") -> DataFrame:
     """The first year column that exists, else the year of the first date column that exists."""
     name = first_present(df, YEAR_COLUMNS)
     if name is not None:
-        return df.withColumn(out, number(df, name).cast("int"))
+        return df.withColumn(out, number(df, name).try_cast("int"))
     name = first_present(df, YEAR_DATE_COLUMNS)
     return df.withColumn(out, F.year(dates.parsed(df, name)) if name else F.lit(None).cast("int"))
 
@@ -221,7 +221,7 @@ def with_published_year(df: DataFrame) -> DataFrame:
     if name is not None:
         year = F.year(dates.parsed(df, name))
     elif "year" in df.columns:
-        year = number(df, "year").cast("int")
+        year = number(df, "year").try_cast("int")
     else:
         return df
     return df.withColumns({"published_year": year, "release_year": year})
@@ -237,7 +237,7 @@ def article_metrics(df: DataFrame, order: Sequence[str]) -> DataFrame:
         return F.coalesce(as_text(df, name), F.lit(default)) if name in df.columns else F.lit(default)
 
     published = dates.parsed(df, "published_date") if "published_date" in df.columns else F.lit(None).cast("timestamp")
-    year = number(df, "published_year").cast("int") if "published_year" in df.columns else F.year(published)
+    year = number(df, "published_year").try_cast("int") if "published_year" in df.columns else F.year(published)
     length, rating, popularity = (number_or_zero(df, n) for n in ("content_length", "rating_score", "popularity"))
     staged = df.withColumns(
         {
@@ -265,7 +265,7 @@ def dashboard_rows(df: DataFrame, key: str = "record_id") -> DataFrame:
     numbers = {n: number(df, n) if n in df.columns else F.lit(None).cast("double") for n in DASHBOARD_NUMBERS}
     row_hash = F.xxhash64(*[as_text(df, n) for n in df.columns])
     numbers["record_id"] = F.coalesce(number(df, key).try_cast("bigint"), row_hash) if key in df.columns else row_hash
-    numbers["published_year"] = F.coalesce(numbers["published_year"].cast("int"), F.lit(0))
+    numbers["published_year"] = F.coalesce(numbers["published_year"].try_cast("int"), F.lit(0))
     for n in ("rating_score", "popularity", "content_length"):
         numbers[n] = F.coalesce(numbers[n], F.lit(0))
     numbers["title_length"] = F.coalesce(numbers["title_length"], F.char_length(texts["title"]))

@@ -151,20 +151,28 @@ def same_type_union(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def last_per_key(df: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the last in ``order``, and without one (or on a tie) that with the largest hash of
+    the whole row, so that the choice does not depend on how the rows are spread."""
+    spread = F.xxhash64(*[as_text(df, n) for n in df.columns])
+    return keep_first(df, [col(key)], [*[col(o).desc() for o in order], spread.desc()])
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
-    """``new`` replaces whole rows of ``old`` by key. Where ``new`` repeats a key, the last row in
-    ``order`` wins."""
-    latest = keep_first(new, [col(key)], [col(o).desc() for o in order]) if order else new
+    """``new`` replaces whole rows of ``old`` by key; of a repeated key :func:`last_per_key` counts."""
+    latest = last_per_key(new, key, order)
     kept = old.join(latest.select(key).distinct(), key, "left_anti")
     return kept.unionByName(latest, allowMissingColumns=True)
 
 
-def merge_fields(old: DataFrame, new: DataFrame, key: str, given: str | None = None) -> DataFrame:
-    """Upsert by field: the fields that ``new`` gives replace, the others stay.
+def merge_fields(old: DataFrame, new: DataFrame, key: str, given: str | None = None, order: Sequence[str] = ()) -> DataFrame:
+    """Upsert by field: the fields that ``new`` gives replace, the others stay; of a repeated key
+    :func:`last_per_key` counts.
 
     ``given`` names an array column of ``new`` with the field names set in each row, so that an
     explicit NULL also replaces; without it every column of ``new`` counts as given.
     """
+    new = last_per_key(new, key, order)
     fields = [n for n in new.columns if n not in (key, given)]
     changes = new.select(
         col(key),
@@ -184,5 +192,5 @@ def merge_fields(old: DataFrame, new: DataFrame, key: str, given: str | None = N
 
 
 def only_new(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Rows of ``incoming`` whose key is not stored yet."""
-    return incoming.join(stored.select(key).distinct(), key, "left_anti")
+    """Rows of ``incoming`` whose key is not stored yet, one per key."""
+    return last_per_key(incoming, key).join(stored.select(key).distinct(), key, "left_anti")

@@ -1,8 +1,8 @@
 """Exact quantiles with linear interpolation.
 
 The built-in exact percentile keeps every distinct value of a group in one task's memory. Here the
-values are cut into ordered ranges, and only the ranges that hold a wanted rank are counted value by
-value and sorted. A task never holds more than one value range of one group.
+values are counted per ordered range, and a range that holds a wanted rank is cut into smaller ones
+until it has few rows or a single value. Only then its values are sorted.
 """
 
 from __future__ import annotations
@@ -12,16 +12,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsmill.columns import col, number, tall
-from newsmill.session import broadcast_if_small
+from newsmill.columns import col, measure, tall
+from newsmill.session import broadcast_if_small, cut
 
-# Value ranges per unit of log1p: a range spans 0.02 % of its value.
+# Value ranges per unit of log1p at first: a range spans 0.02 % of its value, or 0.00024 near zero.
 RESOLUTION = 4096
+# A range of more rows is cut into so many of equal width, unless all its values are the same.
+RANGE_ROWS = 50_000
+PARTS = 1024
 
 
 def value_range(value: Column) -> Column:
     """A whole number that never falls as ``value`` rises (``log1p`` is monotone)."""
-    return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * RESOLUTION)).cast("bigint")
+    size = F.when(F.abs(value) == float("inf"), F.lit(10_000_000)).otherwise(F.floor(F.log1p(F.abs(value)) * RESOLUTION))
+    return (F.signum(value) * size).cast("bigint")
 
 
 def _rank(p: float, total: Column) -> Column:
@@ -29,8 +33,8 @@ def _rank(p: float, total: Column) -> Column:
 
 
 def long_values(df: DataFrame, values: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
-    """One row per non-NULL value: the groups, ``column`` and ``value`` (double)."""
-    entries = [(v, number(df, v)) for v in values]
+    """One row per value that is neither NULL nor NaN: the groups, ``column`` and ``value`` (double)."""
+    entries = [(v, measure(df, v)) for v in values]
     return tall(df, groups, entries, "column", "value", "double").where(F.col("value").isNotNull())
 
 
@@ -38,36 +42,50 @@ def exact_quantiles(df: DataFrame, values: Sequence[str], probs: Mapping[str, fl
     """One row per group and value column: the groups, ``column``, ``n`` and one column per
     entry of ``probs``. NULL values do not count, and NULL groups give no row.
 
-    The input is read twice and hardly shuffled. The first pass counts the rows per value range,
-    which shows the ranges that hold a wanted rank; the second keeps only the values in those.
+    The input is read a few times and hardly shuffled: each pass counts rows per range (map-side) and
+    goes on with the ranges that hold a wanted rank, until each has at most ``RANGE_ROWS`` rows or one
+    value. A last pass sorts the values of those. Only the small table of ranges steers the passes.
     """
     keys = [*groups, "column"]
     ks = [col(k) for k in keys]
     source = df.where(" AND ".join(f"`{g}` IS NOT NULL" for g in groups)) if groups else df
     ranged = long_values(source, values, groups).withColumn("_nm_b", value_range(F.col("value")))
 
-    per_group = Window.partitionBy(*ks)
-    up_to = per_group.orderBy("_nm_b").rowsBetween(Window.unboundedPreceding, 0)
-    ranges = (
-        ranged.groupBy(*ks, "_nm_b")
-        .agg(F.count(F.lit(1)).alias("_nm_c"))
-        .withColumns({"_nm_after": F.sum("_nm_c").over(up_to), "n": F.sum("_nm_c").over(per_group)})
-        .withColumn("_nm_before", F.col("_nm_after") - F.col("_nm_c"))
-    )
-
     def holds(rank: Column, before: Column, after: Column) -> Column:
         return (rank >= before) & (rank < after)
 
-    wanted = F.lit(False)
-    for p in probs.values():
-        for edge in (F.floor, F.ceil):
-            wanted = wanted | holds(edge(_rank(p, F.col("n"))), F.col("_nm_before"), F.col("_nm_after"))
-    wanted_ranges = broadcast_if_small(ranges.where(wanted).select(*ks, "_nm_b", "_nm_before", "n"))
+    def wanted(ranges: DataFrame) -> DataFrame:
+        """The ranges with a wanted rank, stored: their limits, rows, and rows before them."""
+        hit = F.lit(False)
+        for p in probs.values():
+            for edge in (F.floor, F.ceil):
+                hit = hit | holds(edge(_rank(p, F.col("n"))), F.col("_nm_before"), F.col("_nm_before") + F.col("_nm_c"))
+        return cut(ranges.where(hit).select(*ks, "_nm_b", "_nm_lo", "_nm_hi", "_nm_c", "_nm_before", "n"))
 
-    in_range = Window.partitionBy(*ks, "_nm_b").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    counted = [F.count(F.lit(1)).alias("_nm_c"), F.min("value").alias("_nm_lo"), F.max("value").alias("_nm_hi")]
+    per_group = Window.partitionBy(*ks)
+    up_to = per_group.orderBy("_nm_b").rowsBetween(Window.unboundedPreceding, 0)
+    first = ranged.groupBy(*ks, "_nm_b").agg(*counted)
+    ranges = wanted(first.withColumns({"n": F.sum("_nm_c").over(per_group), "_nm_before": F.sum("_nm_c").over(up_to) - F.col("_nm_c")}))
+
+    def within(found: DataFrame) -> DataFrame:
+        """The values inside the ranges."""
+        limits = broadcast_if_small(found.select(*ks, "_nm_b", F.col("_nm_lo").alias("_nm_from"), F.col("_nm_hi").alias("_nm_to"), "_nm_before", "n"))
+        return ranged.join(limits, [*keys, "_nm_b"]).where(F.col("value").between(F.col("_nm_from"), F.col("_nm_to")))
+
+    crowded = (F.col("_nm_c") > RANGE_ROWS) & (F.col("_nm_lo") < F.col("_nm_hi"))
+    while not ranges.where(crowded).isEmpty():
+        share = (F.col("value") - F.col("_nm_from")) / (F.col("_nm_to") - F.col("_nm_from"))
+        part = F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).alias("_nm_part")
+        parts = within(ranges.where(crowded)).groupBy(*ks, "_nm_b", "_nm_from", "_nm_before", "n", part).agg(*counted)
+        below = Window.partitionBy(*ks, "_nm_b", "_nm_from").orderBy("_nm_part").rowsBetween(Window.unboundedPreceding, 0)
+        finer = wanted(parts.withColumn("_nm_before", F.col("_nm_before") + F.sum("_nm_c").over(below) - F.col("_nm_c")))
+        ranges = cut(ranges.where(~crowded).unionByName(finer))
+
+    in_range = Window.partitionBy(*ks, "_nm_b", "_nm_from").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        ranged.join(wanted_ranges, [*keys, "_nm_b"])
-        .groupBy(*ks, "_nm_b", "_nm_before", "n", "value")
+        within(ranges)
+        .groupBy(*ks, "_nm_b", "_nm_from", "_nm_before", "n", "value")
         .agg(F.count(F.lit(1)).alias("_nm_c"))
         .withColumn("_nm_after", F.col("_nm_before") + F.sum("_nm_c").over(in_range))
     )

@@ -171,8 +171,8 @@ def year_range(df: DataFrame, column: str = "published_year") -> DataFrame:
     """First and last known year in one row."""
     known = F.when(number(df, column) > 0, number(df, column))
     return df.agg(
-        F.coalesce(F.min(known), F.lit(DEFAULT_YEARS[0])).cast("int").alias("first_year"),
-        F.coalesce(F.max(known), F.lit(DEFAULT_YEARS[1])).cast("int").alias("last_year"),
+        F.coalesce(F.min(known), F.lit(DEFAULT_YEARS[0])).try_cast("int").alias("first_year"),
+        F.coalesce(F.max(known), F.lit(DEFAULT_YEARS[1])).try_cast("int").alias("last_year"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from newsmill.columns import col, first_present, number, present, with_id
 from newsmill.columns import text as as_text
 from newsmill.functions import dates
+from newsmill.functions import text as tx
 from newsmill.functions.numbers import clip
 from newsmill.operators.ingest import first_text
 
@@ -42,7 +43,7 @@ def _title(df: DataFrame) -> Column:
         return F.lit(UNTITLED)
     given = F.coalesce(as_text(df, name), F.lit(UNTITLED))
     spare = F.coalesce(as_text(df, "file_name"), F.lit(UNTITLED)) if "file_name" in df.columns else F.lit(UNTITLED)
-    return F.coalesce(F.when(F.trim(given) != "", given), spare)
+    return F.coalesce(F.when(tx.strip(given) != "", given), spare)
 
 
 def _rating(df: DataFrame, length: Column) -> Column:

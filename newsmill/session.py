@@ -34,10 +34,13 @@ def build_session(app: str = "newsmill", master: str | None = None, **conf: obje
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a local one only where none is named (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder named by the cluster, in its configuration or as checkpoint folder. A local one
+    serves only a local master (tests); elsewhere other machines could not read it."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SCRATCH:
         _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="newsmill-")

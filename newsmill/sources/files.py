@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsmill.columns import col
 from newsmill.functions import dates
+from newsmill.functions import text as tx
 from newsmill.functions.text import NA_TOKENS, decode_bytes
 from newsmill.operators.ingest import ARTICLE_PAGE, unnest_articles
 
@@ -39,7 +41,7 @@ def read_csv(
         if n in DATE_COLUMNS:
             out.append(dates.parsed(kept, n, date_formats).alias(n))
         else:
-            out.append((col(n) if t == "string" else F.trim(col(n)).try_cast(t)).alias(n))
+            out.append((col(n) if t == "string" else tx.strip(col(n)).try_cast(t)).alias(n))
     return kept.select(*out)
 
 
@@ -101,6 +103,6 @@ def with_fallback(primary, secondary) -> DataFrame:
         df = primary()
         if not df.isEmpty():
             return df
-    except (AnalysisException, OSError, ValueError):
+    except (PySparkException, Py4JError, OSError, ValueError):
         pass
     return secondary()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsmill.columns import col, nan_to_null
+from newsmill.columns import text as as_text
 from newsmill.operators.ingest import flatten_envelopes
 from newsmill.operators.joins import upsert
 
@@ -31,6 +32,9 @@ METRICS_SCHEMA = T.StructType(
     ]
 )
 
+# The most files that one facet of the serving table is written to.
+FILES_PER_FACET = 16
+
 
 def scan_documents(
     spark: SparkSession, path: str, equals: Mapping[str, Any] | None = None, limit: int = 0, flatten: bool = False,
@@ -71,8 +75,8 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of a fixed schema, in its order and types."""
-    return df.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """The columns of a fixed schema, in its order and types; what does not fit is NULL."""
+    return df.select(*[col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def create_table(spark: SparkSession, name: str, path: str, schema: T.StructType = METRICS_SCHEMA, reset: bool = False) -> None:
@@ -100,8 +104,11 @@ def upsert_to(old: DataFrame, new: DataFrame, key: str, path: str, order: Sequen
 
 
 def reload_serving(df: DataFrame, path: str, partition_by: Sequence[str] = ("category",)) -> DataFrame:
-    """Replaces the serving table: NaN becomes NULL, files are laid out by facet."""
-    nan_to_null(df).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Replaces the serving table: NaN becomes NULL, files are laid out by facet, at most
+    ``FILES_PER_FACET`` of each, so that a large facet is written by several tasks."""
+    salt = F.pmod(F.xxhash64(*[as_text(df, n) for n in df.columns]), F.lit(FILES_PER_FACET))
+    laid = nan_to_null(df).repartition(*[col(n) for n in partition_by], salt)
+    laid.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
