@@ -8,6 +8,8 @@ characters are spelled out.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column
@@ -126,9 +128,16 @@ def first_number(c: Column) -> Column:
 
 
 def has_any_word(c: Column, words: list[str]) -> Column:
-    """Whole-word, case-insensitive test against a vocabulary; NULL is false."""
+    """Whole-word, case-insensitive test against a vocabulary; NULL is false.
+
+    The pattern looks at every character, so it runs only on texts that hold one of the words at all.
+    (The long s counts as an s in the pattern, but is no s in lower case.)
+    """
     pattern = rf"(?iu){WORD_START}(?:{'|'.join(re.escape(w) for w in words)}){WORD_END}"
-    return F.coalesce(c, F.lit("")).rlike(pattern)
+    text = F.coalesce(c, F.lit(""))
+    low = F.lower(text)
+    maybe = reduce(or_, [F.contains(low, F.lit(w.lower())) for w in words], F.contains(text, F.lit("\u017f")))
+    return F.when(maybe, text.rlike(pattern)).otherwise(F.lit(False))
 
 
 def starts_with_word(c: Column, prefix: str) -> Column:

@@ -10,19 +10,28 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsmill.columns import col, number_or_zero, require
 
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 10_000
+# From so many rows per group Spark has no group limit, and the parts that groups are then ranked in.
+GROUP_LIMIT = 1000
+SPREAD = 64
 
 
 def keep_first(df: DataFrame, keys: Sequence[Column], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows per key in the given order.
 
     The rank filter becomes a group limit that runs before the shuffle, so a hot key sends at
-    most ``n`` rows per input task.
+    most ``n`` rows per input task. Spark sets that limit only below ``GROUP_LIMIT`` rows; for more, a
+    key is first ranked in ``SPREAD`` parts, so that no task sorts all rows of a hot one.
     """
+    if n >= GROUP_LIMIT:
+        spread = F.pmod(F.xxhash64(*[c for c in (col(f.name) for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType)))]), F.lit(SPREAD))
+        part = Window.partitionBy(*keys, spread).orderBy(*order)
+        df = df.withColumn("_nm_rank", F.row_number().over(part)).where(F.col("_nm_rank") <= n).drop("_nm_rank")
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_nm_rank", F.row_number().over(w)).where(F.col("_nm_rank") <= n).drop("_nm_rank")
 

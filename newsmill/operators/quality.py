@@ -224,7 +224,7 @@ def missing_matrix(df: DataFrame, key: str, rows: int = 200, seed: int = 42) ->
     """NULL flags of the columns that have gaps, for a repeatable sample of rows."""
     gaps = df.agg(*[F.count_if(col(n).isNull()).alias(n) for n in df.columns]).first()
     names = [n for n in df.columns if gaps[n]]
-    picked = df.orderBy(F.xxhash64(col(key), F.lit(seed)), col(key)).limit(rows)
+    picked = df.orderBy(F.md5(F.concat_ws(":", col(key).cast("string"), F.lit(str(seed))).cast("binary")), col(key)).limit(rows)
     return picked.select(col(key), *[col(n).isNull().alias(f"{n}_missing") for n in names])
 
 

@@ -11,7 +11,6 @@ from newsmill.columns import col, first_present, number, present, tall
 from newsmill.functions import text as tx
 from newsmill.session import cut
 
-MAX_PIVOT_COLUMNS = 1_000
 ALL = "All"
 
 # The default id columns and measures of the long form.
@@ -34,10 +33,11 @@ def melt_metrics(df: DataFrame, ids: Sequence[str] | None = None, values: Sequen
 
 
 def pivot_values(df: DataFrame, column: str) -> list:
-    """The distinct values that become columns; refuses a result too wide for a table."""
-    found = [r[0] for r in df.select(col(column)).where(col(column).isNotNull()).distinct().limit(MAX_PIVOT_COLUMNS + 1).collect()]
-    if len(found) > MAX_PIVOT_COLUMNS:
-        raise ValueError(f"{column} has more than {MAX_PIVOT_COLUMNS} values")
+    """The distinct values that become columns, as many as Spark itself allows in a pivot."""
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    found = [r[0] for r in df.select(col(column)).where(col(column).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values (spark.sql.pivotMaxValues)")
     return sorted(found)
 
 

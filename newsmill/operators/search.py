@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 import numpy as np
@@ -28,8 +29,8 @@ METADATA_DEFAULTS = {"title": "Untitled"}
 RRF_K = 60
 NO_DOCUMENT = "Unknown news document"
 
-# The queries travel to every task, so their number is bounded.
-MAX_QUERIES = 1024
+# Queries that one pass over the vectors answers; more are answered block by block.
+QUERY_BLOCK = 1024
 
 
 def searchable_text(df: DataFrame) -> Column:
@@ -96,14 +97,18 @@ def nearest(
     df: DataFrame, queries: Mapping[str, Sequence[float]], k: int = 10, key: str = "id", vector: str = "embedding",
     keep: Sequence[str] = (), where: Mapping[str, Any] | None = None,
 ) -> DataFrame:
-    """The ``k`` nearest rows by cosine for each query vector, exactly.
+    """The ``k`` nearest rows by cosine for each query vector, exactly. Vectors of another width have no
+    cosine and no rank; :func:`other_widths` lists them.
 
     Each Arrow batch is scored by one matrix product and keeps its ``k`` best rows per query (all
     rows level with the last one are weighed by key), so the shuffle carries only candidates.
     """
-    if not queries or len(queries) > MAX_QUERIES:
-        raise ValueError(f"between 1 and {MAX_QUERIES} queries are needed")
+    if not queries:
+        raise ValueError("at least one query is needed")
     names = list(queries)
+    if len(names) > QUERY_BLOCK:
+        blocks = [{q: queries[q] for q in names[i : i + QUERY_BLOCK]} for i in range(0, len(names), QUERY_BLOCK)]
+        return reduce(DataFrame.unionAll, [nearest(df, b, k, key, vector, keep, where) for b in blocks])
     matrix = np.asarray([queries[q] for q in names], dtype="float64")
     lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
     unit = np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
@@ -139,16 +144,25 @@ def nearest(
     ).withColumn("search_type", F.lit("semantic"))
 
 
+def other_widths(df: DataFrame, width: int, key: str = "id", vector: str = "embedding") -> DataFrame:
+    """Key and width of the rows whose vector a query of ``width`` numbers cannot be compared with."""
+    size = F.size(col(vector))
+    return df.where(col(vector).isNull() | (size != width)).select(col(key), F.when(col(vector).isNotNull(), size).alias("width"))
+
+
 def vector_search(df: DataFrame, query: Sequence[float], k: int = 10, **options: Any) -> DataFrame:
     """One query; see :func:`nearest`."""
     return nearest(df, {"q": query}, k, **options).drop("query")
 
 
 def similarity_to(df: DataFrame, anchors: Mapping[str, Sequence[float]], key: str = "id", vector: str = "embedding") -> DataFrame:
-    """Cosine of every row to each of a bounded set of anchor vectors, in long form."""
-    if not anchors or len(anchors) > MAX_QUERIES:
-        raise ValueError(f"between 1 and {MAX_QUERIES} anchors are needed")
+    """Cosine of every row to each anchor vector, in long form; NULL where the widths differ."""
+    if not anchors:
+        raise ValueError("at least one anchor is needed")
     names = list(anchors)
+    if len(names) > QUERY_BLOCK:
+        blocks = [{a: anchors[a] for a in names[i : i + QUERY_BLOCK]} for i in range(0, len(names), QUERY_BLOCK)]
+        return reduce(DataFrame.unionAll, [similarity_to(df, b, key, vector) for b in blocks])
     matrix = np.asarray([anchors[a] for a in names], dtype="float64")
     lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
     unit = matrix / np.where(lengths == 0, 1, lengths)
@@ -167,7 +181,8 @@ def similarity_to(df: DataFrame, anchors: Mapping[str, Sequence[float]], key: st
 
     labels = F.array(*[F.lit(a) for a in names])
     zipped = F.arrays_zip(labels.alias("anchor"), F.col("cosines").alias("cosine"))
-    return source.mapInArrow(score, schema).select(col(key), F.inline(zipped))
+    unlike = other_widths(df, width, key, vector).select(col(key), F.explode(labels).alias("anchor"), F.lit(None).cast("double").alias("cosine"))
+    return source.mapInArrow(score, schema).select(col(key), F.inline(zipped)).unionAll(unlike)
 
 
 def fuse(keyword: DataFrame, semantic: DataFrame, key: str = "record_id", k: int = RRF_K) -> DataFrame:

@@ -409,7 +409,7 @@ def _(spark, sf):
     return clean.drop_sparse(rows)
 
 
-@query("missing_matrix", 119)
+@query("missing_matrix", 119, sql=f"WITH {RATED_SQL} SELECT record_id, rating_score IS NULL AS rating_score_missing, mentions IS NULL AS mentions_missing FROM rated ORDER BY md5(record_id::VARCHAR || ':42'), record_id LIMIT 200")
 def _(spark, sf):
     return quality.missing_matrix(rated(spark, sf), "record_id")
 

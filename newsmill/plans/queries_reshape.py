@@ -134,7 +134,7 @@ def _series_sql(unit: str, extra: str = "", total: str = "round(sum(v), 2)") ->
     months = {"month": 1, "quarter": 3, "year": 12}[unit]
     median = ", round(median(v), 4) AS median_estimated_value" if extra else ""
     keep = ", median_estimated_value" if extra else ""
-    return f"""r AS (SELECT date_trunc('{unit}', o_orderdate)::DATE AS p, o_totalprice / 997 AS v FROM orders WHERE o_orderstatus = 'F' AND month(o_orderdate) NOT IN (4, 5, 6)),
+    return f"""r AS (SELECT date_trunc('{unit}', CASE WHEN month(o_orderdate) IN (4, 5, 6) THEN o_orderdate + INTERVAL 3 MONTH ELSE o_orderdate END)::DATE AS p, o_totalprice / 997 AS v FROM orders),
     t AS (SELECT p, count(*) AS c, {total} AS total_estimated_value, round(avg(v), 4) AS avg_estimated_value{median} FROM r GROUP BY p),
     spine AS (SELECT unnest(generate_series((SELECT min(p) FROM r)::TIMESTAMP, (SELECT max(p) FROM r)::TIMESTAMP, INTERVAL {months} MONTH))::DATE AS p),
     series AS (SELECT last_day((p + INTERVAL {months - 1} MONTH)::DATE) AS analysis_date, coalesce(c, 0) AS article_count,
@@ -142,7 +142,10 @@ def _series_sql(unit: str, extra: str = "", total: str = "round(sum(v), 2)") ->
 
 
 def _gappy(spark, sf):
-    return dated(spark, sf).where("document_type = 'F' AND month(published_date) NOT IN (4, 5, 6)")
+    """All orders; those of the second quarter are moved to the third, which leaves gaps."""
+    date = F.col("published_date")
+    moved = F.when(F.month(date).isin(4, 5, 6), F.add_months(date, 3).cast("timestamp_ntz")).otherwise(date)
+    return dated(spark, sf).withColumn("published_date", moved)
 
 
 _SUMS = ["total_estimated_value"]

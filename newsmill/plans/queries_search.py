@@ -71,8 +71,9 @@ def _(spark, sf):
 
 
 def _first_per_label(vectors) -> dict[str, list[float]]:
-    """One query vector per label; the search itself refuses more than its bound."""
-    firsts = vectors.groupBy("label").agg(F.min_by("embedding", "record_id").alias("v")).limit(search.MAX_QUERIES + 1).collect()
+    """The first vector of each label."""
+    first = vectors.groupBy("label").agg(F.min("record_id").alias("record_id"))
+    firsts = vectors.join(first, ["label", "record_id"]).select("label", F.col("embedding").alias("v")).collect()
     return {str(r["label"]): list(r["v"]) for r in firsts}
 
 

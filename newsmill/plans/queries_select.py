@@ -73,10 +73,13 @@ def _(spark, sf):
 
 @query(
     "crime_rows", 36,
-    sql=f"WITH {ARTICLES_SQL} SELECT record_id, title, content_text, category, document_type, source_name FROM articles WHERE regexp_matches(content_text, '{_sql_words(CRIME_TERMS)}')",
+    sql=f"""WITH {ARTICLES_SQL}, a AS (SELECT * REPLACE (CASE WHEN record_id % 4 = 0 THEN content_text || ' The Murder, they said.' WHEN record_id % 4 = 1 THEN content_text || ' murderously' ELSE content_text END AS content_text) FROM articles)
+    SELECT record_id, title, content_text, category, document_type, source_name FROM a WHERE regexp_matches(content_text, '{_sql_words(CRIME_TERMS)}')""",
 )
 def _(spark, sf):
-    return select.crime_rows(articles(spark, sf))
+    body, turn = F.col("content_text"), F.col("record_id") % 4
+    told = F.when(turn == 0, F.concat(body, F.lit(" The Murder, they said."))).when(turn == 1, F.concat(body, F.lit(" murderously"))).otherwise(body)
+    return select.crime_rows(articles(spark, sf).withColumn("content_text", told))
 
 
 @query(
@@ -153,17 +156,20 @@ def _(spark, sf):
 
 
 def _join_sides(spark, sf):
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("record_id"), F.col("lang").alias("label"), "source")
+    # Keys without a partner on either side, and rows without a key.
+    key = F.when(F.col("lang") == "fr", F.col("doc_id") + 1_000_000_000).when(F.col("lang") != "de", F.col("doc_id"))
+    docs = table(spark, sf, "documents").select(key.alias("record_id"), F.col("lang").alias("label"), "source")
     labels = table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("record_id"), F.col("quality").alias("label"), "toxic")
-    return docs.where("lang = 'en'"), labels
+    return docs, labels
 
 
+_JOIN_SIDE = "(SELECT * FROM (SELECT * REPLACE (CASE WHEN lang = 'fr' THEN doc_id + 1000000000 WHEN lang <> 'de' THEN doc_id END AS doc_id) FROM documents) WHERE doc_id IS NOT NULL)"
 _JOIN_SQL = """SELECT coalesce(d.doc_id, l.doc_id) AS record_id, d.lang AS label_mysql, d.source, l.quality AS label_mongo, l.toxic
-FROM (SELECT * FROM documents WHERE lang = 'en') d {kind} JOIN labels l ON d.doc_id = l.doc_id"""
+FROM {side} d {kind} JOIN labels l ON d.doc_id = l.doc_id"""
 
 
 def _register_join(kind: str) -> None:
-    @query(f"join_{kind}", 42, sql=_JOIN_SQL.format(kind="FULL OUTER" if kind == "outer" else kind.upper()))
+    @query(f"join_{kind}", 42, sql=_JOIN_SQL.format(side=_JOIN_SIDE, kind="FULL OUTER" if kind == "outer" else kind.upper()))
     def _(spark, sf):
         left, right = _join_sides(spark, sf)
         return joins.merge(left, right, "record_id", kind)
@@ -185,7 +191,7 @@ def _(spark, sf):
 
 @query(
     "join_counts", 43,
-    sql="""WITH d AS (SELECT doc_id FROM documents WHERE lang = 'en')
+    sql=f"""WITH d AS {_JOIN_SIDE}
     SELECT 'inner' AS join_type, count(*) AS row_count FROM d JOIN labels USING (doc_id)
     UNION ALL SELECT 'left', count(*) FROM d LEFT JOIN labels USING (doc_id)
     UNION ALL SELECT 'right', count(*) FROM d RIGHT JOIN labels USING (doc_id)

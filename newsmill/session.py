@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only after its rows were counted and found below this.
-BROADCAST_ROWS = 200_000
+# A side is broadcast only after its size was measured and found below this.
+BROADCAST_BYTES = 32 << 20
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 
@@ -61,14 +63,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Store ``df`` once, count it, and mark it for broadcast only below ``max_rows``.
+def _bytes(df: DataFrame) -> int:
+    """The size of the rows: 16 bytes a value, and what texts and nested values hold."""
+    wide = [F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{n}`").alias("v"))) if t[:5] in ("array", "struc", "map<s") else F.col(f"`{n}`").cast("string")), F.lit(0)) for n, t in df.dtypes]
+    total = reduce(add, wide, F.lit(16 * len(wide)))
+    return df.agg(F.coalesce(F.sum(total.cast("long")), F.lit(0))).first()[0]
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Store ``df`` once, measure it, and mark it for broadcast only up to ``max_bytes``.
 
     Above the bound the plain stored frame comes back: the join then shuffles, and adaptive
     execution splits its skewed partitions.
     """
     stored = cut(df)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
+    return F.broadcast(stored) if _bytes(stored) <= max_bytes else stored
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -62,22 +62,24 @@ def live_ticks(feed: DataFrame, tick: str = "1 minute", alert: Column | None = N
     )
 
 
-def thinned(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
+def thinned(feed: DataFrame, keys: Sequence[str], time: str = "ts") -> DataFrame:
     """Drops copies that meet in one Arrow batch, before any shuffle: of an event delivered over
-    and over, each task then sends a few copies instead of all."""
+    and over, each task then sends a few copies instead of all. The copy with the latest time stays, so
+    that an event with one copy in time is not lost with a late one."""
 
-    def first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def latest_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = pa.Table.from_batches([batch]).append_column("_nm_row", pa.array(np.arange(batch.num_rows)))
-            firsts = rows.group_by(list(keys)).aggregate([("_nm_row", "min")])["_nm_row_min"]
+            ordered = rows.sort_by([(time, "descending"), ("_nm_row", "ascending")])
+            firsts = ordered.group_by(list(keys), use_threads=False).aggregate([("_nm_row", "first")])["_nm_row_first"]
             yield batch if len(firsts) == batch.num_rows else batch.take(firsts.combine_chunks())
 
-    return feed.mapInArrow(first_copies, feed.schema)
+    return feed.mapInArrow(latest_copies, feed.schema)
 
 
 def new_events(feed: DataFrame, keys: Sequence[str], time: str = "ts", lateness: str = "1 day", thin: bool = True) -> DataFrame:
     """Events not seen before; a key is remembered as long as a late copy may still come."""
-    source = thinned(feed, keys) if thin else feed
+    source = thinned(feed, keys, time) if thin else feed
     return source.withWatermark(time, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 

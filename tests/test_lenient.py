@@ -73,3 +73,19 @@ def test_text_column_without_a_value_is_described(spark):
 def test_category_groups_leave_out_records_without_any_field(spark):
     df = spark.createDataFrame([(1, None, None, "t"), (2, "c", None, "t"), (3, None, "s", "t")], "record_id long, category string, source string, title string")
     assert sum(r.record_count for r in aggregates.store_category_groups(df, "record_id").collect()) == 2
+
+
+def test_thinning_keeps_the_copy_that_is_in_time(spark):
+    from newsmill.streaming.feeds import thinned
+
+    rows = [(7, "2026-01-01 00:00:00"), (7, "2026-01-05 00:00:00"), (8, "2026-01-02 00:00:00"), (7, "2026-01-03 00:00:00")]
+    df = spark.createDataFrame(rows, "event_id long, ts string").select("event_id", F.to_timestamp("ts").alias("ts")).coalesce(1)
+    assert sorted((r.event_id, r.ts.day) for r in thinned(df, ["event_id"]).collect()) == [(7, 5), (8, 2)]
+
+
+def test_top_rows_of_a_group_beyond_the_group_limit(spark):
+    from newsmill.operators.ordering import keep_first
+
+    df = spark.range(5000).select((F.col("id") % 2).alias("g"), "id")
+    got = keep_first(df, [F.col("g")], [F.col("id").desc()], 1500).groupBy("g").agg(F.count("id").alias("n"), F.min("id").alias("lo")).orderBy("g").collect()
+    assert [(r.n, r.lo) for r in got] == [(1500, 2000), (1500, 2001)]

@@ -40,11 +40,20 @@ def test_fewer_rows_than_wanted_and_gaps(spark):
     assert [(r["id"], r["similarity_score"]) for r in search.vector_search(df, [1.0, 0.0], 10).orderBy("rank").collect()] == [(1, 1.0), (3, 0.0)]
 
 
-def test_number_of_queries_is_bounded(points):
+def test_many_queries_are_answered_in_blocks(points, monkeypatch):
     with pytest.raises(ValueError):
         search.nearest(points[1], {})
-    with pytest.raises(ValueError):
-        search.nearest(points[1], {str(i): [1.0] * 4 for i in range(search.MAX_QUERIES + 1)})
+    monkeypatch.setattr(search, "QUERY_BLOCK", 2)
+    many = {str(i): [1.0, float(i), 0.0, 0.0] for i in range(5)}
+    assert search.nearest(points[1], many, k=1).select("query").distinct().count() == 5
+    assert search.similarity_to(points[1], many).count() == 5 * points[1].count()
+
+
+def test_vectors_of_another_width_are_listed(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (4, [1.0])], "id long, embedding array<float>")
+    assert sorted(tuple(r) for r in search.other_widths(df, 2).collect()) == [(2, None), (4, 1)]
+    got = {r["id"]: r["cosine"] for r in search.similarity_to(df, {"x": [1.0, 0.0]}).collect()}
+    assert got == {1: 1.0, 2: None, 4: None}
 
 
 def test_similarity_to_anchors(points):
