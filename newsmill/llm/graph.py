@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from newsmill.session import cut
@@ -20,6 +20,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionAll(least.select("a", F.col("m").alias("b")))
 
 
+def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links, written, with their number and a hash of all of them, taken while they are written."""
+    seen = Observation()
+    counted = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h"))
+    stored = cut(counted)
+    return stored, tuple(sorted(seen.get.items()))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(a, b)`` links to ``(id, component)``, the smallest id reachable; ids without a link are absent.
 
@@ -27,13 +35,10 @@ def components(edges: DataFrame) -> DataFrame:
     Only minima and joins are used, so that a neighbour list is never gathered, and the rounds grow with
     the logarithm of the longest chain. Every round is written to the shared checkpoint folder.
     """
-    state = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    state, now = _stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     mark = None
-    while True:
-        now = state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == mark:
-            break
+    while now != mark:
         mark = now
-        state = cut(_small_star(_large_star(state).where("a <> b").distinct()).where("a <> b").distinct())
+        state, now = _stored(_small_star(_large_star(state).where("a <> b")).where("a <> b").distinct())
     roots = state.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return state.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(roots)

@@ -196,12 +196,11 @@ def _compared(members: DataFrame, matches: int, percent: int) -> DataFrame:
     return dealt.groupBy("cluster", "lo", "hi").applyInArrow(one, "a bigint, b bigint")
 
 
-def _clustered(pairs: DataFrame, heads: DataFrame) -> DataFrame:
-    """Documents with their cluster (what posting lists connect), its number of blocks and their tokens."""
-    named = components(pairs).withColumnsRenamed({"id": "doc_id", "component": "cluster"}).join(heads, "doc_id")
+def _in_blocks(named: DataFrame) -> DataFrame:
+    """Documents with the number of blocks of their cluster."""
     sizes = named.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("long")
-    return cut(named.join(sizes.select("cluster", blocks.alias("blocks")), "cluster").select("doc_id", "cluster", "blocks", "tokens"))
+    return named.join(sizes.select("cluster", blocks.alias("blocks")), "cluster")
 
 
 def _starred(lists: DataFrame) -> DataFrame:
@@ -216,27 +215,27 @@ def links(docs: DataFrame, heads: DataFrame, words: int, percent: int, coordinat
     Documents that posting lists connect form a cluster; all similar pairs lie within clusters, and small
     clusters are compared at once. In a large one every document is first compared with the smallest one
     of each of its lists, which connects most of a group of copies in a pass that is linear in its size.
-    Lists that hold documents of more than one component after that form clusters anew, and those are
-    compared by blocks, leaving out pairs of one component.
+    Documents of lists that hold more than one of these groups after that are compared by blocks, leaving
+    out pairs within a group.
     """
     lists = cut(postings(heads, matches, coordinates))
-    members = _clustered(_starred(lists), heads)
-    own = F.col("doc_id").alias("component")
+    clusters = components(_starred(lists)).withColumnsRenamed({"id": "doc_id", "component": "cluster"})
+    members = cut(_in_blocks(clusters.join(heads, "doc_id")))
     small = members.where(F.col("blocks") <= FEW_BLOCKS)
-    near = cut(_compared(_with_sets(docs, small, words).select("*", own), matches, percent))
+    near = cut(_compared(_with_sets(docs, small, words).withColumn("component", F.col("doc_id")), matches, percent))
     large = members.where(F.col("blocks") > FEW_BLOCKS)
     if large.isEmpty():
         return near
-    known = cut(_with_sets(docs, large, words))
+    known = cut(_with_sets(docs, large.drop("blocks"), words))
     crowded = lists.join(large.select("doc_id"), "doc_id", "left_semi")
     star = cut(_confirmed(_starred(crowded).where("a <> b"), known, matches, percent))
-    label = components(star).withColumnsRenamed({"id": "doc_id"})
+    # The smallest centre that a document is linked with stands for what is connected already.
+    label = star.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "doc_id")
     named = crowded.join(label, "doc_id", "left").select("token", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    named = cut(named)
     apart = named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    again = _clustered(_starred(crowded.join(apart.select("token"), "token", "left_semi")), heads)
-    rest = again.drop("tokens").join(known.select("doc_id", "tokens", "hashes"), "doc_id").join(label, "doc_id", "left")
-    rest = rest.withColumn("component", F.coalesce("component", "doc_id"))
-    return near.unionAll(star).unionAll(_compared(rest, matches, percent))
+    rest = named.join(apart.select("token"), "token", "left_semi").select("doc_id", "component").distinct()
+    return near.unionAll(star).unionAll(_compared(_in_blocks(known.join(rest, "doc_id")), matches, percent))
 
 
 def _confirmed(pairs: DataFrame, known: DataFrame, matches: int, percent: int) -> DataFrame:
