@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from html.entities import name2codepoint
 from operator import or_
 
 import pandas as pd
@@ -263,3 +264,36 @@ def decode_bytes(content: Column, fallback: str = "iso-8859-1") -> Column:
         .when(F.is_valid_utf8(as_text), as_text)
         .otherwise(decode_as(content, fallback))
     )
+
+
+_ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def decode_entities(c: Column) -> Column:
+    """Character references as the characters that they stand for, each decoded once. Names are those of
+    the standard library's table; unknown ones stay, numbers that name no character become U+FFFD."""
+    names = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))], F.lit("apos"), F.lit("'"))
+
+    def character(found: Column) -> Column:
+        hexadecimal = F.conv(F.substr(found, F.lit(3)), 16, 10)
+        code = F.when(F.rlike(found, F.lit("^#[xX]")), hexadecimal).otherwise(F.substr(found, F.lit(2))).try_cast("int")
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        numbered = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+        named = F.coalesce(F.element_at(names, found), F.concat(F.lit("&"), found, F.lit(";")))
+        return F.when(F.startswith(found, F.lit("#")), numbered).otherwise(named)
+
+    between = F.split(c, _ENTITY, -1)
+    found = F.regexp_extract_all(c, F.lit(_ENTITY), F.lit(1))
+    parts = F.zip_with(between, found, lambda b, f: F.concat(b, F.coalesce(character(f), F.lit(""))))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(parts, "")).otherwise(c)
+
+
+def with_class(name: str) -> str:
+    """A pattern for a class attribute that lists ``name``, quoted in either way or not at all; no groups."""
+    quoted = [rf"{q}(?:[^{q}]*\s)?{name}(?:\s[^{q}]*)?{q}" for q in "\"'"]
+    return rf"\bclass\s*=\s*(?:{'|'.join(quoted)}|{name}(?=[\s>]))"
+
+
+def attribute_value(name: str) -> str:
+    """A pattern whose only group is the value of an attribute, quoted in either way or not at all."""
+    return rf"""\b{name}\s*=\s*["']?((?<=")[^"]*|(?<=')[^']*|(?<!["'])[^\s"'>]+)"""

@@ -35,16 +35,16 @@ ARTICLE_PAGE = T.StructType(
 )
 
 # Row and cell patterns of a table whose rows and cells carry class names.
-TEAM_ROW = r'(?is)<tr[^>]*class="(?:[^"]*\s)?team(?:\s[^"]*)?"[^>]*>(.*?)</tr>'
+TEAM_ROW = rf"(?is)<tr\b[^>]*{tx.with_class('team')}[^>]*>(.*?)</tr>"
 LINK_ROW = r"(?is)<li[^>]*>(.*?)</li>"
 
 
 def class_cell(name: str) -> str:
-    return rf'(?is)<td[^>]*class="(?:[^"]*\s)?{name}(?:\s[^"]*)?"[^>]*>(.*?)</td>'
+    return rf"(?is)<td\b[^>]*{tx.with_class(name)}[^>]*>(.*?)</td>"
 
 
 TEAM_CELLS = {n: class_cell(n) for n in ("name", "year", "wins", "losses")}
-LINK_CELLS = {"href": r'(?is)<a[^>]*href="([^"]*)"', "label": r"(?is)<a[^>]*>(.*?)</a>"}
+LINK_CELLS = {"href": rf"(?is)<a\b[^>]*{tx.attribute_value('href')}", "label": r"(?is)<a[^>]*>(.*?)</a>"}
 
 
 def _envelope_columns(df: DataFrame, payload: Mapping[str, Column]) -> list[Column]:
@@ -102,9 +102,10 @@ def first_text(df: DataFrame, names: Sequence[str], fallback: Column) -> Column:
 
 
 def html_rows(df: DataFrame, html: str, row: str, cells: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
-    """One row per match of the row pattern with the text of each cell; an absent cell is ''."""
+    """One row per match of the row pattern with the text of each cell, character references decoded; an
+    absent cell is ''."""
     found = df.select(*[col(k) for k in keep], F.posexplode(F.regexp_extract_all(col(html), F.lit(row), F.lit(1))).alias("position", "_nm_row"))
-    texts = {n: tx.strip(F.regexp_replace(F.regexp_extract("_nm_row", p, 1), "<[^>]*>", "")) for n, p in cells.items()}
+    texts = {n: tx.strip(tx.decode_entities(F.regexp_replace(F.regexp_extract("_nm_row", p, 1), "<[^>]*>", ""))) for n, p in cells.items()}
     return found.select(*[col(k) for k in keep], "position", *[c.alias(n) for n, c in texts.items()])
 
 

@@ -55,8 +55,8 @@ def _(spark, sf):
 
 @query(
     "html_rows", 20,
-    sql=r"""SELECT page_id, generate_subscripts(m, 1)::INTEGER - 1 AS position, trim(regexp_extract(unnest(m), '<a[^>]*href="([^"]*)"', 1)) AS href,
-    trim(regexp_replace(regexp_extract(unnest(m), '<a[^>]*>(.*?)</a>', 1), '<[^>]*>', '', 'g')) AS label
+    sql=r"""SELECT page_id, generate_subscripts(m, 1)::INTEGER - 1 AS position, trim(replace(regexp_extract(unnest(m), '<a[^>]*href="([^"]*)"', 1), '&amp;', '&')) AS href,
+    trim(replace(regexp_replace(regexp_extract(unnest(m), '<a[^>]*>(.*?)</a>', 1), '<[^>]*>', '', 'g'), '&amp;', '&')) AS label
     FROM (SELECT page_id, regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1) AS m FROM pages)""",
 )
 def _(spark, sf):
@@ -65,14 +65,16 @@ def _(spark, sf):
 
 @query(
     "html_table_rows", 20,
-    sql="SELECT s_nationkey, s_name AS name, CAST(s_suppkey AS VARCHAR) AS year, CASE WHEN s_acctbal < 0 THEN '' ELSE CAST(s_nationkey AS VARCHAR) END AS wins, '' AS losses FROM supplier",
+    sql="SELECT s_nationkey, s_name || ' & <é' AS name, CAST(s_suppkey AS VARCHAR) AS year, CASE WHEN s_acctbal < 0 THEN '' ELSE CAST(s_nationkey AS VARCHAR) END AS wins, '' AS losses FROM supplier",
 )
 def _(spark, sf):
     # One page per supplier and nation, with one table row; some cells are absent.
-    cell = lambda name, value: F.concat(F.lit(f'<td class="{name}"> '), value, F.lit("\n</td>"))
+    # Attributes are quoted in both ways or not at all, and characters are written as references.
+    quotes = {"name": "'name'", "year": "year", "wins": '"x wins"'}
+    cell = lambda name, value: F.concat(F.lit(f"<td class={quotes[name]}> "), value, F.lit("\n</td>"))
     suppliers = table(spark, sf, "supplier")
     wins = F.when(F.col("s_acctbal") < 0, "").otherwise(cell("wins", F.col("s_nationkey").cast("string")))
-    row = F.concat(F.lit('<table><tr class="team">'), cell("name", F.col("s_name")), cell("year", F.col("s_suppkey").cast("string")), wins, F.lit("</tr></table>"))
+    row = F.concat(F.lit('<table><tr class="team">'), cell("name", F.concat("s_name", F.lit(" &amp; &lt;&#xe9;"))), cell("year", F.col("s_suppkey").cast("string")), wins, F.lit("</tr></table>"))
     pages = suppliers.select("s_nationkey", row.alias("html"))
     return ingest.html_rows(pages, "html", ingest.TEAM_ROW, ingest.TEAM_CELLS, ["s_nationkey"]).drop("position")
 

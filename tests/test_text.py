@@ -103,3 +103,9 @@ def test_dates_are_parsed_row_by_row(spark):
     df = spark.createDataFrame([("2026-03-01",), ("01/02/2026",), ("2026-03-01T10:00:00Z",), ("soon",), (None,)], "d string")
     found = [str(r[0]) for r in df.select(parsed(df, "d", ["dd/MM/yyyy"])).collect()]
     assert found == ["2026-03-01 00:00:00", "2026-02-01 00:00:00", "2026-03-01 10:00:00", "None", "None"]
+
+
+def test_character_references(spark):
+    texts = ["a &amp; b", "&#38;lt;", "&amp;#65;", "&#233;&#xE9;&#X1F600;", "&nosuch; &eacute &eacute;", "&#0;&#xD800;&#1114112;", "plain", None, "&apos;&quot;&nbsp;"]
+    got = [r.t for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(tx.decode_entities(F.col("t")).alias("t")).collect()]
+    assert got == ["a & b", "&lt;", "&#65;", "éé😀", "&nosuch; &eacute é", "\ufffd\ufffd\ufffd", "plain", None, "'\"\xa0"]
