@@ -2,7 +2,8 @@
 
 Results go out in update mode: each micro-batch appends its changed rows under its batch number,
 and the reader keeps the newest row per key. A batch that is run again after a failure overwrites
-its own folder, so the table is exact.
+its own folder, so the table is exact. :func:`compacted` folds what has accumulated into a base, so
+that readers do not have to read every batch ever written.
 """
 
 from __future__ import annotations
@@ -117,10 +118,37 @@ def run_available(stream: DataFrame, folder: str, mode: str = "update") -> str:
     return result
 
 
-def latest(spark: SparkSession, result: str, keys: Sequence[str]) -> DataFrame:
+def compacted(spark: SparkSession, result: str, keys: Sequence[str], base: str, earlier: str | None = None) -> int:
+    """Writes the newest row per key of all batches so far to ``base`` and returns the last batch in it.
+
+    With ``earlier``, the base made before, only batches after that one are read besides it. ``base`` is a
+    new folder; readers move on to it once this returns, and older batches may then be removed.
+    """
+    rows = _batches(spark, result, earlier)
+    last = rows.agg(F.max("batch")).first()[0]
+    if last is None:
+        raise ValueError("there are no batches yet")
+    _newest(rows, keys).withColumn("_nm_until", F.lit(last)).write.mode("errorifexists").parquet(base)
+    return last
+
+
+def _batches(spark: SparkSession, result: str, base: str | None) -> DataFrame:
+    """The rows of all batches, or those of a base (under the number of its last batch) and of later ones."""
+    rows = spark.read.parquet(result).withColumn("batch", F.col("batch").cast("bigint"))
+    if base is None:
+        return rows
+    old = spark.read.parquet(base).withColumnRenamed("_nm_until", "batch")
+    until = old.agg(F.max("batch")).first()[0]
+    return old.unionByName(rows.where(F.col("batch") > (-1 if until is None else until)))
+
+
+def latest(spark: SparkSession, result: str, keys: Sequence[str], base: str | None = None) -> DataFrame:
     """The newest row per key of an upserting result; map-side aggregation keeps one row per key
-    and task before the shuffle."""
-    rows = spark.read.parquet(result)
+    and task before the shuffle. With ``base``, a compacted table, only the batches after it are read."""
+    return _newest(_batches(spark, result, base), keys)
+
+
+def _newest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     others = [c for c in rows.columns if c not in (*keys, "batch")]
     newest = rows.groupBy(*[col(k) for k in keys]).agg(F.max_by(F.struct(*[col(c) for c in others]), "batch").alias("_nm_row"))
     return newest.select(*[col(k) for k in keys], *[F.col(f"_nm_row.`{c}`").alias(c) for c in others])

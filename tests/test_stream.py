@@ -64,7 +64,16 @@ def test_a_second_run_takes_only_new_files(spark, feed_path, tmp_path):
     feeds.run_available(feeds.running_means(feed(spark, feed_path), "kind", "value"), out)
     spark.createDataFrame([(9, at(9), "a", 7.0)], "event_id long, ts timestamp, kind string, value double").coalesce(1).write.mode("append").parquet(feed_path)
     result = feeds.run_available(feeds.running_means(feed(spark, feed_path), "kind", "value"), out)
-    assert {r["kind"]: r["value_sum"] for r in feeds.latest(spark, result, ["kind"]).collect()} == {"a": 20.0, "b": 4.0}
+    sums = lambda **base: {r["kind"]: r["value_sum"] for r in feeds.latest(spark, result, ["kind"], **base).collect()}
+    assert sums() == {"a": 20.0, "b": 4.0}
+    first, second = str(tmp_path / "base1"), str(tmp_path / "base2")
+    last = feeds.compacted(spark, result, ["kind"], first)
+    assert sums(base=first) == sums() and spark.read.parquet(first).count() == 2
+    spark.createDataFrame([(10, at(9), "b", 1.0)], "event_id long, ts timestamp, kind string, value double").coalesce(1).write.mode("append").parquet(feed_path)
+    feeds.run_available(feeds.running_means(feed(spark, feed_path), "kind", "value"), out)
+    assert sums(base=first) == sums() == {"a": 20.0, "b": 5.0}
+    assert feeds.compacted(spark, result, ["kind"], second, earlier=first) > last
+    assert sums(base=second) == {"a": 20.0, "b": 5.0}
 
 
 def test_ticks(spark, feed_path, tmp_path):
