@@ -124,7 +124,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return Model(b"", b"", False, (float(np.log(share / (1 - share))), *[0.0] * len(_FEATURES)), (0.0,) * len(_FEATURES), (1.0,) * len(_FEATURES), level)
     trained = all(t for _, t in dictionaries.values())
     start = Model(dictionaries[0][0], dictionaries[1][0], trained, (), (), (), level)
-    rows = _measured(texts.join(F.broadcast(check), "doc_id"), start).orderBy("label", *_FEATURES).toPandas()
+    # Rows that repeat a document count once, so that no id can send more than its share to the driver.
+    rows = _measured(texts.join(F.broadcast(check), "doc_id"), start).distinct().limit(CALIBRATION_DOCS).toPandas()
+    rows = rows.sort_values(["label", *_FEATURES])  # a sum in another order would differ in the last bits
     if rows.empty:
         rows = pd.DataFrame([[1.0, *[0.0] * len(_FEATURES)], [0.0, *[0.0] * len(_FEATURES)]], columns=["label", *_FEATURES])
     w, mean, spread = logistic(rows[_FEATURES].to_numpy(float), rows["label"].to_numpy(float))
