@@ -128,16 +128,19 @@ def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
 
 def shared_counts(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Sizes of the intersections of ``sets[a[k]]`` and ``sets[b[k]]``. Few pairs are counted one by one, many
-    as products of 0/1 matrices over stretches of the hashes that occur."""
+    as products of 0/1 matrices over stretches of the hashes that several sets hold."""
     if len(a) <= 2048:
         return np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a, b)], np.int64)
     used, place = np.unique(np.concatenate([a, b]), return_inverse=True)
     row_of = np.repeat(np.arange(len(used)), [len(sets[u]) for u in used])
-    _, column = np.unique(np.concatenate([sets[u] for u in used]), return_inverse=True)
+    _, column, held = np.unique(np.concatenate([sets[u] for u in used]), return_inverse=True, return_counts=True)
+    several = held > 1  # a hash of one set is in no intersection
+    rank = np.cumsum(several) - 1
+    row_of, column = row_of[several[column]], rank[column[several[column]]]
     order = np.argsort(column, kind="stable")
     row_of, column = row_of[order], column[order]
     total, width = np.zeros((len(used), len(used)), np.float32), 4096
-    edges = np.searchsorted(column, np.arange(0, column[-1] + 1 + width, width))
+    edges = np.searchsorted(column, np.arange(0, int(several.sum()) + width, width))
     for k, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
         part = np.zeros((len(used), width), np.float32)
         part[row_of[lo:hi], column[lo:hi] - k * width] = 1

@@ -112,3 +112,5 @@ def test_many_intersections_as_one_by_one():
     a, b = np.triu_indices(80, 1)
     many = near.shared_counts(sets, a, b)
     assert len(a) > 2048 and many.tolist() == [len(np.intersect1d(sets[x], sets[y])) for x, y in zip(a, b)]
+    apart = [np.arange(10, dtype=np.int64) + 10 * k for k in range(80)]
+    assert not near.shared_counts(apart, a, b).any()
