@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsmill.columns import col
+from newsmill.llm.common import each
 
 # Limits of compressed size / size by length in bytes: (up to, least ratio, greatest ratio).
 BANDS = (
@@ -88,8 +89,8 @@ def verdict(
     def judged(texts: pa.Array) -> pa.Array:
         compressor = zstandard.ZstdCompressor(level=level, write_content_size=False, write_checksum=False)
         rows = []
-        for text in texts.to_pylist():
-            raw = (text or "").encode()
+        for text in each(texts):
+            raw = text.encode()
             counts = base_counts(raw)
             ratio, parts, bad, inside = compression(raw, compressor, bands, chunk, chunk_limits, chunk_share)
             failed = counts[0] < 10 or 100 * counts[4] > 20 * counts[0]

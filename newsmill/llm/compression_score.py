@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsmill.columns import col
-from newsmill.llm.common import Batch, per_batch, strings
+from newsmill.llm.common import Batch, each, per_batch, strings
 
 # Bounds of what is fitted on: labelled documents per class for the dictionaries, chunks of them, and
 # labelled documents for the calibration. Chosen by hash over all labelled rows.
@@ -167,7 +167,7 @@ def score(text: Column, model: Model) -> Column:
 
     def scored(texts: pa.Array) -> pa.Array:
         sizes = model.measures()
-        rows = [sizes((t or "").encode()) for t in texts.to_pylist()]
+        rows = [sizes(t.encode()) for t in each(texts)]
         return pa.array(model.probability(np.array(rows, float).reshape(-1, len(_FEATURES))), pa.float64())
 
     scored.__annotations__ = {"texts": pa.Array, "return": pa.Array}

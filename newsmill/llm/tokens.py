@@ -10,8 +10,8 @@ import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
 
-# Chunks whose ids a task remembers (about 70 MB); further ones are encoded each time.
-CACHE_ENTRIES = 300_000
+# Chunks whose ids a worker remembers (about 40 MB); further ones are encoded each time.
+CACHE_ENTRIES = 150_000
 
 # The pattern that byte-level vocabularies of this kind split texts by (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
