@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -136,21 +137,27 @@ def _segments(docs: DataFrame, masks: Sequence[str], table, bits: int, reach: in
     return per_batch(docs, make, schema)
 
 
-def best_overlap(doc: np.ndarray, item: np.ndarray, shift: int, min_equal: float) -> tuple[int, int, int]:
-    """``(item start, length, equal words)`` of the best stretch with ``item[i]`` against ``doc[i + shift]``.
+def best_overlap(doc: np.ndarray, item: np.ndarray, shift: int, min_words: int, min_equal: float) -> tuple[int, int, int]:
+    """``(item start, length, equal words)`` of the best stretch with ``item[i]`` against ``doc[i + shift]`` that
+    has ``min_words`` or more words (or is the whole item) and a share of ``min_equal`` equal; else zeros.
 
-    Equal words score ``1 - min_equal`` and others ``-min_equal``, so that a stretch scores above zero if
-    more than that share of it is equal; the best stretch starts and ends with equal words.
+    Equal words score ``1 - min_equal`` and others ``-min_equal``, so that a stretch scores zero or more if
+    at least that share of it is equal. Only stretches that are long enough are compared, so that a short
+    one of equal words hides none of them. Scores are whole numbers.
     """
     lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
-    if hi <= lo:
+    least = max(1, min(min_words, len(item)))
+    if hi - lo < least:
         return 0, 0, 0
     same = doc[lo + shift : hi + shift] == item[lo:hi]
-    total = np.concatenate([[0.0], np.cumsum(np.where(same, 1 - min_equal, -min_equal))])
-    rise = total[1:] - np.minimum.accumulate(total)[:-1]
-    end = int(np.argmax(rise))
-    start = int(np.argmin(total[: end + 1]))
-    return lo + start, end + 1 - start, int(same[start : end + 1].sum())
+    share = Fraction(str(min_equal))
+    total = np.concatenate([[0], np.cumsum(np.where(same, share.denominator - share.numerator, -share.numerator))])
+    rise = total[least:] - np.minimum.accumulate(total)[:-least]
+    last = int(np.argmax(rise))
+    if rise[last] < 0:
+        return 0, 0, 0
+    start, stop = int(np.argmin(total[: last + 1])), last + least
+    return lo + start, stop - start, int(same[start:stop].sum())
 
 
 def overlaps(
@@ -195,8 +202,8 @@ def _verified(laid: DataFrame, min_words: int, min_equal: float) -> DataFrame:
                 item = known.get(text)
                 if item is None:
                     item = known[text] = word_hashes(text)
-                first, n, equal = best_overlap(np.array(words, np.int64).view(np.uint64), item, shift, min_equal)
-                if n and (n >= min_words or n == len(item)) and equal >= min_equal * n:
+                first, n, equal = best_overlap(np.array(words, np.int64).view(np.uint64), item, shift, min_words, min_equal)
+                if n:
                     out.append((key, doc, item_id, start + shift + first, first, n, equal))
             names = ["row_key", "doc_id", "item_id", "doc_start", "item_start", "n_words", "n_equal"]
             types = [pa.int64()] * 3 + [pa.int32()] * 4

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import duckdb
+import numpy as np
 import pytest
 import zstandard
 from hypothesis import given, settings
@@ -131,6 +132,37 @@ def test_overlaps_with_changed_words(spark):
     assert clean.columns == df.columns and {r.doc_id for r in clean.collect()} == {*range(30, 60), 100, 101}
 
 
+def test_stretches_as_by_brute_force():
+    rnd, found = random.Random(12), 0
+    for _ in range(1500):
+        n, shift = rnd.randrange(12, 41), rnd.randrange(-6, 7)
+        item = np.arange(n, dtype=np.uint64)
+        doc = np.concatenate([np.full(max(shift, 0), 900, np.uint64), item[max(-shift, 0) :], np.full(rnd.randrange(3), 901, np.uint64)])
+        doc[[k for k in range(len(doc)) if rnd.random() < rnd.choice([0.1, 0.25])]] = 999
+        lo, hi = max(0, -shift), min(n, len(doc) - shift)
+        same = [bool(doc[k + shift] == item[k]) for k in range(lo, hi)]
+        fits = {(a, b) for a in range(len(same)) for b in range(a + 12, len(same) + 1) if 4 * sum(same[a:b]) >= 3 * (b - a)}
+        start, length, equal = decontaminate.best_overlap(doc, item, shift, 12, 0.75)
+        assert (length > 0) == bool(fits)
+        if fits:
+            found += 1
+            a, b = start - lo, start - lo + length
+            assert (a, b) in fits and equal == sum(same[a:b])
+            assert 4 * equal - 3 * length == max(4 * sum(same[a:b]) - 3 * (b - a) for a, b in fits)
+    assert 100 < found < 1500
+
+
+def test_a_run_of_equal_words_hides_no_longer_overlap(spark):
+    item = [f"i{k}" for k in range(16)]
+    part = [*item[:11], "other", *item[12:15], "words"]
+    text = [*[f"a{k}" for k in range(30)], *part, *[f"b{k}" for k in range(30)]]
+    docs = spark.createDataFrame([(1, " ".join(text))], "doc_id long, text string")
+    found = decontaminate.overlaps(docs, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string"))
+    row = found.first()
+    assert (row.doc_id, row.item_id, row.doc_start, row.item_start, row.n_words, row.n_equal) == (1, 7, 30, 0, 15, 14)
+    assert decontaminate.clean_of(docs, found).count() == 0
+
+
 def test_no_documents_or_items(spark):
     docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
