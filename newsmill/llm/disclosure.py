@@ -114,39 +114,63 @@ def _context(text: Column, span: Column) -> Column:
 
 
 def _mention(text: Column, span: Column) -> Column:
-    around = _context(text, span)
-    terms = _terms(F.regexp_replace(around, r"\S*[@0-9]\S*", " "))  # other mentions are no terms
-    return F.struct(_entity(text, span).alias("entity"), F.xxhash64(around).alias("context"), terms.alias("terms"))
+    return F.struct(_entity(text, span).alias("entity"), F.xxhash64(_context(text, span)).alias("context"))
 
 
 def mentions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``row_key, doc_id, spans, mentions`` of every row; a mention is an entity with the terms around it."""
+    """``row_key, doc_id, spans, mentions`` of every row; a mention is an entity with its context."""
     rows = docs.select(F.xxhash64(col(id_col), col(text_col)).alias("row_key"), col(id_col).alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     found = rows.withColumn("spans", base_spans(F.col("text")))
     return found.select("row_key", "doc_id", "spans", F.transform("spans", lambda s: _mention(F.col("text"), s)).alias("mentions"))
 
 
-def disclosing(docs: DataFrame, seen: DataFrame, text_col: str, support: int, generalise: float, remove: float) -> DataFrame:
+def _texts(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``row_key, text`` of the rows in ``keys``, once each. Texts that a filter of the keys rules out are not
+    shuffled."""
+    rows = docs.select(F.xxhash64(col(id_col), col(text_col)).alias("row_key"), F.coalesce(col(text_col), F.lit("")).alias("text"))
+    likely = Filter(keys, "row_key").mark(rows, F.col("row_key"), "maybe").where("maybe").drop("maybe")
+    return likely.join(keys.select("row_key").distinct(), "row_key", "left_semi").dropDuplicates(["row_key"])
+
+
+def _held(seen: DataFrame, support: int, total: int) -> DataFrame:
+    """``row_key, entity, context, n, n_entity``: the documents of entities with ``support`` documents and
+    contexts, ``n`` being the rows that repeat one. All contexts of an entity in a document are one value."""
+    holding = seen.where(F.size("mentions") > 0)
+    one = holding.select("row_key", F.explode("mentions").alias("m")).select("row_key", "m.entity", "m.context")
+    held = one.groupBy("row_key", "entity").agg(F.xxhash64(F.sort_array(F.collect_set("context"))).alias("context"))
+    held = held.join(holding.groupBy("row_key").agg(F.count(F.lit(1)).alias("n")), "row_key")
+    sizes = held.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.countDistinct("context").alias("contexts"), F.countDistinct("row_key").alias("n_docs"))
+    often = sizes.where((F.col("contexts") >= support) & (F.col("n_docs") >= support) & (F.col("n_entity") < total))
+    return held.join(often.select("entity", "n_entity"), "entity")
+
+
+def disclosing(docs: DataFrame, seen: DataFrame, id_col: str, text_col: str, support: int, generalise: float, remove: float) -> DataFrame:
     """``entity, term, share, action``: the terms that give away more of an entity than they may.
 
-    With document counts over the whole corpus, a term and an entity that it accompanies share the
+    With counts of rows over the whole corpus, a term and an entity that it accompanies share the
     information log(n(both) N / (n(term) n(entity))); the entity itself holds log(N / n(entity)). The
-    share of the two is 1 for a term that never occurs without the entity.
+    share of the two is 1 for a term that never occurs without the entity. A term accompanies an entity
+    wherever it stands in a document with it.
     """
     total = seen.count()
-    one = seen.select("row_key", F.explode("mentions").alias("m")).select("row_key", "m.entity", "m.context", "m.terms")
-    pairs = one.select("entity", "row_key", "context", F.explode("terms").alias("term"))
-    both = pairs.groupBy("entity", "term").agg(F.countDistinct("context").alias("contexts"), F.countDistinct("row_key").alias("n_both"))
-    candidates = cut(both.where((F.col("contexts") >= support) & (F.col("n_both") >= support)).select("entity", "term", "n_both"))
-    n_entity = one.groupBy("entity").agg(F.countDistinct("row_key").alias("n_entity"))
+    held = cut(_held(seen, support, total))
+    entities = held.groupBy("row_key").agg(F.collect_list(F.struct("entity", "context", "n", "n_entity")).alias("entities"))
+    text = F.col("text")
+    named = lambda words, free: F.transform(words, lambda w: F.struct(w.alias("term"), F.lit(free).alias("free")))
+    free = _terms(F.regexp_replace(text, r"\S*[@0-9]\S*", " "))  # other mentions are no terms
+    words = _texts(docs, held, id_col, text_col).join(entities, "row_key").select("row_key", "entities", F.explode(F.concat(named(_terms(text), False), named(free, True))).alias("w"))
+    pairs = words.select("w.term", "w.free", F.explode("entities").alias("e")).select("e.entity", "e.n_entity", "term", "free", "e.context", "e.n")
+    once = lambda c: F.sum(F.when(~F.col("free"), c).otherwise(0))
+    both = pairs.groupBy("entity", "n_entity", "term", "context").agg(once(F.col("n")).alias("n"), once(F.lit(1)).alias("docs"), F.max("free").alias("free"))
+    both = both.groupBy("entity", "n_entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("docs").alias("docs"), F.sum("n").alias("n_both"), F.max("free").alias("free"))
+    candidates = cut(both.where(F.col("free") & (F.col("contexts") >= support) & (F.col("docs") >= support)).select("entity", "n_entity", "term", "n_both"))
     bucket = lambda term: F.pmod(F.xxhash64(term), F.lit(BUCKETS))
     # At most BUCKETS rows, however many candidates there are.
     buckets = candidates.select(bucket(F.col("term")).alias("bucket")).distinct()
-    words = docs.select(F.explode(_terms(col(text_col))).alias("term")).withColumn("bucket", bucket(F.col("term")))
-    likely = words.join(F.broadcast(buckets), "bucket", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    known = candidates.join(n_entity, "entity").join(likely, "term")
+    counted = docs.select(F.explode(_terms(col(text_col))).alias("term")).withColumn("bucket", bucket(F.col("term")))
+    likely = counted.join(F.broadcast(buckets), "bucket", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     share = F.log2(F.col("n_both") * F.lit(total) / (F.col("n_term") * F.col("n_entity"))) / F.log2(F.lit(total) / F.col("n_entity"))
-    scored = known.where(F.col("n_entity") < total).withColumn("share", share).where(F.col("share") >= generalise)
+    scored = candidates.join(likely, "term").withColumn("share", share).where(F.col("share") >= generalise)
     return scored.select("entity", "term", "share", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action"))
 
 
@@ -154,10 +178,7 @@ def _term_spans(docs: DataFrame, seen: DataFrame, revealing: DataFrame, id_col:
     """``row_key, term_spans`` of the rows that hold an entity together with a term that reveals it."""
     held = seen.select("row_key", F.explode("mentions.entity").alias("entity")).distinct()
     touched = cut(held.join(revealing.select("entity").distinct(), "entity", "left_semi"))
-    text = F.coalesce(col(text_col), F.lit(""))
-    rows = docs.select(F.xxhash64(col(id_col), col(text_col)).alias("row_key"), text.alias("text"))
-    likely = Filter(touched, "row_key").mark(rows, F.col("row_key"), "maybe").where("maybe").drop("maybe")
-    texts = cut(likely.join(touched.select("row_key").distinct(), "row_key", "left_semi").dropDuplicates(["row_key"]))
+    texts = cut(_texts(docs, touched, id_col, text_col))
     words = texts.select("row_key", F.explode(_terms(F.col("text"))).alias("term"))
     marks = words.join(touched, "row_key").join(revealing, ["entity", "term"]).groupBy("row_key", "term").agg(F.max("action").alias("action"))
     per_row = marks.groupBy("row_key").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("actions"))
@@ -175,7 +196,7 @@ def find(
 
     ``base`` are e-mail addresses, IP addresses, card and phone numbers by pattern. ``spans`` has also the
     words that give them away: of an entity that ``support`` or more documents mention, in
-    unlike contexts, words near it that share ``generalise`` (or ``remove``) of its information, wherever they stand
+    unlike contexts, words of the same documents that share ``generalise`` (or ``remove``) of its information, wherever they stand
     in a document with that entity. Copies of a document are one context. Words inside base spans stay
     part of these.
 
@@ -183,7 +204,7 @@ def find(
     results, ids may be NULL. Further columns are ignored.
     """
     seen = cut(mentions(docs, id_col, text_col))
-    revealing = cut(disclosing(docs, seen, text_col, support, generalise, remove))
+    revealing = cut(disclosing(docs, seen, id_col, text_col, support, generalise, remove))
     if revealing.isEmpty():
         more = seen.select("row_key", "doc_id", "spans", F.array().cast(f"array<{_SPAN}>").alias("term_spans"))
     else:

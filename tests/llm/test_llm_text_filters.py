@@ -248,6 +248,22 @@ def test_terms_that_reveal_an_entity(spark):
     assert disclosure.sanitise(docs).columns == docs.columns
 
 
+def test_terms_far_from_an_entity_count(spark):
+    rnd = random.Random(5)
+    filler = lambda n: " ".join(f"word{rnd.randrange(40)}" for _ in range(n))
+    near = [f"{filler(30)} Zanzibor {filler(3)} bob@x.org {filler(30)}" for _ in range(6)]
+    far = [f"Zanzibor {filler(40)} bob@x.org {filler(30)}" for _ in range(14)]
+    never_near = [f"Quillon {filler(40)} {filler(20)} amy@y.org" for _ in range(5)]
+    rows = list(enumerate([*near, *far, *never_near, *[filler(50) for _ in range(400)]]))
+    rows += [rows[0], rows[0]]  # rows that repeat count on both sides
+    spans = {r.doc_id: r.spans for r in disclosure.counts(disclosure.find(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    for k, text in rows[:25]:
+        name = "Zanzibor" if k < 20 else "Quillon"
+        assert f"remove:{text.index(name)}:{text.index(name) + len(name)}" in spans[k].split(",")
+        assert spans[k].count("remove") == 1 and "generalise" not in spans[k]
+    assert not any(spans[k] for k in range(25, 425))
+
+
 def test_copies_are_no_evidence(spark):
     text = "rarename writes from bob@x.org today"
     docs = spark.createDataFrame([(k, text) for k in range(20)] + [(100 + k, f"other text {k}") for k in range(50)], "doc_id long, text string")
