@@ -1,5 +1,6 @@
 """Compression bands, compression scores, decontamination and personal data."""
 
+import base64
 import hashlib
 import random
 import re
@@ -63,6 +64,22 @@ def test_verdicts(spark):
     assert compression_rules.judge(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_noise_inside_prose_is_seen_by_chunks():
+    compressor = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False)
+    rnd = random.Random(7)
+    prose = lambda n: " ".join("".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randrange(2, 9))) for _ in range(n)).encode()[:n]
+    noise = lambda n: base64.b64encode(rnd.randbytes(n))[:n]
+    limits = compression_rules.BANDS, compression_rules.CHUNK_BYTES, compression_rules.CHUNK_LIMITS, compression_rules.CHUNK_SHARE
+    for raw, inside in [
+        (prose(60_000), True), (prose(50_000) + noise(10_000), False), (noise(10_000) + prose(50_000), False),
+        (prose(7 * 2048) + noise(2047), False), (prose(7 * 2048 + 2047), True), (prose(2048), True),
+    ]:
+        ratio, n, bad, kept = compression_rules.compression(raw, compressor, *limits)
+        low, high = compression_rules.limits_for(len(raw), compression_rules.BANDS)
+        assert low <= ratio <= high  # the whole text is inside; the chunks decide
+        assert (n, bad > 0, kept) == (len(raw) // 2048, not inside, inside)
+
+
 def test_clean_documents_pass(spark, folder):
     judged = compression_rules.judge(table(spark, folder, "documents")).join(table(spark, folder, "labels"), "doc_id")
     good = judged.where("quality = 1 AND NOT base_failed")
