@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsmill.columns import col
+from newsmill.operators.ordering import prefix_sum
+from newsmill.session import cut
 
 # Turn numbers per rendered part, and how many distinct messages a part may hold before it is split.
 PART_TURNS = 64
@@ -41,7 +43,8 @@ def rotate(
     A dialogue is rendered in parts by turn number (``part_turns`` numbers each), so that no row or task
     grows with its length; parts in order are the dialogue. Messages are in order of turn, role, text;
     rows equal in these are one message. If a part holds more than ``part_rows`` messages, because many
-    have one turn number or none (part -1), it is divided into splits by a hash.
+    have one turn number or none (part -1), it is divided into splits of so many in that order, and splits in
+    order are the part.
 
     NULL texts are empty messages. NULL roles are users without a name and no participants; rows without
     a conversation id form one conversation with a NULL id. Markers in texts are broken up. A conversation
@@ -49,10 +52,7 @@ def rotate(
     """
     rows = turns.select(col(conv_col).alias("conv_id"), col(turn_col).alias("turn"), _role(col(role_col)).alias("role"), _tame(col(text_col)).alias("text")).distinct()
     rows = rows.withColumn("part", F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(-1)).cast("long"))
-    crowded = rows.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > part_rows)
-    crowded = crowded.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.ceil(F.col("n") / part_rows).alias("splits"))
-    rows = rows.join(crowded, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")), "left").drop("c", "p")
-    rows = rows.withColumn("split", F.coalesce(F.pmod(F.xxhash64("turn", "role", "text"), F.col("splits")), F.lit(0)).cast("long"))
+    rows = _in_splits(rows, part_rows)
     people = rows.where(F.col("role").isNotNull() & ~F.col("role").isin(list(shared))).select(F.col("conv_id").alias("c"), F.col("role").alias("perspective")).distinct()
     seen = rows.join(people, F.col("conv_id").eqNullSafe(F.col("c")))
     message = F.struct("turn", "role", "text")
@@ -75,6 +75,22 @@ def rotate(
     return shown.select("conv_id", "perspective", "part", "split", F.size("pieces").cast("long").alias("n_turns"), own.cast("long").alias("n_own"), text.alias("text"), mask.alias("mask"))
 
 
+def _in_splits(rows: DataFrame, part_rows: int) -> DataFrame:
+    """Adds ``split``: 0, or in a part of more than ``part_rows`` messages the position divided by that number.
+    A task sorts one range of the crowded messages; earlier ranges come from their counts."""
+    crowded = rows.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > part_rows)
+    crowded = cut(crowded.select(F.col("conv_id").alias("c"), F.col("part").alias("p")))
+    whole = F.lit(0).cast("long")
+    if crowded.isEmpty():
+        return rows.withColumn("split", whole)
+    same, order = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")), ["turn", "role", "text"]
+    many = rows.join(crowded, same).drop("c", "p").repartitionByRange("conv_id", "part", *order)
+    many = cut(many.withColumns({"range": F.spark_partition_id(), "crowd": F.struct("conv_id", "part")}))
+    placed = prefix_sum(many, ["crowd"], F.col("range"), [F.col(c) for c in order], F.lit(1).cast("long"), "position")
+    split = F.floor(F.col("position") / part_rows).cast("long")
+    return rows.join(crowded, same, "left_anti").withColumn("split", whole).unionByName(placed.select(*rows.columns, split.alias("split")))
+
+
 def _role(role: Column) -> Column:
     """A role as a name: line ends would end the header."""
     return F.replace(F.translate(role, "\n\r", "  "), F.lit("<|"), F.lit("< |"))

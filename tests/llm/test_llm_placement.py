@@ -201,6 +201,21 @@ def test_a_crowded_part_is_split(spark):
     assert sum(r.n_turns for r in got if r.perspective == "p0") == 900
 
 
+def test_splits_in_order_are_the_dialogue(spark):
+    rows = [(conv, turn, f"p{k % 2}", f"text {k}") for conv in (1, None) for turn in (5, 7, None) for k in range(150)]
+    rows += [(1, 9, None, "nobody"), (2, 0, "p0", "alone")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    whole = {(r.conv_id, r.perspective, r.part): r for r in chat.rotate(turns, part_rows=1000).collect()}
+    splits = {}
+    for r in sorted(chat.rotate(turns, part_rows=40).collect(), key=lambda r: r.split):
+        splits.setdefault((r.conv_id, r.perspective, r.part), []).append(r)
+    assert splits.keys() == whole.keys() and {k[2] for k in whole} == {0, -1}
+    for key, parts in splits.items():
+        assert [r.split for r in parts] == list(range(len(parts))) and all(r.n_turns == 40 for r in parts[:-1])
+        assert "".join(r.text for r in parts) == whole[key].text
+        assert sum(r.n_own for r in parts) == whole[key].n_own
+
+
 # URLs
 
 
