@@ -66,7 +66,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("op8_warc_derivatives", warc.SQL)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
-    return warc.derive(warc.responses(table(spark, folder, "pages"), "2026-01-01T00:00:00Z"), keep=["page_id"])
+    return warc.derive(warc.responses(table(spark, folder, "pages"), "2026-01-01T00:00:00Z"), keep=["page_id"], entities=warc.SQL_ENTITIES)
 
 
 @_query("op9_disclosure_sanitisation")

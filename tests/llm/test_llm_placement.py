@@ -1,8 +1,10 @@
 """Sharding, packing, dialogues, URL verdicts and WARC derivatives."""
 
+import html
 import random
 import zlib
 from collections import Counter
+from html.entities import name2codepoint
 
 import numpy as np
 import pytest
@@ -273,6 +275,16 @@ def test_derivatives_and_round_trip(spark, tmp_path):
     assert warc.derive(source.limit(0)).count() == 0
 
 
+def test_all_character_references_are_decoded(spark):
+    # lang and rang are other brackets in the table of names than in HTML 5.
+    refs = " ".join(f"&{n};" for n in sorted(name2codepoint) if n not in ("nbsp", "lang", "rang")) + " &apos; &#8212; &#x2014; &#128512; &amp;copy; &nosuch; A&nbsp;B"
+    pages = spark.createDataFrame([(1, "http://a.org/", f'<title>{refs}</title><p>{refs}</p><a href="/x?q=&eacute;&#38;r">go</a>')], "page_id long, url string, html string")
+    got = {r.record_type: r.content for r in warc.derive(warc.responses(pages, "2026-01-01T00:00:00Z")).collect()}
+    expected = html.unescape(refs.replace("&nbsp;", " "))
+    assert got["conversion"] == f"{expected}\ngo"
+    assert f"title: {expected}\r\n" in got["metadata"] and "outlink: /x?q=é&r\r\n" in got["metadata"]
+
+
 def test_responses_without_a_body(spark):
     df = spark.createDataFrame([("<urn:uuid:1>", "u", "d", "p", None), ("<urn:uuid:2>", "u", "d", "p", "HTTP/1.1 404 Not Found")], "record_id string, target_uri string, date string, payload_digest string, block string")
     got = {(r.refers_to, r.record_type): r.content for r in warc.derive(df).collect()}
