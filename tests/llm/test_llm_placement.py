@@ -4,10 +4,12 @@ import html
 import random
 import zlib
 from collections import Counter
+from functools import reduce
 from html.entities import name2codepoint
 
 import numpy as np
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -240,6 +242,20 @@ def test_verdicts(spark):
     assert url_filter.judge(pages.limit(0), listed).count() == 0
 
 
+def test_verdicts_that_only_a_list_decides(spark):
+    labels = ["cheap-pills", "casino-win", "spam-farm", "free-bets", "ads-track", "adult-x"]
+    pages = table(spark, "/root/testdata/sf0.01", "pages")
+    listed = reduce(DataFrame.unionByName, [url_filter.listed_pages(pages, label) for label in labels])
+    judged = url_filter.judge(pages, listed).join(pages.select("page_id", "url"), "page_id").collect()
+    without = {r.page_id: r.verdict for r in url_filter.judge(pages, listed.limit(0)).collect()}
+    on = lambda r: any(label in r.host.split(".") for label in labels)
+    same_page = {r.canonical for r in judged if on(r)}
+    assert all(r.listed == (r.canonical in same_page) for r in judged)
+    assert all(r.verdict == ("block" if r.rule is None and r.listed else without[r.page_id]) for r in judged)
+    by_list = [r for r in judged if r.verdict != without[r.page_id]]
+    assert by_list and all(r.rule is None and r.listed for r in by_list)
+
+
 def test_filter_has_no_false_negatives_and_a_bound(spark):
     from newsmill.llm.bloom import Filter
 
