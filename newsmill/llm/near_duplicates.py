@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -14,11 +16,10 @@ from newsmill.llm.common import Batch, bytes_lower, per_batch, strings
 from newsmill.llm.graph import components
 from newsmill.session import cut
 
-# Coordinates of a signature, and how many of them two documents must share to be compared. A pair at
-# similarity 0.85 shares 40.8 of 48 on average with a deviation of 2.5, so that less than one such pair
-# in ten million shares fewer than 26.
+# Coordinates of a signature, and the probability below which a pair at the least similarity is missed
+# because it shares too few of them.
 COORDINATES = 48
-MATCHES = 26
+MISS = 1e-7
 # Documents, and shingles, of a block: two blocks are compared with each other in one task.
 BLOCK_DOCS = 512
 BLOCK_SHINGLES = 400_000
@@ -249,9 +250,20 @@ def _confirmed(pairs: DataFrame, known: DataFrame, matches: int, percent: int) -
     return both.where(100 * shared >= percent * (F.size("a_hashes") + F.size("b_hashes") - shared)).select("a", "b")
 
 
+def matches_for(percent: int, coordinates: int, miss: float = MISS) -> int:
+    """How many coordinates two documents must share to be compared: as many as a pair at ``percent`` similarity
+    falls short of with a probability below ``miss``, each being shared with that similarity; at least one."""
+    p, short = percent / 100, 0.0
+    for k in range(coordinates):
+        short += math.comb(coordinates, k) * p**k * (1 - p) ** (coordinates - k)
+        if short >= miss:
+            return max(1, k)
+    return coordinates
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80,
-    coordinates: int = COORDINATES, matches: int = MATCHES,
+    coordinates: int = COORDINATES, matches: int | None = None,
 ) -> DataFrame:
     """One row per input row: ``doc_id``, ``text_key``, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -266,6 +278,7 @@ def near_duplicates(
       them apart. A row without an id is compared with nothing: ``component_id`` NULL, ``kept`` true.
     - Further columns of ``docs`` are ignored.
     """
+    matches = matches_for(percent, coordinates) if matches is None else matches
     rows = docs.select(col(id_col).cast("bigint").alias("doc_id"), col(text_col).alias("text"))
     signed = cut(signatures(rows.withColumn("text_key", F.xxhash64("text")), words, coordinates))
     named = signed.where("doc_id IS NOT NULL AND n_shingles > 0")

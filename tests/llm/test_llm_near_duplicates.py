@@ -1,5 +1,6 @@
 """Near-duplicates against brute force."""
 
+import math
 import random
 
 import numpy as np
@@ -10,6 +11,15 @@ from newsmill.llm import near_duplicates as near
 from newsmill.llm.near_duplicates import near_duplicates
 
 
+def test_pairs_at_the_least_similarity_are_missed_alike():
+    below = lambda p, m: sum(math.comb(48, k) * p**k * (1 - p) ** (48 - k) for k in range(m))
+    assert [near.matches_for(percent, 48) for percent in (85, 80)] == [26, 22]
+    for percent in (50, 80, 85, 95):
+        m = near.matches_for(percent, 48)
+        assert below(percent / 100, m) < 1e-7 <= below(percent / 100, m + 1)
+    assert near.matches_for(100, 48) == 48 and near.matches_for(10, 48) == 1
+
+
 def shingle_set(text, words):
     w = (text or "").encode().lower().split()
     if not w:
