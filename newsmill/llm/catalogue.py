@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm import chat, compression_rules, compression_score, decontaminate, disclosure, packing, sharding, url_filter, warc
+from newsmill.llm import chat, compression_rules, compression_score, decontaminate, disclosure, divergence, packing, sharding, url_filter, warc
 from newsmill.llm.near_duplicates import near_duplicates
 from newsmill.session import table
 
@@ -78,3 +78,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return near_duplicates(docs, words=3, percent=85).select("doc_id", F.col("n_shingles").cast("long"), "component_id", "kept")
+
+
+@_query("op13_source_divergence", divergence.SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
