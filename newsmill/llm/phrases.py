@@ -24,9 +24,9 @@ INSIDE_PERCENT = 80
 SCALE = 2_000_000
 TOP = 2_000
 # Bytes that are hashed at a time, fingerprints and phrases that a task holds before it sends them on.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 HELD_FINGERPRINTS = 2_000_000
-HELD_PHRASES = 200_000
+HELD_PHRASES = 1_500_000
 # Size of a filter of frequent fingerprints as a power of two in bits: 2^20 to 2^27 (16 MB). Beyond that it lets
 # more pass; the counts stay exact.
 FILTER_BITS = (20, 27)
@@ -135,13 +135,18 @@ def _parts(text: bytes) -> Iterator[tuple[int, bytes]]:
 Owner = tuple[str, object, int]
 
 
+def _by_id(owner: Owner) -> tuple:
+    """Order of parts by id and offset, those without an id last."""
+    return (True, owner[2]) if owner[1] is None else (False, owner[1], owner[2])
+
+
 def _chunks(batches: Iterator[pa.RecordBatch], hasher: Hasher) -> Iterator[tuple[Chunk, list[Owner]]]:
     """Chunks of whole pieces, with language, id and offset of each of their parts, in the order of the ids."""
     held: list[tuple[Owner, bytes]] = []
     size = 0
 
     def made() -> tuple[Chunk, list[Owner]]:
-        held.sort(key=lambda h: (h[0][1] is None, h[0][1:] if h[0][1] is not None else h[0][2:]))
+        held.sort(key=lambda h: _by_id(h[0]))
         owners, texts = [o for o, _ in held], [t for _, t in held]
         held.clear()
         return chunk(texts, [xxhash.xxh3_64_intdigest(o[0]) for o in owners], hasher), owners
@@ -198,27 +203,65 @@ def _same_word(found: Chunk, at: np.ndarray, first: np.ndarray) -> np.ndarray:
     return same
 
 
-def grouped(found: Chunk, chosen: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
-    """``(first place, words, occurrences)`` of the distinct phrases among the chosen places, ``chosen[n - 1]`` for
-    ``n`` words. Occurrences with one fingerprint are compared with the first of them, word by word and byte by
-    byte; those that differ are groups of their own."""
+@dataclass
+class Groups:
+    """Distinct phrases: a fingerprint, the numbers of its words (-1 beyond its end) and behind them the hash of its
+    language, its occurrences, and where it first stands as the number of an owner and a byte offset."""
+
+    fp: np.ndarray
+    ids: np.ndarray
+    count: np.ndarray
+    owner: np.ndarray
+    at: np.ndarray
+
+    @staticmethod
+    def joined(parts: list[Groups]) -> Groups:
+        return Groups(*(np.concatenate([getattr(p, n) for p in parts]) for n in ("fp", "ids", "count", "owner", "at")))
+
+    def merged(self, rank: np.ndarray) -> Groups:
+        """One row per phrase, with the first owner by ``rank``. Rows of one fingerprint with other words get a
+        fingerprint of their own."""
+        if not len(self.fp):
+            return self
+        fp, salt = self.fp, np.uint64(1)
+        while True:
+            order = np.argsort(fp, kind="stable")
+            sorted_fp = fp[order]
+            start = np.flatnonzero(np.concatenate([[True], sorted_fp[1:] != sorted_fp[:-1]]))
+            head = np.repeat(order[start], np.diff(np.append(start, len(order))))
+            odd = order[(self.ids[order] != self.ids[head]).any(axis=1)]
+            if not len(odd):
+                break
+            fp = fp.copy()
+            for k in range(self.ids.shape[1]):
+                fp[odd] = _mixed(fp[odd] ^ (self.ids[odd, k].astype(np.uint64) + salt))
+            salt += np.uint64(1)
+        first = np.minimum.reduceat((rank[self.owner[order]] << 40) | self.at[order], start)
+        back = np.argsort(rank)
+        return Groups(sorted_fp[start], self.ids[order[start]], np.add.reduceat(self.count[order], start), back[first >> 40], first & ((1 << 40) - 1))
+
+
+def grouped(found: Chunk, chosen: list[np.ndarray], known: dict[bytes, int], first_owner: int = 0, offsets: np.ndarray | None = None) -> Groups:
+    """The chosen places, ``chosen[n - 1]`` for ``n`` words, as groups. Words get their numbers in ``known`` by their
+    bytes: those with one hash are compared byte by byte with the first of them."""
     number = np.full(len(found.word), -1)
+    if len(chosen[0]):
+        at = chosen[0]
+        _, first, back = np.unique(found.word[at], return_index=True, return_inverse=True)
+        same = _same_word(found, at, at[first][back])
+        number[at] = np.array([known.setdefault(found.phrase(k, 1), len(known)) for k in at[first].tolist()])[back]
+        for k in at[~same].tolist():
+            number[k] = known.setdefault(found.phrase(k, 1), len(known))
+    parts = []
     for n, at in enumerate(chosen, start=1):
-        if not len(at):
-            continue
-        _, first, back, counts = np.unique(found.fingerprints(n, at), return_index=True, return_inverse=True, return_counts=True)
-        first = at[first]
-        if n == 1:
-            same = _same_word(found, at, first[back])
-            number[at] = back
-            number[at[~same]] = -2 - at[~same]
-        else:
-            same = np.ones(len(at), bool)
-            for k in range(n):
-                same &= number[at + k] == number[first[back] + k]
-        np.subtract.at(counts, back[~same], 1)
-        yield from ((int(f), n, int(c)) for f, c in zip(first.tolist(), counts.tolist()))
-        yield from ((int(p), n, 1) for p in at[~same])
+        ids = np.full((len(at), len(chosen) + 1), -1)
+        ids[:, -1] = found.seed[at].view(np.int64)
+        for k in range(n):
+            ids[:, k] = number[at + k]
+        doc = found.doc[at]
+        place = found.start[at] - found.begin[doc] + (0 if offsets is None else offsets[doc])
+        parts.append(Groups(found.fingerprints(n, at), ids, np.ones(len(at), np.int64), first_owner + doc, place))
+    return Groups.joined(parts)
 
 
 def _places(found: Chunk, tables: list[np.ndarray], known: int, upto: int) -> list[np.ndarray]:
@@ -243,35 +286,46 @@ def _materialised(rows: DataFrame, make: Callable[[], Choose], id_type: str) ->
     occurrence by id and byte offset."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        choose, hasher, ids = make(), Hasher(), pa.null()
-        held: dict[tuple[str, bytes], list] = {}
+        choose, hasher, id_type_here = make(), Hasher(), pa.null()
+        known: dict[bytes, int] = {}
+        owners: list[Owner] = []
+        held: list[Groups] = []
 
         def typed() -> Iterator[pa.RecordBatch]:
-            nonlocal ids
+            nonlocal id_type_here
             for batch in batches:
-                ids = batch.column("doc_id").type
+                id_type_here = batch.column("doc_id").type
                 yield batch
 
-        def drained() -> pa.RecordBatch:
-            langs, phrases = zip(*held) if held else ((), ())
-            words, counts, docs, offsets = zip(*held.values()) if held else ((), (), (), ())
-            held.clear()
-            columns = [pa.array(langs, pa.string()), pa.array([p.decode() for p in phrases], pa.string()), pa.array(words, pa.int32()), pa.array(counts, pa.int64()), pa.array(docs, ids), pa.array(offsets, pa.int64())]
+        def merged() -> Groups:
+            rank = np.empty(len(owners), np.int64)
+            rank[sorted(range(len(owners)), key=lambda k: _by_id(owners[k]))] = np.arange(len(owners))
+            return Groups.joined(held).merged(rank)
+
+        def drained(groups: Groups) -> pa.RecordBatch:
+            words = list(known)
+            ids = groups.ids[:, :-1]
+            phrases = [b" ".join([words[w] for w in row if w >= 0]) for row in ids.tolist()]
+            places = [owners[k] for k in groups.owner.tolist()]
+            columns = [
+                pa.array([o[0] for o in places], pa.string()), pa.array(phrases, pa.string()), pa.array((ids >= 0).sum(axis=1).astype(np.int32)),
+                pa.array(groups.count), pa.array([o[1] for o in places], id_type_here), pa.array(groups.at),
+            ]
+            for one in (known, owners, held):
+                one.clear()
             return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "n", "doc_id", "at"])
 
-        for found, owners in _chunks(typed(), hasher):
-            for place, n, count in grouped(found, choose(found)):
-                k = found.doc[place]
-                lang, doc, offset = owners[k]
-                at = offset + int(found.start[place] - found.begin[k])
-                one = held.setdefault((lang, found.phrase(place, n)), [n, 0, doc, at])
-                one[1] += count
-                if doc is not None and (one[2] is None or (doc, at) < (one[2], one[3])):
-                    one[2:] = doc, at
-            if len(held) >= HELD_PHRASES:
-                yield drained()
+        for found, parts in _chunks(typed(), hasher):
+            one = grouped(found, choose(found), known, len(owners), np.array([o[2] for o in parts]))
+            owners += parts
+            # Parts of a chunk are in the order of their ids.
+            held.append(one.merged(np.arange(len(owners))))
+            if sum(len(g.fp) for g in held) >= HELD_PHRASES:
+                held[:] = [merged()]
+                if len(held[0].fp) >= HELD_PHRASES // 2:
+                    yield drained(held[0])
         if held:
-            yield drained()
+            yield drained(merged())
 
     return rows.mapInArrow(run, f"lang string, phrase string, words int, n bigint, doc_id {id_type}, at bigint")
 
