@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm import chat, compression_rules, compression_score, decontaminate, disclosure, divergence, packing, phrases, sharding, url_filter, warc
+from newsmill.llm import chat, compression_rules, compression_score, decontaminate, disclosure, divergence, packing, phrases, sharding, toxicity, url_filter, warc
 from newsmill.llm.near_duplicates import near_duplicates
 from newsmill.session import table
 
@@ -80,11 +80,16 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(docs, words=3, percent=85).select("doc_id", F.col("n_shingles").cast("long"), "component_id", "kept")
 
 
-@_query("op13_source_divergence", divergence.SQL)
-def op13(spark: SparkSession, folder: str) -> DataFrame:
-    return divergence.audit(table(spark, folder, "documents"))
+@_query("op11_non_negative_toxicity")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 @_query("op12_fingerprint_collocations", phrases.SQL)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(table(spark, folder, "documents")).drop("doc_id", "at")
+
+
+@_query("op13_source_divergence", divergence.SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
