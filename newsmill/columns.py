@@ -33,6 +33,10 @@ def is_numeric(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.NumericType)
 
 
+def is_floating(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType))
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if is_numeric(f.dataType)]
 
@@ -41,8 +45,8 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def number(df: DataFrame, name: str) -> Column:
-    """The column as a number. Numeric columns pass untouched, so filters on them still reach
+def stored_number(df: DataFrame, name: str) -> Column:
+    """The column as a number. Numeric columns pass untouched, NaN included, so filters on them still reach
     the scan; text is parsed leniently and bad text (``NaN`` too) is NULL."""
     dtype = df.schema[name].dataType
     c = col(name)
@@ -55,12 +59,16 @@ def number(df: DataFrame, name: str) -> Column:
     return F.nanvl(c.cast("string").try_cast("double"), F.lit(None).cast("double"))
 
 
-def measure(df: DataFrame, name: str) -> Column:
-    """As :func:`number`, with NaN as NULL: what means, extremes and quantiles are taken of."""
-    c = number(df, name)
-    if not isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
-        return c
-    return F.nanvl(c, F.lit(None).cast(df.schema[name].dataType))
+def number(df: DataFrame, name: str) -> Column:
+    """The column as a number, NaN as NULL: what is kept, ranked, summed or counted. Filters that should reach
+    the scan take :func:`stored_number`."""
+    c = stored_number(df, name)
+    return F.nanvl(c, F.lit(None).cast(df.schema[name].dataType)) if is_floating(df, name) else c
+
+
+def missing(df: DataFrame, name: str) -> Column:
+    """Whether a value is NULL or NaN."""
+    return col(name).isNull() | F.isnan(col(name)) if is_floating(df, name) else col(name).isNull()
 
 
 def number_or_zero(df: DataFrame, name: str) -> Column:
@@ -79,8 +87,10 @@ def _type_of_number(df: DataFrame, name: str) -> str:
 
 
 def text(df: DataFrame, name: str) -> Column:
-    """The column as text; nested values as JSON."""
+    """The column as text; nested values as JSON; NaN as NULL."""
     dtype = df.schema[name].dataType
+    if is_floating(df, name):
+        return number(df, name).cast("string")
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
         return F.to_json(col(name))
     return col(name) if isinstance(dtype, T.StringType) else col(name).cast("string")

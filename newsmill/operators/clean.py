@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsmill.columns import col, first_present, number, number_or_zero, present, with_id
+from newsmill.columns import col, first_present, missing, number, number_or_zero, present, with_id
 from newsmill.columns import text as as_text
 from newsmill.functions import dates
 from newsmill.functions import text as tx
@@ -98,7 +98,7 @@ def drop_incomplete(df: DataFrame, critical: Sequence[str] = ("record_id", "titl
     """Drops rows with a NULL, or a blank text, in a critical column that exists."""
     for n in present(df, critical):
         is_text = isinstance(df.schema[n].dataType, T.StringType)
-        df = df.where(tx.strip(col(n)) != "" if is_text else col(n).isNotNull())
+        df = df.where(tx.strip(col(n)) != "" if is_text else ~missing(df, n))
     return df
 
 
@@ -137,7 +137,7 @@ def sparse_columns(df: DataFrame, threshold: float = 0.60, protected: Sequence[s
     names = [n for n in df.columns if n not in safe]
     if not names:
         return []
-    shares = df.agg(*[F.avg(col(n).isNull().cast("double")).alias(n) for n in names]).first()
+    shares = df.agg(*[F.avg(missing(df, n).cast("double")).alias(n) for n in names]).first()
     return [n for n in names if (shares[n] or 0.0) > threshold]
 
 

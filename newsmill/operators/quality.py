@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsmill.columns import col, fingerprint, first_present, number, numeric_columns, present, tall
+from newsmill.columns import col, fingerprint, first_present, missing, number, numeric_columns, present, tall
 from newsmill.columns import text as as_text
 from newsmill.functions import dates
 from newsmill.functions import text as tx
@@ -72,11 +72,11 @@ def _no_issues(df: DataFrame) -> DataFrame:
 
 
 def _missing_checks(df: DataFrame) -> list[Check]:
-    return [(n, ISSUE_MISSING, col(n).isNull(), severity) for n in df.columns]
+    return [(n, ISSUE_MISSING, missing(df, n), severity) for n in df.columns]
 
 
 def missing_report(df: DataFrame) -> DataFrame:
-    """Columns with NULLs: count, percentage, severity and type; worst first."""
+    """Columns with NULLs (or NaN): count, percentage, severity and type; worst first."""
     types = F.create_map(*[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())])
     return (
         _run(df, _missing_checks(df))
@@ -222,10 +222,10 @@ def bad_languages(df: DataFrame, key: str, column: str = "language") -> DataFram
 
 def missing_matrix(df: DataFrame, key: str, rows: int = 200, seed: int = 42) -> DataFrame:
     """NULL flags of the columns that have gaps, for a repeatable sample of rows."""
-    gaps = df.agg(*[F.count_if(col(n).isNull()).alias(n) for n in df.columns]).first()
+    gaps = df.agg(*[F.count_if(missing(df, n)).alias(n) for n in df.columns]).first()
     names = [n for n in df.columns if gaps[n]]
     picked = df.orderBy(F.md5(F.concat_ws(":", col(key).cast("string"), F.lit(str(seed))).cast("binary")), col(key)).limit(rows)
-    return picked.select(col(key), *[col(n).isNull().alias(f"{n}_missing") for n in names])
+    return picked.select(col(key), *[missing(df, n).alias(f"{n}_missing") for n in names])
 
 
 def validate(df: DataFrame, key: str = "record_id") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsmill.columns import col, number, present
+from newsmill.columns import col, is_floating, number, present
 from newsmill.columns import text as as_text
 from newsmill.functions import text as tx
 from newsmill.operators.joins import only_new
@@ -78,7 +78,7 @@ def keyword_search(
         score = score + F.contains(F.col("_nm_body"), F.lit(term)).cast("int")
     kept = [k for k in keep if k in df.columns and k != key]
     found = (
-        df.select(col(key), *[col(k) for k in kept], body.alias("_nm_body"))
+        df.select(col(key), *[number(df, k).alias(k) if k == rating and is_floating(df, k) else col(k) for k in kept], body.alias("_nm_body"))
         .withColumns({"keyword_score": score, "phrase_match": F.contains(F.col("_nm_body"), F.lit(phrase))})
         .drop("_nm_body")
         .where(F.col("phrase_match") | (F.col("keyword_score") > 0))

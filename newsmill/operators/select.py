@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsmill.columns import col, first_present, number, present
+from newsmill.columns import col, first_present, is_floating, number, present, stored_number
 from newsmill.columns import text as as_text
 from newsmill.functions import text as tx
 
@@ -27,9 +27,7 @@ DEFAULT_YEARS = (2026, 2026)
 
 
 def _not_nan(df: DataFrame, name: str) -> Column:
-    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
-        return ~F.isnan(col(name))
-    return F.lit(True)
+    return ~F.isnan(col(name)) if is_floating(df, name) else F.lit(True)
 
 
 def nothing(df: DataFrame) -> DataFrame:
@@ -46,7 +44,7 @@ def at_least(df: DataFrame, low: float = 7.0, column: str = "rating_score", keep
     name = first_present(df, [column, "vote_average"])
     if name is None:
         return nothing(df)
-    hit = df.where((number(df, name) >= low) & _not_nan(df, name))
+    hit = df.where((stored_number(df, name) >= low) & _not_nan(df, name))
     return select_present(hit, keep or RATING_COLUMNS)
 
 
@@ -54,7 +52,7 @@ def between(df: DataFrame, low: float = 2.0, high: float = 8.0, column: str = "r
     """Both ends belong to the range."""
     fallback = ["vote_average"] if column == "rating_score" else []
     name = first_present(df, [column, *fallback, "content_length"])
-    return nothing(df) if name is None else df.where(number(df, name).between(low, high))
+    return nothing(df) if name is None else df.where(stored_number(df, name).between(low, high))
 
 
 def rated_and_mentioned(
@@ -69,7 +67,7 @@ def rated_and_mentioned(
     ]
     if any(n is None or n not in df.columns for n in names):
         return nothing(df)
-    r, m, p = (number(df, n) for n in names)
+    r, m, p = stored_number(df, names[0]), number(df, names[1]), number(df, names[2])
     zero = F.lit(0)
     return df.where((r > min_rating) & _not_nan(df, names[0]) & (F.coalesce(m, zero) >= min_mentions) & (F.coalesce(p, zero) > min_popularity))
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsmill.columns import col, nan_to_null
+from newsmill.columns import col, is_floating, nan_to_null, number
 from newsmill.columns import text as as_text
 from newsmill.operators.ingest import flatten_envelopes
 from newsmill.operators.joins import upsert
@@ -53,8 +53,9 @@ def scan_documents(
 
 def scan_metrics(df: DataFrame, value: str = "estimated_value", at_least: float | None = None, then_by: Sequence[str] = ()) -> DataFrame:
     """Highest values first; the threshold reaches the scan. For a database, hand in a JDBC frame."""
-    rows = df if at_least is None else df.where(col(value) >= at_least)
-    return rows.orderBy(F.desc(value), *[col(t) for t in then_by])
+    if at_least is not None:
+        df = df.where((col(value) >= at_least) & (~F.isnan(col(value)) if is_floating(df, value) else F.lit(True)))
+    return df.orderBy(number(df, value).desc_nulls_last(), *[col(t) for t in then_by])
 
 
 def where_given(df: DataFrame, name: str, value: Any = None) -> DataFrame:
