@@ -26,7 +26,9 @@ TOP = 2_000
 # Bytes that are hashed at a time, fingerprints and phrases that a task holds before it sends them on.
 CHUNK_BYTES = 1 << 20
 HELD_FINGERPRINTS = 2_000_000
-HELD_PHRASES = 1_500_000
+HELD_PHRASES = 1_000_000
+# Rows of a batch on the way to the shuffle.
+SENT_ROWS = 1 << 17
 # Size of a filter of frequent fingerprints as a power of two in bits: 2^20 to 2^27 (16 MB). Beyond that it lets
 # more pass; the counts stay exact.
 FILTER_BITS = (20, 27)
@@ -175,16 +177,18 @@ def _count(rows: DataFrame, make: Callable[[], Choose]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         choose, hasher, held = make(), Hasher(), []
 
-        def drained() -> pa.RecordBatch:
+        def drained() -> Iterator[pa.RecordBatch]:
             fp, n = np.unique(np.concatenate([np.empty(0, np.uint64), *held]), return_counts=True)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(n, pa.int64())], names=["fp", "n"])
+            for begin in range(0, len(fp), SENT_ROWS):
+                end = begin + SENT_ROWS
+                yield pa.RecordBatch.from_arrays([pa.array(fp[begin:end].view(np.int64)), pa.array(n[begin:end], pa.int64())], names=["fp", "n"])
 
         for found, _ in _chunks(batches, hasher):
             held += choose(found)
             if sum(map(len, held)) >= HELD_FINGERPRINTS:
-                yield drained()
-        yield drained()
+                yield from drained()
+        yield from drained()
 
     return rows.mapInArrow(run, "fp bigint, n bigint").groupBy("fp").agg(F.sum("n").alias("n"))
 
@@ -205,7 +209,7 @@ def _same_word(found: Chunk, at: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Groups:
-    """Distinct phrases: a fingerprint, the numbers of its words (-1 beyond its end) and behind them the hash of its
+    """Distinct phrases: a fingerprint, the numbers of its words (-1 beyond its end) and behind them that of its
     language, its occurrences, and where it first stands as the number of an owner and a byte offset."""
 
     fp: np.ndarray
@@ -234,17 +238,19 @@ class Groups:
                 break
             fp = fp.copy()
             for k in range(self.ids.shape[1]):
-                fp[odd] = _mixed(fp[odd] ^ (self.ids[odd, k].astype(np.uint64) + salt))
+                fp[odd] = _mixed(fp[odd] ^ (self.ids[odd, k].astype(np.int64).view(np.uint64) + salt))
             salt += np.uint64(1)
         first = np.minimum.reduceat((rank[self.owner[order]] << 40) | self.at[order], start)
         back = np.argsort(rank)
-        return Groups(sorted_fp[start], self.ids[order[start]], np.add.reduceat(self.count[order], start), back[first >> 40], first & ((1 << 40) - 1))
+        return Groups(sorted_fp[start], self.ids[order[start]], np.add.reduceat(self.count[order], start), back[first >> 40].astype(np.int32), first & ((1 << 40) - 1))
 
 
-def grouped(found: Chunk, chosen: list[np.ndarray], known: dict[bytes, int], first_owner: int = 0, offsets: np.ndarray | None = None) -> Groups:
+def grouped(found: Chunk, chosen: list[np.ndarray], known: dict[bytes | int, int], first_owner: int = 0, offsets: np.ndarray | None = None) -> Groups:
     """The chosen places, ``chosen[n - 1]`` for ``n`` words, as groups. Words get their numbers in ``known`` by their
-    bytes: those with one hash are compared byte by byte with the first of them."""
-    number = np.full(len(found.word), -1)
+    bytes: those with one hash are compared byte by byte with the first of them. Languages have numbers there too."""
+    number = np.full(len(found.word), -1, np.int32)
+    seeds, of = np.unique(found.seed, return_inverse=True)
+    lang = np.array([known.setdefault(k, len(known)) for k in seeds.tolist()], np.int32)[of]
     if len(chosen[0]):
         at = chosen[0]
         _, first, back = np.unique(found.word[at], return_index=True, return_inverse=True)
@@ -254,13 +260,13 @@ def grouped(found: Chunk, chosen: list[np.ndarray], known: dict[bytes, int], fir
             number[k] = known.setdefault(found.phrase(k, 1), len(known))
     parts = []
     for n, at in enumerate(chosen, start=1):
-        ids = np.full((len(at), len(chosen) + 1), -1)
-        ids[:, -1] = found.seed[at].view(np.int64)
+        ids = np.full((len(at), len(chosen) + 1), -1, np.int32)
+        ids[:, -1] = lang[at]
         for k in range(n):
             ids[:, k] = number[at + k]
         doc = found.doc[at]
         place = found.start[at] - found.begin[doc] + (0 if offsets is None else offsets[doc])
-        parts.append(Groups(found.fingerprints(n, at), ids, np.ones(len(at), np.int64), first_owner + doc, place))
+        parts.append(Groups(found.fingerprints(n, at), ids, np.ones(len(at), np.int64), (first_owner + doc).astype(np.int32), place))
     return Groups.joined(parts)
 
 
@@ -287,7 +293,7 @@ def _materialised(rows: DataFrame, make: Callable[[], Choose], id_type: str) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         choose, hasher, id_type_here = make(), Hasher(), pa.null()
-        known: dict[bytes, int] = {}
+        known: dict[bytes | int, int] = {}
         owners: list[Owner] = []
         held: list[Groups] = []
 
@@ -302,18 +308,20 @@ def _materialised(rows: DataFrame, make: Callable[[], Choose], id_type: str) ->
             rank[sorted(range(len(owners)), key=lambda k: _by_id(owners[k]))] = np.arange(len(owners))
             return Groups.joined(held).merged(rank)
 
-        def drained(groups: Groups) -> pa.RecordBatch:
+        def drained(groups: Groups) -> Iterator[pa.RecordBatch]:
             words = list(known)
-            ids = groups.ids[:, :-1]
-            phrases = [b" ".join([words[w] for w in row if w >= 0]) for row in ids.tolist()]
-            places = [owners[k] for k in groups.owner.tolist()]
-            columns = [
-                pa.array([o[0] for o in places], pa.string()), pa.array(phrases, pa.string()), pa.array((ids >= 0).sum(axis=1).astype(np.int32)),
-                pa.array(groups.count), pa.array([o[1] for o in places], id_type_here), pa.array(groups.at),
-            ]
+            for begin in range(0, len(groups.fp), SENT_ROWS):
+                end = begin + SENT_ROWS
+                ids = groups.ids[begin:end, :-1]
+                phrases = [b" ".join([words[w] for w in row if w >= 0]) for row in ids.tolist()]
+                places = [owners[k] for k in groups.owner[begin:end].tolist()]
+                columns = [
+                    pa.array([o[0] for o in places], pa.string()), pa.array(phrases, pa.string()), pa.array((ids >= 0).sum(axis=1).astype(np.int32)),
+                    pa.array(groups.count[begin:end]), pa.array([o[1] for o in places], id_type_here), pa.array(groups.at[begin:end]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "n", "doc_id", "at"])
             for one in (known, owners, held):
                 one.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "n", "doc_id", "at"])
 
         for found, parts in _chunks(typed(), hasher):
             one = grouped(found, choose(found), known, len(owners), np.array([o[2] for o in parts]))
@@ -323,9 +331,9 @@ def _materialised(rows: DataFrame, make: Callable[[], Choose], id_type: str) ->
             if sum(len(g.fp) for g in held) >= HELD_PHRASES:
                 held[:] = [merged()]
                 if len(held[0].fp) >= HELD_PHRASES // 2:
-                    yield drained(held[0])
+                    yield from drained(held[0])
         if held:
-            yield drained(merged())
+            yield from drained(merged())
 
     return rows.mapInArrow(run, f"lang string, phrase string, words int, n bigint, doc_id {id_type}, at bigint")
 
