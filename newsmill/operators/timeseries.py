@@ -81,3 +81,32 @@ def with_rolling_means(series: DataFrame, value: str, date: str = "analysis_date
     return series.withColumn(value, zeroed).withColumns(
         {f"rolling_{w}_month_avg": F.avg(col(value)).over(order.rowsBetween(1 - w, 0)) for w in windows}
     )
+
+
+def sessions(
+    df: DataFrame, gap: str, groups: Sequence[str], time: str = "ts", sums: Sequence[str] = (), lows: Sequence[str] = (), highs: Sequence[str] = (),
+    bucket_seconds: int = 86_400,
+) -> DataFrame:
+    """Sessions per group: runs of rows of which none is more than ``gap`` after the one before. One row each, with
+    ``session_start``, ``session_end`` (the last row's time plus the gap), ``records``, and ``total_``, ``min_`` and
+    ``max_`` columns of the named values. Rows without a time belong to none; NULL groups are groups.
+
+    Rows are merged within time buckets first, so that a group with a large share of the rows is spread over tasks;
+    what is merged over a whole group are the sessions of its buckets.
+    """
+    named = [("total", F.sum, n) for n in sums] + [("min", F.min, n) for n in lows] + [("max", F.max, n) for n in highs]
+    stamped = df.where(col(time).isNotNull()).withColumns({"_nm_bucket": F.floor(F.unix_seconds(col(time)) / bucket_seconds), "_nm_session": F.session_window(col(time), gap)})
+    keys = [col(g) for g in groups]
+    parts = stamped.groupBy(*keys, "_nm_bucket", "_nm_session").agg(
+        F.count(F.lit(1)).alias("records"), *[f(number(df, n)).alias(f"{kind}_{n}") for kind, f, n in named]
+    )
+    parts = parts.select(*keys, F.col("_nm_session.start").alias("_nm_start"), F.col("_nm_session.end").alias("_nm_end"), "records", *[f"{kind}_{n}" for kind, _, n in named])
+    order = Window.partitionBy(*keys).orderBy("_nm_start")
+    so_far = F.max("_nm_end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = parts.withColumn("_nm_new", (so_far.isNull() | (F.col("_nm_start") > so_far)).cast("int"))
+    numbered = begins.withColumn("_nm_session", F.sum("_nm_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = numbered.groupBy(*keys, "_nm_session").agg(
+        F.min("_nm_start").alias("session_start"), F.max("_nm_end").alias("session_end"), F.sum("records").alias("records"),
+        *[f(f"{kind}_{n}").alias(f"{kind}_{n}") for kind, f, n in named],
+    )
+    return merged.drop("_nm_session")

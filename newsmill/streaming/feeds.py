@@ -9,6 +9,8 @@ that readers do not have to read every batch ever written.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsmill.columns import col
-from newsmill.sources.files import is_file
+from newsmill.session import cut
+from newsmill.sources import keyfilter
+from newsmill.sources.files import exists, is_file
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -32,12 +36,15 @@ def parquet_feed(spark: SparkSession, path: str, schema: T.StructType | None = N
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     # The stream source takes folders and patterns; a single file is named by a pattern.
     source = f"{path[:-1]}[{path[-1]}]" if is_file(spark, path) else path
-    stamp = col(time).cast("timestamp")
-    if isinstance(schema[time].dataType, T.TimestampNTZType):
-        stamp = F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), col(time)))
+    stamp = as_utc(time) if isinstance(schema[time].dataType, T.TimestampNTZType) else col(time).cast("timestamp")
     return reader.parquet(source).withColumn(time, stamp)
 
 
+def as_utc(name: str) -> Column:
+    """A time without a zone as a TIMESTAMP, read as UTC."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), col(name)))
+
+
 def utc_time(stamp: Column) -> Column:
     """A TIMESTAMP as a time without a zone, in UTC."""
     return F.convert_timezone(None, F.lit("UTC"), stamp.cast("timestamp_ntz"))
@@ -50,6 +57,13 @@ def window_totals(feed: DataFrame, aggregates: Sequence[Column], every: str, sli
     return grouped.select(F.col("_nm_w.start").alias("window_start"), F.col("_nm_w.end").alias("window_end"), *[c for c in grouped.columns if c != "_nm_w"])
 
 
+def session_totals(feed: DataFrame, aggregates: Sequence[Column], gap: str, groups: Sequence[str], time: str = "ts", lateness: str = "1 day") -> DataFrame:
+    """Sessions per group, merged as rows come in: a late row may join two of them. A session goes out once, when the
+    watermark has passed its end (run it in append mode); rows later than ``lateness`` are dropped."""
+    grouped = feed.withWatermark(time, lateness).groupBy(F.session_window(col(time), gap).alias("_nm_w"), *[col(g) for g in groups]).agg(*aggregates)
+    return grouped.select(*[col(g) for g in groups], F.col("_nm_w.start").alias("session_start"), F.col("_nm_w.end").alias("session_end"), *[c for c in grouped.columns if c not in ("_nm_w", *groups)])
+
+
 def live_ticks(feed: DataFrame, tick: str = "1 minute", alert: Column | None = None, score: Column | None = None, time: str = "ts") -> DataFrame:
     """Records, alerts and mean score per tick."""
     return window_totals(
@@ -118,6 +132,31 @@ def run_available(stream: DataFrame, folder: str, mode: str = "update") -> str:
     return result
 
 
+def ingest_new(feed: DataFrame, path: str, keys: Sequence[str], state: str, blocks: int = keyfilter.BLOCKS) -> int:
+    """Adds the rows of a stream whose key is not in the table at ``path`` yet, each key once, however long ago it was
+    stored; returns the number of batches the table then has.
+
+    A batch goes to its own folder ``batch=N`` and is only compared with earlier ones, so that one that runs again
+    after a failure finds what it found before and replaces its own rows. Next to them lie the keys of the batch,
+    by hash range, and a filter of them: rows whose key the filter rules out are not joined, and of the stored keys
+    only the ranges that a possible hit falls into are read. Rows with a NULL in a key are left out.
+    """
+    spark = feed.sparkSession
+
+    def store(batch: DataFrame, number: int) -> None:
+        rows = cut(batch.where(reduce(and_, [col(k).isNotNull() for k in keys])).dropDuplicates(list(keys)))
+        stored = keyfilter.Keys(spark, f"{path}/_keys", list(keys), blocks, before=number)
+        new = cut(stored.missing_from(rows))
+        new.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        stored.add(new, number)
+
+    (
+        feed.writeStream.foreachBatch(store).option("checkpointLocation", state)
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+    return 0 if not exists(spark, path) else spark.read.parquet(path).select("batch").distinct().count()
+
+
 def compacted(spark: SparkSession, result: str, keys: Sequence[str], base: str, earlier: str | None = None) -> int:
     """Writes the newest row per key of all batches so far to ``base`` and returns the last batch in it.
 
