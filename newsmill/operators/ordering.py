@@ -21,8 +21,8 @@ GROUP_LIMIT = 1000
 SPREAD = 64
 
 
-def keep_first(df: DataFrame, keys: Sequence[Column], order: Sequence[Column], n: int = 1) -> DataFrame:
-    """The first ``n`` rows per key in the given order.
+def keep_first(df: DataFrame, keys: Sequence[Column], order: Sequence[Column], n: int = 1, out: str | None = None) -> DataFrame:
+    """The first ``n`` rows per key in the given order, with their rank (from 1) if ``out`` names it.
 
     The rank filter becomes a group limit that runs before the shuffle, so a hot key sends at
     most ``n`` rows per input task. Spark sets that limit only below ``GROUP_LIMIT`` rows; for more, a
@@ -33,7 +33,9 @@ def keep_first(df: DataFrame, keys: Sequence[Column], order: Sequence[Column], n
         part = Window.partitionBy(*keys, spread).orderBy(*order)
         df = df.withColumn("_nm_rank", F.row_number().over(part)).where(F.col("_nm_rank") <= n).drop("_nm_rank")
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_nm_rank", F.row_number().over(w)).where(F.col("_nm_rank") <= n).drop("_nm_rank")
+    name = out or "_nm_rank"
+    ranked = df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n)
+    return ranked if out else ranked.drop(name)
 
 
 def top_per_group(

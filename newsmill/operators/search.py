@@ -17,6 +17,7 @@ from newsmill.columns import col, is_floating, number, present
 from newsmill.columns import text as as_text
 from newsmill.functions import text as tx
 from newsmill.operators.joins import only_new
+from newsmill.operators.ordering import keep_first
 from newsmill.operators.select import matching
 
 # Searched fields, and the length caps of the stored metadata.
@@ -137,8 +138,7 @@ def nearest(
                 yield pa.RecordBatch.from_arrays([labels, *taken.columns, pa.array(s[pick])], names=["query", *kept, "similarity_score"])
 
     candidates = source.mapInArrow(best_of, schema)
-    w = Window.partitionBy("query").orderBy(F.desc("similarity_score"), col(key))
-    ranked = candidates.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    ranked = keep_first(candidates, [F.col("query")], [F.desc("similarity_score"), col(key)], k, out="rank")
     return ranked.select(
         "query", "rank", *[col(c) for c in kept], (1 - F.col("similarity_score")).alias("distance"), "similarity_score"
     ).withColumn("search_type", F.lit("semantic"))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsmill.operators import search
+from newsmill.operators import neighbours, search
 from newsmill.operators.joins import overlap
 from newsmill.plans.registry import query
 from newsmill.plans.stand_ins import RATED_SQL, articles, rated, rounded
-from newsmill.session import table
+from newsmill.session import scratch_path, table
+from newsmill.sources import cells, substrings
 
 _WORDS = "the ander und avec"
 _BODY_SQL = "lower(title || ' ' || content_text || ' ' || category || ' ' || document_type || ' ' || source_name)"
@@ -87,6 +88,16 @@ def _(spark, sf):
     return rounded(search.similarity_to(vectors, _first_per_label(vectors), "record_id"), 6, "cosine")
 
 
+@query(
+    "all_pairs_similarity", 77,
+    sql="""SELECT a.vec_id AS record_id, b.vec_id AS neighbour, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS cosine,
+      CAST(row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) DESC, b.vec_id) AS INTEGER) AS rank
+    FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id QUALIFY rank <= 5""",
+)
+def _(spark, sf):
+    return rounded(neighbours.nearest_to_all(_vectors(spark, sf), 5, "record_id"), 6, "cosine")
+
+
 _LOAD_SQL = "stored AS (SELECT 'record_' || doc_id AS id FROM documents WHERE lang = 'en'), incoming AS (SELECT 'record_' || doc_id AS id FROM documents WHERE source <> 'src3')"
 
 
@@ -164,3 +175,20 @@ def _(spark, sf):
     both = overlap(*words, "record_id", "record_id").withColumn("method", F.lit("keyword"))
     both = both.unionByName(overlap(*near, "record_id", "record_id").withColumn("method", F.lit("semantic")))
     return rounded(both, 6, "overlap_ratio")
+
+
+@query("stored_vector_search", 128, 130, sql=f"SELECT record_id, rank, label, round(1 - similarity_score, 6) AS distance, round(similarity_score, 6) AS similarity_score, 'semantic' AS search_type FROM {_near_sql(7, 15)}")
+def _(spark, sf):
+    # Stored in two loads.
+    path, vectors = scratch_path(spark, "vectors"), _vectors(spark, sf)
+    cells.create(vectors.where("label % 2 = 0"), path)
+    cells.append(vectors.where("label % 2 <> 0"), path)
+    found = cells.search(spark, path, _vector_of(spark, sf, 7), 15, "record_id", keep=["label"])
+    return rounded(found, 6, "distance", "similarity_score")
+
+
+@query("indexed_keyword_search", 127, sql=f"WITH {RATED_SQL} SELECT *, 'keyword' AS search_type FROM {_keyword_sql('stupid schein licensed', 25)}")
+def _(spark, sf):
+    path = scratch_path(spark, "substrings")
+    substrings.create(rated(spark, sf), path)
+    return substrings.search(spark, path, "stupid Schein licensed", 25)
