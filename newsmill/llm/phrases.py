@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsmill.columns import col
@@ -25,7 +26,7 @@ SCALE = 2_000_000
 TOP = 2_000
 # Bytes that are hashed at a time, fingerprints and phrases that a task holds before it sends them on.
 CHUNK_BYTES = 1 << 20
-HELD_FINGERPRINTS = 2_000_000
+HELD_FINGERPRINTS = 1_500_000
 HELD_PHRASES = 1_000_000
 # Rows of a batch on the way to the shuffle.
 SENT_ROWS = 1 << 17
@@ -37,7 +38,7 @@ SALTS = 16
 
 # One table lowers A-Z, makes a line end of what ends a piece, and a blank of a tab.
 _TRANSLATE = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256))
-_BASE, _WORD_BASE = 0xD1B54A32D192ED03, 0x9E3779B97F4A7C15
+_BASE, _OTHER_BASE, _WORD_BASE = 0xD1B54A32D192ED03, 0xA0761D6478BD642F, 0x9E3779B97F4A7C15
 
 
 def _powers(base: int, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,6 +102,10 @@ class Chunk:
         h = self.word[at] if n == 1 else self.hasher.spans(self.word, at, at + n, _WORD_BASE)
         return _mixed(h ^ (self.seed[at] * np.uint64(2 * n + 1)))
 
+    def others(self, at: np.ndarray) -> np.ndarray:
+        """A second hash of single words, from another base."""
+        return _mixed(self.hasher.spans(self.raw.astype(np.uint64) + np.uint64(1), self.start[at], self.stop[at], _OTHER_BASE) + self.seed[at])
+
     def phrase(self, at: int, n: int) -> bytes:
         return b" ".join(self.raw[self.start[k] : self.stop[k]].tobytes() for k in range(at, at + n))
 
@@ -170,27 +175,48 @@ def _chunks(batches: Iterator[pa.RecordBatch], hasher: Hasher) -> Iterator[tuple
 Choose = Callable[[Chunk], list[np.ndarray]]
 
 
+def _made_of(found: Chunk, n: int, at: np.ndarray) -> np.ndarray:
+    """Three columns: the fingerprint of the ``n`` words from each place on, and those of their first and of their last
+    ``n - 1`` words; of single words a second hash and their language."""
+    if n == 1:
+        return np.column_stack([found.fingerprints(1, at), found.others(at), found.seed[at]])
+    return np.column_stack([found.fingerprints(n, at), found.fingerprints(n - 1, at), found.fingerprints(n - 1, at + 1)])
+
+
+def _tallied(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows and how often each is there. Those of one fingerprint with unlike parts stay apart."""
+    _, first, back, counts = np.unique(rows[:, 0], return_index=True, return_inverse=True, return_counts=True)
+    odd = np.flatnonzero((rows != rows[first][back]).any(axis=1))
+    np.subtract.at(counts, back[odd], 1)
+    return np.concatenate([rows[first], rows[odd]]), np.concatenate([counts, np.ones(len(odd), np.int64)])
+
+
 def _count(rows: DataFrame, make: Callable[[], Choose]) -> DataFrame:
-    """``fp, n``: fingerprints that ``make()`` takes from each chunk and how often they occur, counted in each task
-    and then by a shuffle."""
+    """``fp, left, right, words, n``: the n-grams at the places that ``make()`` takes from each chunk, by their
+    fingerprints and those of their parts, counted in each task and then by a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        choose, hasher, held = make(), Hasher(), []
+        choose, hasher = make(), Hasher()
+        held: dict[int, list[np.ndarray]] = {}
 
         def drained() -> Iterator[pa.RecordBatch]:
-            fp, n = np.unique(np.concatenate([np.empty(0, np.uint64), *held]), return_counts=True)
+            for n, parts in held.items():
+                rows, counts = _tallied(np.concatenate(parts))
+                for begin in range(0, len(rows), SENT_ROWS):
+                    part = rows[begin : begin + SENT_ROWS]
+                    columns = [*(pa.array(np.ascontiguousarray(part[:, k]).view(np.int64)) for k in range(3)), pa.array(np.full(len(part), n, np.int32)), pa.array(counts[begin : begin + SENT_ROWS], pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["fp", "left", "right", "words", "n"])
             held.clear()
-            for begin in range(0, len(fp), SENT_ROWS):
-                end = begin + SENT_ROWS
-                yield pa.RecordBatch.from_arrays([pa.array(fp[begin:end].view(np.int64)), pa.array(n[begin:end], pa.int64())], names=["fp", "n"])
 
         for found, _ in _chunks(batches, hasher):
-            held += choose(found)
-            if sum(map(len, held)) >= HELD_FINGERPRINTS:
+            for n, at in enumerate(choose(found), start=1):
+                if len(at):
+                    held.setdefault(n, []).append(_made_of(found, n, at))
+            if sum(len(r) for parts in held.values() for r in parts) >= HELD_FINGERPRINTS:
                 yield from drained()
         yield from drained()
 
-    return rows.mapInArrow(run, "fp bigint, n bigint").groupBy("fp").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(run, "fp bigint, left bigint, right bigint, words int, n bigint").groupBy("fp", "left", "right", "words").agg(F.sum("n").alias("n"))
 
 
 def _same_word(found: Chunk, at: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -251,8 +277,12 @@ def grouped(found: Chunk, chosen: list[np.ndarray], known: dict[bytes | int, int
     number = np.full(len(found.word), -1, np.int32)
     seeds, of = np.unique(found.seed, return_inverse=True)
     lang = np.array([known.setdefault(k, len(known)) for k in seeds.tolist()], np.int32)[of]
-    if len(chosen[0]):
-        at = chosen[0]
+    used = np.zeros(len(found.word) + len(chosen), bool)
+    for n, at in enumerate(chosen, start=1):
+        for k in range(n):
+            used[at + k] = True
+    at = np.flatnonzero(used)
+    if len(at):
         _, first, back = np.unique(found.word[at], return_index=True, return_inverse=True)
         same = _same_word(found, at, at[first][back])
         number[at] = np.array([known.setdefault(found.phrase(k, 1), len(known)) for k in at[first].tolist()])[back]
@@ -288,7 +318,7 @@ def _places(found: Chunk, tables: list[np.ndarray], known: int, upto: int) -> li
 
 
 def _materialised(rows: DataFrame, make: Callable[[], Choose], id_type: str) -> DataFrame:
-    """``lang, phrase, words, n, doc_id, at``: the chosen phrases as text, counted in each task, with their first
+    """``fp, lang, phrase, words, n, doc_id, at``: the chosen phrases as text, counted in each task, with their first
     occurrence by id and byte offset."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,10 +346,10 @@ def _materialised(rows: DataFrame, make: Callable[[], Choose], id_type: str) ->
                 phrases = [b" ".join([words[w] for w in row if w >= 0]) for row in ids.tolist()]
                 places = [owners[k] for k in groups.owner[begin:end].tolist()]
                 columns = [
-                    pa.array([o[0] for o in places], pa.string()), pa.array(phrases, pa.string()), pa.array((ids >= 0).sum(axis=1).astype(np.int32)),
+                    pa.array(groups.fp[begin:end].view(np.int64)), pa.array([o[0] for o in places], pa.string()), pa.array(phrases, pa.string()), pa.array((ids >= 0).sum(axis=1).astype(np.int32)),
                     pa.array(groups.count[begin:end]), pa.array([o[1] for o in places], id_type_here), pa.array(groups.at[begin:end]),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "n", "doc_id", "at"])
+                yield pa.RecordBatch.from_arrays(columns, names=["fp", "lang", "phrase", "words", "n", "doc_id", "at"])
             for one in (known, owners, held):
                 one.clear()
 
@@ -335,43 +365,84 @@ def _materialised(rows: DataFrame, make: Callable[[], Choose], id_type: str) ->
         if held:
             yield from drained(merged())
 
-    return rows.mapInArrow(run, f"lang string, phrase string, words int, n bigint, doc_id {id_type}, at bigint")
+    return rows.mapInArrow(run, f"fp bigint, lang string, phrase string, words int, n bigint, doc_id {id_type}, at bigint")
 
 
-def frequent(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``lang, phrase, words, a, doc_id, at`` for all phrases of one to ``max_words`` words with ``min_count``
-    occurrences or more in a language, stored; ``doc_id`` and ``at`` (bytes) point to the first occurrence."""
-    rows = docs.select(col(id_col).alias("doc_id"), F.coalesce(col(lang_col).cast("string"), F.lit("und")).alias("lang"), col(text_col).cast("string").alias("text"))
-    sent = []
+class Sent:
+    """Filters that were sent to the tasks; they are given back at the end."""
+
+    def __init__(self, spark) -> None:
+        self.context, self.filters = spark.sparkContext, []
+
+    def add(self, fingerprints: DataFrame) -> None:
+        self.filters.append(self.context.broadcast(bit_filter.build(fingerprints, "fp", FILTER_BITS)))
+
+    def clear(self) -> None:
+        for one in self.filters:
+            one.unpersist()
+        self.filters.clear()
 
-    def choose(known: int, upto: int, lengths: range, texts: bool = False) -> Callable[[], Choose]:
-        filters = list(sent)
+    def places(self, known: int, upto: int, least: int = 1) -> Callable[[], Choose]:
+        """Places as of :func:`_places`, those of ``least`` words or more."""
+        filters = list(self.filters)
+
+        def make() -> Choose:
+            tables = [f.value for f in filters]
+            return lambda found: [at if n >= least else at[:0] for n, at in enumerate(_places(found, tables, known, upto), start=1)]
+
+        return make
+
+    def passing(self, upto: int) -> Callable[[], Choose]:
+        """Places of all phrases that pass the filters, whether their parts do or not."""
+        filters = list(self.filters)
 
         def make() -> Choose:
             tables = [f.value for f in filters]
 
             def one(found: Chunk) -> list[np.ndarray]:
-                at = _places(found, tables, known, upto)
-                return at if texts else [found.fingerprints(n, at[n - 1]) for n in lengths]
+                every = [np.flatnonzero(found.within(n)) for n in range(1, upto + 1)]
+                return [at[bit_filter.passing(found.fingerprints(n, at), tables)] for n, at in enumerate(every, start=1)]
 
             return one
 
         return make
 
-    # A phrase is as frequent as asked only if its parts are: words first, then pairs of frequent words, then
-    # what consists of frequent pairs.
-    for known, lengths in ((0, range(1, 2)), (1, range(2, 3)), (2, range(3, max_words + 1))):
-        if lengths.stop - 1 > max_words or not lengths:
-            continue
-        found = cut(_count(rows, choose(known, lengths.stop - 1, lengths)).where(F.col("n") >= min_count).select("fp"))
-        sent.append(docs.sparkSession.sparkContext.broadcast(bit_filter.build(found, "fp", FILTER_BITS)))
-    texts = _materialised(rows, choose(max_words, max_words, range(0), texts=True), docs.schema[id_col].dataType.simpleString())
+
+def _rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    return docs.select(col(id_col).alias("doc_id"), F.coalesce(col(lang_col).cast("string"), F.lit("und")).alias("lang"), col(text_col).cast("string").alias("text"))
+
+
+def counted(rows: DataFrame, max_words: int, min_count: int, sent: Sent) -> list[DataFrame]:
+    """``fp, left, right, words, n`` of all n-grams with ``min_count`` occurrences or more in a language, stored.
+
+    An n-gram is as frequent as asked only if its parts are: words first, then pairs of frequent words, then what
+    consists of frequent pairs, each behind a filter of the fingerprints found so far (which are left in ``sent``).
+    """
+    out = []
+    for known, least, upto in ((0, 1, 1), (1, 2, min(2, max_words)), (2, 3, max_words)):
+        if least > upto:
+            break
+        out.append(cut(_count(rows, sent.places(known, upto, least)).where(F.col("n") >= min_count)))
+        sent.add(out[-1])
+    return out
+
+
+def _as_text(rows: DataFrame, make: Callable[[], Choose], id_type: str) -> DataFrame:
+    """``lang, phrase, words, a, fp, doc_id, at``: the groups are the words themselves, so that phrases with one fingerprint
+    stay apart."""
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at")
-    # The groups are the words themselves, so that phrases with one fingerprint stay apart.
-    counted = texts.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("a"), F.min(place).alias("place")).where(F.col("a") >= min_count)
-    stored = cut(counted.select("lang", "phrase", "words", "a", "place.doc_id", "place.at"))
-    for one in sent:
-        one.unpersist()
+    found = _materialised(rows, make, id_type).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("a"), F.min("fp").alias("fp"), F.min(place).alias("place"))
+    return found.select("lang", "phrase", "words", "a", "fp", "place.doc_id", "place.at")
+
+
+def frequent(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``lang, phrase, words, a, doc_id, at`` for all phrases of one to ``max_words`` words with ``min_count``
+    occurrences or more in a language, stored; ``doc_id`` and ``at`` (bytes) point to the first occurrence."""
+    rows, sent = _rows(docs, id_col, text_col, lang_col), Sent(docs.sparkSession)
+    counted(rows, max_words, min_count, sent)
+    texts = _as_text(rows, sent.places(max_words, max_words), docs.schema[id_col].dataType.simpleString())
+    stored = cut(texts.where(F.col("a") >= min_count).drop("fp"))
+    sent.clear()
     return stored
 
 
@@ -406,12 +477,66 @@ def scored(counts: DataFrame) -> DataFrame:
     left = spread.select("lang", F.col("phrase").alias("left"), F.col("salt").alias("salt_l"), F.col("a").alias("l"))
     right = spread.select("lang", F.col("phrase").alias("right"), F.col("salt").alias("salt_r"), F.col("a").alias("r"))
     both = rows.join(left, ["lang", "left", "salt_l"]).join(right, ["lang", "right", "salt_r"])
-    score = F.call_function("div", F.col("a").cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(8,0)"), (F.col("l") + F.col("r")).cast("decimal(20,0)"))
-    weakest = F.min(F.struct(score.alias("score"), "cut", "l", "r")).alias("weakest")
+    weakest = F.min(F.struct(_score(F.col("a"), F.col("l") + F.col("r")).alias("score"), "cut", "l", "r")).alias("weakest")
     rest = [n for n in counts.columns if n not in ("lang", "phrase")]
     return both.groupBy("lang", "phrase", *rest).agg(weakest).select("lang", "phrase", *rest, "weakest.l", "weakest.r", "weakest.score")
 
 
+def _weighed(levels: list[DataFrame], max_words: int) -> list[DataFrame]:
+    """Per length from two words on: ``fp, seed, a``, the counts (``heads``, ``tails``) and fingerprints (``head_fps``,
+    ``tail_fps``) of all first and last parts, itself included, and ``inner``, the phrases inside."""
+    every = reduce(DataFrame.unionByName, levels)
+    one = F.array("n")
+    start = every.where("words = 1").select("fp", F.col("right").alias("seed"), F.col("n").alias("a"), one.alias("heads"), one.alias("tails"), F.array("fp").alias("head_fps"), F.array("fp").alias("tail_fps"), F.array().cast("array<bigint>").alias("inner"))
+    # One word begins or ends many pairs: pairs are dealt to salts, and each salt has all words.
+    shorter = start.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    out = []
+    for n in range(2, max_words + 1):
+        salt = F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int") if n == 2 else F.lit(0)
+        rows = every.where(F.col("words") == n).select("fp", "left", "right", F.col("n").alias("a"), salt.alias("salt"))
+        left = shorter.select(F.col("fp").alias("left"), "salt", "seed", "heads", "head_fps", F.col("inner").alias("left_inner"))
+        right = shorter.select(F.col("fp").alias("right"), "salt", "tails", "tail_fps", F.col("inner").alias("right_inner"))
+        inner = F.array_union(F.array_union("left_inner", "right_inner"), F.array("left", "right")) if n > 2 else F.array().cast("array<bigint>")
+        made = rows.join(left, ["left", "salt"]).join(right, ["right", "salt"]).select(
+            "fp", "seed", "a", F.array_append("heads", F.col("a")).alias("heads"), F.array_append("tails", F.col("a")).alias("tails"),
+            F.array_append("head_fps", F.col("fp")).alias("head_fps"), F.array_append("tail_fps", F.col("fp")).alias("tail_fps"), inner.alias("inner"),
+        )
+        out.append(cut(made))
+        shorter = out[-1].withColumn("salt", F.lit(0))
+    return out
+
+
+def _leading(weighed: list[DataFrame], top: int, inside_percent: int) -> DataFrame:
+    """The candidates that may be among the first ``top`` of their language, ties at the end included."""
+    rows = reduce(DataFrame.unionByName, weighed)
+    # ``heads[k]`` counts the first ``k + 1`` words.
+    cuts = F.transform(F.sequence(F.lit(1), F.size("heads") - 1), lambda k: F.struct(_score(F.col("a"), F.get("heads", k - 1) + F.get("tails", F.size("heads") - k - 1)).alias("score"), k.alias("cut")))
+    rated = rows.withColumn("weakest", F.array_min(cuts))
+    around = rows.select(F.explode("inner").alias("fp"), "a").groupBy("fp").agg(F.max("a").alias("around"))
+    kept = rated.join(around, "fp", "left").where(F.col("around").isNull() | (100 * F.col("around") < inside_percent * F.col("a")))
+    order = Window.partitionBy("seed").orderBy(F.desc("weakest.score"), F.desc("a"))
+    ranked = kept.withColumn("place", F.rank().over(order)).where(F.col("place") <= top)
+    k, n = F.col("weakest.cut"), F.size("heads")
+    return ranked.select("fp", "a", F.get("heads", k - 1).alias("l"), F.get("tails", n - k - 1).alias("r"), F.col("weakest.score").alias("score"), "heads", "tails", "head_fps", "tail_fps")
+
+
+def _score(a: Column, parts: Column) -> Column:
+    """``SCALE * a`` by the counts of both parts, rounded down; the product may pass 64 bits."""
+    return F.call_function("div", a.cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(8,0)"), parts.cast("decimal(20,0)"))
+
+
+def _from_texts(docs: DataFrame, top: int, max_words: int, min_count: int, inside_percent: int, *columns: str) -> DataFrame:
+    """The ranked candidates with every frequent phrase taken as text: the way where fingerprints have collided."""
+    counts = frequent(docs, max_words, min_count, *columns)
+    pairs = scored(counts)
+    inner = [F.struct(F.lit(k).alias("from"), F.lit(n).alias("size"), F.lit(m).alias("of")) for m in range(3, max_words + 1) for n in range(2, m) for k in range(1, m - n + 2)]
+    if inner:
+        longer = counts.where("words >= 3").select("lang", "a", "words", F.split("phrase", " ").alias("parts"), F.explode(F.array(*inner)).alias("s")).where("s.of = words")
+        around = longer.groupBy("lang", F.array_join(F.slice("parts", F.col("s.from"), F.col("s.size")), " ").alias("phrase")).agg(F.max("a").alias("around"))
+        pairs = pairs.join(around, ["lang", "phrase"], "left").where(F.col("around").isNull() | (100 * F.col("around") < inside_percent * F.col("a")))
+    return pairs.select("lang", "phrase", "a", "l", "r", "score", "doc_id", "at")
+
+
 def collocations(
     docs: DataFrame, top: int = TOP, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, inside_percent: int = INSIDE_PERCENT,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -419,21 +544,34 @@ def collocations(
     """``lang, rank, phrase, a, l, r, n, score, doc_id, at``: the phrases of two to ``max_words`` words that stick
     together most, the first ``top`` of each language.
 
-    Every pass reads whole texts. n-grams are hashed from prefix polynomials, numpy counts the fingerprints of a
-    task, a shuffle adds them up; the next pass only looks at what consists of frequent parts (behind a bit filter
-    of bounded size). A last pass takes the frequent phrases as text, with pointers to where they first stand:
-    occurrences of one fingerprint are compared byte by byte in the task, and the shuffle groups by the text.
+    Every pass reads whole texts. n-grams are hashed from prefix polynomials, numpy counts them in a task by their
+    fingerprint and those of their parts, a shuffle adds the counts up; the next pass only looks at what consists
+    of frequent parts (behind a bit filter of bounded size). Candidates are scored by these counts. A last pass takes
+    those that may be among the first, and their parts, as text, with pointers to where they first stand: the words
+    of one fingerprint are compared byte by byte in the task, and the shuffle groups by the text. If any count
+    differs from that of its fingerprint, or two frequent n-grams share one, all frequent phrases are taken as text
+    and the candidates scored again from these.
 
     NULL texts are empty, a NULL language is ``und``; repeated rows count as often as they are there; a text without
     words gives nothing; ids may be NULL or repeated; an empty table has no phrases; further columns are ignored.
     """
-    counts = frequent(docs, max_words, min_count, id_col, text_col, lang_col)
-    pairs = scored(counts)
-    inner = [F.struct(F.lit(k).alias("from"), F.lit(n).alias("size"), F.lit(m).alias("of")) for m in range(3, max_words + 1) for n in range(2, m) for k in range(1, m - n + 2)]
-    if inner:
-        longer = counts.where("words >= 3").select("lang", "a", "words", F.split("phrase", " ").alias("parts"), F.explode(F.array(*inner)).alias("s")).where("s.of = words")
-        around = longer.groupBy("lang", F.array_join(F.slice("parts", F.col("s.from"), F.col("s.size")), " ").alias("phrase")).agg(F.max("a").alias("around"))
-        pairs = pairs.join(around, ["lang", "phrase"], "left").where(F.col("around").isNull() | (100 * F.col("around") < inside_percent * F.col("a"))).drop("around")
+    rows, sent = _rows(docs, id_col, text_col, lang_col), Sent(docs.sparkSession)
+    levels = counted(rows, max_words, min_count, sent)
+    sent.clear()
+    prints = reduce(DataFrame.unionByName, levels).select("fp")
+    weighed = _weighed(levels, max_words)
+    leading = cut(_leading(weighed, top, inside_percent))
+    expected = leading.select(F.inline(F.arrays_zip(F.concat("head_fps", "tail_fps").alias("fp"), F.concat("heads", "tails").alias("a")))).distinct()
+    expected = cut(expected)
+    sent.add(expected)
+    texts = cut(_as_text(rows, sent.passing(max_words), docs.schema[id_col].dataType.simpleString()))
+    sent.clear()
+    shared = prints.groupBy("fp").count().where("count > 1")
+    differing = expected.join(texts.groupBy("fp").agg(F.sum("a").alias("in_text"), F.count(F.lit(1)).alias("phrases")), "fp", "left").where(~(F.col("in_text").eqNullSafe(F.col("a")) & (F.col("phrases") == 1)))
+    if differing.isEmpty() and shared.isEmpty():
+        pairs = leading.select("fp", "l", "r", "score").join(texts, "fp").select("lang", "phrase", "a", "l", "r", "score", "doc_id", "at")
+    else:
+        pairs = _from_texts(docs, top, max_words, min_count, inside_percent, id_col, text_col, lang_col)
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
     ranked = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     whole = ranked.join(broadcast_if_small(word_totals(docs, text_col, lang_col)), "lang")

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from newsmill.llm import phrases
 from tests.compare import connect, difference
@@ -72,6 +73,28 @@ def test_pointers_lead_to_the_first_occurrence(spark):
         assert re.match(r"[ \t]+".join(map(re.escape, r.phrase.split(" "))) + r"(?![^\x20\x09.,;:!?\x0A-\x0D])", there)
 
 
+def test_shared_fingerprints_are_settled_by_the_texts(spark, monkeypatch):
+    rows = spark.createDataFrame(ROWS, SCHEMA)
+    want = sorted(map(tuple, phrases.collocations(rows, min_count=2).collect()))
+    calls = []
+    keep, count = phrases._from_texts, phrases.counted
+    monkeypatch.setattr(phrases, "_from_texts", lambda *a: calls.append(1) or keep(*a))
+    assert sorted(map(tuple, phrases.collocations(rows, min_count=2).collect())) == want and not calls
+    # One count is off, as if another n-gram had the fingerprint too.
+    off = F.when((F.col("words") == 2) & (F.col("n") == 8), F.col("n") + 1).otherwise(F.col("n"))
+    monkeypatch.setattr(phrases, "counted", lambda *a: [level.withColumn("n", off) for level in count(*a)])
+    assert sorted(map(tuple, phrases.collocations(rows, min_count=2).collect())) == want and calls == [1]
+
+
+def test_rows_with_one_fingerprint_and_unlike_parts_stay_apart():
+    rows = np.array([[1, 2, 3], [1, 2, 3], [1, 2, 4], [5, 5, 5], [1, 2, 4]], np.uint64)
+    got, counts = phrases._tallied(rows)
+    total = Counter()
+    for row, n in zip(got.tolist(), counts.tolist()):
+        total[tuple(row)] += n
+    assert total == {(1, 2, 3): 2, (1, 2, 4): 2, (5, 5, 5): 1}
+
+
 def test_nothing_to_find(spark):
     rows = spark.createDataFrame(ROWS, SCHEMA)
     assert phrases.collocations(rows.limit(0)).count() == 0
