@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +33,8 @@ RULES = (
     Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("allow", "www.example.com", "/en/"),
     Rule("block", "net", "/es/"), Rule("block", "net", "/fr/"),
 )
-# Hosts whose pages the query lists.
-LISTED_LABEL = "cheap-pills"
+# Labels of the hosts whose pages the query lists.
+LISTED_LABELS = ("cheap-pills", "casino-win", "spam-farm", "free-bets", "ads-track", "adult-x")
 
 
 def _after(url: Column) -> Column:
@@ -90,9 +92,11 @@ def judge(pages: DataFrame, listed_urls: DataFrame, rules: Sequence[Rule] = RULE
     return both.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"), "canonical", "listed")
 
 
-def listed_pages(pages: DataFrame, label: str = LISTED_LABEL, url_col: str = "url") -> DataFrame:
-    """The URLs of pages on hosts with a given label."""
-    return pages.select(col(url_col).alias("url")).where(F.contains(F.concat(F.lit("."), host(F.col("url")), F.lit(".")), F.lit(f".{label}.")))
+def listed_pages(pages: DataFrame, labels: Sequence[str] = LISTED_LABELS, url_col: str = "url") -> DataFrame:
+    """The URLs of pages on hosts with one of the given labels."""
+    dotted = F.concat(F.lit("."), host(F.col("url")), F.lit("."))
+    listed = reduce(or_, [F.contains(dotted, F.lit(f".{label}.")) for label in labels])
+    return pages.select(col(url_col).alias("url")).where(listed)
 
 
 _PARTS = """
@@ -103,7 +107,7 @@ _PARTS = """
 SQL = f"""
 WITH p AS ({_PARTS}),
 c AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(regexp_replace(host, '^www\\.', ''), ':(80|443)$', '') || regexp_replace(path, '/+$', '') END AS canonical FROM p),
-l AS (SELECT DISTINCT canonical FROM c WHERE contains('.' || host || '.', '.cheap-pills.')),
+l AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches('.' || host || '.', '\\.({"|".join(LISTED_LABELS)})\\.')),
 r(verdict, h, q) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
 f AS (
   SELECT c.*, canonical IS NOT NULL AND canonical IN (SELECT canonical FROM l) AS listed,
