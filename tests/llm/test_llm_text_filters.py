@@ -64,6 +64,44 @@ def test_verdicts(spark):
     assert compression_rules.judge(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def spaced_noise(rnd, size):
+    raw = base64.b64encode(rnd.randbytes(size))[:size]
+    return b" ".join(raw[k : k + 20] for k in range(0, size, 20))[:size]
+
+
+@pytest.mark.parametrize("top", [top for top, _, _ in compression_rules.BANDS[1:]])
+def test_noise_of_every_length_is_outside(top):
+    compressor = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False)
+    rnd, tops = random.Random(9), [b[0] for b in compression_rules.BANDS]
+    below = tops[tops.index(top) - 1]
+    for size in {below + 1, (below + (top or 200_000)) // 2, top or 200_000}:
+        raw = spaced_noise(rnd, size)
+        ratio = len(compressor.compress(raw)) / len(raw)
+        assert compression_rules.limits_for(len(raw), compression_rules.BANDS)[1] < ratio
+        assert not compression_rules.compression(raw, compressor, compression_rules.BANDS, 10**9, (0, 9), 1)[3]
+
+
+def test_kept_as_by_brute_force_and_clean_prose_stays(spark):
+    folder = "/root/testdata/sf0.001"
+    plain = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False)
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{folder}/documents.parquet'").fetchall())
+
+    def kept(raw):
+        share = lambda part: len(plain.compress(part)) / len(part)
+        n_words, _, _, _, repeated = brute_counts(raw.decode())
+        low, high = next((lo, hi) for top, lo, hi in compression_rules.BANDS if top is None or len(raw) <= top)
+        parts = [raw[k : k + 2048] for k in range(0, len(raw) - 2047, 2048)]
+        parts += [raw[-2048:]] if parts and len(raw) % 2048 else []
+        bad = [p for p in parts if not 0.43 <= share(p) <= 0.65]
+        return n_words >= 10 and 100 * repeated <= 20 * n_words and low <= share(raw) <= high and 10 * len(bad) <= len(parts)
+
+    got = {r.doc_id: r.kept for r in compression_rules.judge(table(spark, folder, "documents")).collect()}
+    assert got == {k: kept(t.encode()) for k, t in texts.items()}
+    labels = dict(duckdb.sql("SELECT doc_id, quality FROM '/root/testdata/sf0.01/labels.parquet'").fetchall())
+    rows = compression_rules.judge(table(spark, "/root/testdata/sf0.01", "documents")).collect()
+    assert all(r.kept for r in rows if labels.get(r.doc_id) == 1 and not r.base_failed)
+
+
 def test_noise_inside_prose_is_seen_by_chunks():
     compressor = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False)
     rnd = random.Random(7)
@@ -137,7 +175,7 @@ def test_overlaps_with_changed_words(spark):
             expected.add((d, d))
         docs.append((d, " ".join(text).upper() if d % 2 else ", ".join(text), "x"))
     docs += [(100, None, "x"), (101, "", "x"), (None, " ".join(items[3]), "x"), (None, " ".join(items[3]), "x"), (102, " ".join(words(60_000) + items[7]), "x")]
-    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()] + [(900, None), (901, "too short"), (3, " ".join(items[3]))], "item_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()] + [(900, None), (901, "not there"), (3, " ".join(items[3]))], "item_id long, text string")
     df = spark.createDataFrame(docs, "doc_id long, text string, item_id string")
     found = decontaminate.overlaps(df, bench)
     rows = found.collect()
@@ -180,6 +218,40 @@ def test_a_run_of_equal_words_hides_no_longer_overlap(spark):
     assert decontaminate.clean_of(docs, found).count() == 0
 
 
+def test_random_overlaps_are_found(spark):
+    """Recall of at least 0.9 for every length and share of changed words."""
+    rnd = random.Random(8)
+    vocab = [f"v{k}" for k in range(3000)]
+    words = lambda n: [rnd.choice(vocab) for _ in range(n)]
+    items, docs, cells = [], [], {}
+    for length in (12, 14, 16, 20, 24, 30, 40):
+        for share in (0.1, 0.15, 0.2, 0.25):
+            for _ in range(40):
+                k = len(items)
+                part = words(length)
+                items.append((k, " ".join(part)))
+                for at in rnd.sample(range(length), int(length * share)):
+                    part[at] = "changed"
+                docs.append((k, " ".join(words(40) + part + words(40))))
+                cells.setdefault((length, share), []).append(k)
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(df, bench).collect()}
+    # An overlap whose ends are changed is shorter than 12 words without them; those of 12 words may lose theirs.
+    recall = {cell: sum((k, k) in found for k in ids) / len(ids) for cell, ids in cells.items()}
+    assert min(recall.values()) >= 0.9, recall
+    assert found <= {(k, k) for k, _ in items}
+
+
+def test_short_items_are_found_as_exact_copies(spark):
+    items = [(1, "One"), (2, "two three"), (3, "a b c d e"), (4, "six words are in this item"), (5, "nine words are in this item so it says"), (6, ""), (7, "!!"), (2, "two three")]
+    docs = [(1, "one " * 5000), (2, "two, THREE and one"), (3, "three two"), (4, "x a b c d e y"), (5, "a b c d"), (6, "here six words are in this item too"), (7, "nine words are in this item so it says"), (None, "two three"), (8, None)]
+    schema = "doc_id long, text string"
+    found = decontaminate.overlaps(spark.createDataFrame(docs, schema), spark.createDataFrame(items, "item_id long, text string"))
+    rows = sorted(((r.doc_id or 0, r.item_id, r.doc_start, r.n_words, r.n_equal) for r in found.collect()))
+    assert rows == [(0, 2, 0, 2, 2), (1, 1, 0, 1, 1), (2, 1, 3, 1, 1), (2, 2, 0, 2, 2), (4, 3, 1, 5, 5), (6, 4, 1, 6, 6), (7, 5, 0, 9, 9)]
+    assert decontaminate.clean_of(spark.createDataFrame(docs, schema), found).count() == 3
+
+
 def test_no_documents_or_items(spark):
     docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
