@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,9 @@ _MARK = "WARC/1.1"
 # Response records: id, target, date, digest of the payload, and the HTTP message.
 RESPONSE = ["record_id", "target_uri", "date", "payload_digest", "block"]
 
-# Elements that begin a line, and the entities that the query's SQL decodes (the ampersand last).
+# Elements that begin a line, and what is no text.
 _LINE_TAGS = "address|article|aside|blockquote|br|dd|div|dl|dt|footer|h1|h2|h3|h4|h5|h6|header|hr|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
-SQL_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
-_DROPPED = (r"(?is)<script\b.*?</script\s*>", r"(?is)<style\b.*?</style\s*>", r"(?s)<!--.*?-->", r"(?is)<title\b.*?</title\s*>")
+_DROPPED = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<title\b.*?</title\s*>"
 
 
 def digest(content: Column) -> Column:
@@ -59,39 +59,32 @@ def payload_of(block: Column) -> Column:
     return F.when(at > 0, F.substr(block, at + 4)).otherwise(F.lit(""))
 
 
-def decoded(text: Column, entities: Sequence[tuple[str, str]] | None = None) -> Column:
-    """Character references as the characters that they stand for, a no-break space as a blank; only those
-    of ``entities``, one after the other, if given."""
-    if entities is None:
-        return decode_entities(F.replace(text, F.lit("&nbsp;"), F.lit(" ")))
-    for name, value in entities:
-        text = F.replace(text, F.lit(name), F.lit(value))
-    return text
+def decoded(text: Column) -> Column:
+    """Character references as the characters that they stand for, a no-break space as a blank."""
+    return F.when(F.contains(text, F.lit("&")), decode_entities(F.replace(text, F.lit("&nbsp;"), F.lit(" ")))).otherwise(text)
 
 
-def plain_text(html: Column, entities: Sequence[tuple[str, str]] | None = None) -> Column:
+def plain_text(html: Column) -> Column:
     """Text of a page: without scripts, styles, comments, title and tags, one line per block element."""
-    for pattern in _DROPPED:
-        html = F.regexp_replace(html, pattern, " ")
-    html = F.regexp_replace(html, r"[ \t\r\n\f]+", " ")
-    html = F.regexp_replace(html, rf"(?i)</?({_LINE_TAGS})\b[^>]*>", "\n")
-    text = decoded(F.regexp_replace(html, r"<[^>]*>", ""), entities)
+    html = F.regexp_replace(F.regexp_replace(html, _DROPPED, " "), r"[ \t\r\n\f]+", " ")
+    html = F.regexp_replace(html, rf"(?i)</?(?:{_LINE_TAGS})\b[^>]*>", "\n")
+    text = decoded(F.regexp_replace(html, r"<[^>]*>", ""))
     text = F.regexp_replace(F.regexp_replace(text, r"[ \t]+", " "), r" ?\n[ \n]*", "\n")
     return F.regexp_replace(text, r"\A[ \n]+|[ \n]+\z", "")
 
 
-def title_of(html: Column, entities: Sequence[tuple[str, str]] | None = None) -> Column:
-    found = decoded(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title", 1), entities)
+def title_of(html: Column) -> Column:
+    found = decoded(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title", 1))
     return F.regexp_replace(F.regexp_replace(found, r"[ \t\r\n\f]+", " "), r"\A +| +\z", "")
 
 
-def links_of(html: Column, entities: Sequence[tuple[str, str]] | None = None) -> Column:
+def links_of(html: Column) -> Column:
     """Targets of links in order; line ends inside one become blanks."""
     found = F.regexp_extract_all(html, F.lit(r'(?i)<a\b[^>]*?\bhref="([^"]*)"'), F.lit(1))
-    return F.transform(found, lambda u: F.translate(decoded(u, entities), "\r\n", "  "))
+    return F.transform(found, lambda u: F.translate(decoded(u), "\r\n", "  "))
 
 
-def derive(responses_: DataFrame, keep: Sequence[str] = (), entities: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+def derive(responses_: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Two rows per response, a ``metadata`` and a ``conversion`` record: the ``keep`` columns, then
     ``record_type``, ``record_id``, ``refers_to`` (the response's id), ``target_uri``, ``date``,
     ``content_type``, ``payload_digest`` (the response's), ``block_digest``, ``content_length`` (bytes of UTF-8)
@@ -99,18 +92,18 @@ def derive(responses_: DataFrame, keep: Sequence[str] = (), entities: Sequence[t
 
     A metadata record has, as WARC fields, the source's status line and headers as they were, the title,
     and the links; a conversion record the page's text. All character references that
-    :func:`functions.text.decode_entities` knows are decoded, or only ``entities`` if given. Ids follow from the response's id, so records of
+    :func:`functions.text.decode_entities` knows are decoded. Ids follow from the response's id, so records of
     both kinds can be joined with it and found again. A NULL block counts as empty. Records are made row
     by row, repeated responses give repeated records, further columns are ignored.
     """
     block = F.coalesce(F.col("block"), F.lit(""))
     split = responses_.select(*[col(k) for k in keep], *[F.col(c) for c in RESPONSE if c != "block"], head_of(block).alias("_nm_head"), payload_of(block).alias("_nm_html"))
-    links = F.transform(links_of(F.col("_nm_html"), entities), lambda u: F.concat(F.lit("outlink: "), u, F.lit(CRLF)))
+    links = F.transform(links_of(F.col("_nm_html")), lambda u: F.concat(F.lit("outlink: "), u, F.lit(CRLF)))
     source = F.transform(F.split("_nm_head", CRLF, -1), lambda line: F.concat(F.lit("source-header: "), line, F.lit(CRLF)))
-    fields = F.concat(F.array_join(source, ""), F.lit("title: "), title_of(F.col("_nm_html"), entities), F.lit(CRLF), F.array_join(links, ""))
+    fields = F.concat(F.array_join(source, ""), F.lit("title: "), title_of(F.col("_nm_html")), F.lit(CRLF), F.array_join(links, ""))
     kinds = F.array(
         F.struct(F.lit("metadata").alias("record_type"), F.lit("application/warc-fields").alias("content_type"), fields.alias("content")),
-        F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain; charset=utf-8").alias("content_type"), plain_text(F.col("_nm_html"), entities).alias("content")),
+        F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain; charset=utf-8").alias("content_type"), plain_text(F.col("_nm_html")).alias("content")),
     )
     both = split.withColumn("_nm_kind", F.explode(kinds))
     content = F.col("_nm_kind.content")
@@ -150,16 +143,16 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _sql() -> str:
-    html = "html"
-    for pattern in _DROPPED:
-        html = f"regexp_replace({html}, '{pattern}', ' ', 'g')"
-    html = f"regexp_replace({html}, '[ \\t\\r\\n\\f]+', ' ', 'g')"
+    html = f"regexp_replace(regexp_replace(html, '{_DROPPED}', ' ', 'g'), '[ \\t\\r\\n\\f]+', ' ', 'g')"
     html = f"regexp_replace({html}, '(?i)</?({_LINE_TAGS})\\b[^>]*>', chr(10), 'g')"
+    reference = r"'&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});'"
+    names = ", ".join(f"'{name}': chr({code})" for name, code in sorted(name2codepoint.items()))
+    number = "CASE WHEN p[2][2] IN ('x', 'X') THEN ('0' || lower(p[2][2:]))::BIGINT ELSE p[2][2:]::BIGINT END"
 
     def plain(text: str) -> str:
-        for name, value in SQL_ENTITIES:
-            text = f"replace({text}, '{name}', '{value.replace(chr(39), chr(39) * 2)}')"
-        return text
+        found = f"list_zip(regexp_split_to_array(z, {reference}), regexp_extract_all(z, {reference}, 1))"
+        one = f"CASE WHEN p[2] IS NULL THEN '' WHEN p[2][1] = '#' THEN chr(({number})::INTEGER) ELSE coalesce(names[p[2]], '&' || p[2] || ';') END"
+        return f"list_transform([replace({text}, '&nbsp;', ' ')], lambda z: array_to_string(list_transform({found}, lambda p: p[1] || {one}), ''))[1]"
 
     text = plain(f"regexp_replace({html}, '<[^>]*>', '', 'g')")
     text = f"regexp_replace(regexp_replace({text}, '[ \\t]+', ' ', 'g'), ' ?\\n[ \\n]*', chr(10), 'g')"
@@ -168,9 +161,10 @@ def _sql() -> str:
     link = f"translate({plain('u')}, chr(13) || chr(10), '  ')"
     uuid = "'<urn:uuid:' || substr({0}, 1, 8) || '-' || substr({0}, 9, 4) || '-' || substr({0}, 13, 4) || '-' || substr({0}, 17, 4) || '-' || substr({0}, 21, 12) || '>'"
     return f"""
-WITH b AS (SELECT page_id, url AS target_uri, coalesce(html, '') AS html, chr(13) || chr(10) AS nl FROM pages),
+WITH m AS (SELECT MAP {{{names}, 'apos': chr(39)}} AS names),
+b AS (SELECT page_id, url AS target_uri, coalesce(html, '') AS html, chr(13) || chr(10) AS nl FROM pages),
 r AS (SELECT *, 'sha256:' || sha256(html) AS payload_digest, md5('response' || chr(10) || coalesce(page_id::VARCHAR, '') || chr(10) || coalesce(target_uri, '') || chr(10) || 'sha256:' || sha256(html)) AS h FROM b),
-s AS (SELECT *, {uuid.format('h')} AS refers_to FROM r),
+s AS (SELECT *, {uuid.format('h')} AS refers_to FROM r, m),
 c AS (
   SELECT page_id, target_uri, payload_digest, refers_to, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
     'source-header: HTTP/1.1 200 OK' || nl || 'source-header: Content-Type: text/html; charset=utf-8' || nl || 'source-header: Content-Length: ' || strlen(html)::VARCHAR || nl
