@@ -13,7 +13,7 @@ from newsmill.plans import (  # noqa: F401
     queries_select,
     queries_stream,
 )
-from newsmill.plans import queries_gaps  # noqa: F401  # restates some of the above
+from newsmill.plans import queries_gaps, queries_stored  # noqa: F401  # restate some of the above
 
 from newsmill.plans.registry import CATALOGUE
 
