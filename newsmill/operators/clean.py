@@ -131,10 +131,15 @@ def fill_medians(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.withColumns(filled)
 
 
+def unprotected(df: DataFrame, protected: Sequence[str] | None = None) -> list[str]:
+    """The columns that may be dropped."""
+    safe = set(PROTECTED_COLUMNS if protected is None else protected)
+    return [n for n in df.columns if n not in safe]
+
+
 def sparse_columns(df: DataFrame, threshold: float = 0.60, protected: Sequence[str] | None = None) -> list[str]:
     """Columns whose share of NULLs is above the threshold; one pass over the frame."""
-    safe = set(PROTECTED_COLUMNS if protected is None else protected)
-    names = [n for n in df.columns if n not in safe]
+    names = unprotected(df, protected)
     if not names:
         return []
     shares = df.agg(*[F.avg(missing(df, n).cast("double")).alias(n) for n in names]).first()

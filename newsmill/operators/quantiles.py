@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsmill.columns import col, number, tall
-from newsmill.session import broadcast_if_small, cut
+from newsmill.session import BROADCAST_BYTES, cut, size_of
 
 # Value ranges per unit of log1p at first: a range spans 0.02 % of its value, or 0.00024 near zero.
 RESOLUTION = 4096
@@ -42,14 +42,14 @@ def exact_quantiles(df: DataFrame, values: Sequence[str], probs: Mapping[str, fl
     """One row per group and value column: the groups, ``column``, ``n`` and one column per
     entry of ``probs``. NULL values do not count, and NULL groups give no row.
 
-    The input is read a few times and hardly shuffled: each pass counts rows per range (map-side) and
-    goes on with the ranges that hold a wanted rank, until each has at most ``RANGE_ROWS`` rows or one
-    value. A last pass sorts the values of those. Only the small table of ranges steers the passes.
+    The values are stored once, without the other columns, and hardly shuffled: each pass counts them per range
+    (map-side) and goes on with the ranges that hold a wanted rank, until each has at most ``RANGE_ROWS`` rows or
+    one value. A last pass sorts the values of those. Only the small table of ranges steers the passes.
     """
     keys = [*groups, "column"]
     ks = [col(k) for k in keys]
     source = df.where(" AND ".join(f"`{g}` IS NOT NULL" for g in groups)) if groups else df
-    ranged = long_values(source, values, groups).withColumn("_nm_b", value_range(F.col("value")))
+    ranged = cut(long_values(source, values, groups)).withColumn("_nm_b", value_range(F.col("value")))
 
     def holds(rank: Column, before: Column, after: Column) -> Column:
         return (rank >= before) & (rank < after)
@@ -68,23 +68,28 @@ def exact_quantiles(df: DataFrame, values: Sequence[str], probs: Mapping[str, fl
     first = ranged.groupBy(*ks, "_nm_b").agg(*counted)
     ranges = wanted(first.withColumns({"n": F.sum("_nm_c").over(per_group), "_nm_before": F.sum("_nm_c").over(up_to) - F.col("_nm_c")}))
 
-    def within(found: DataFrame) -> DataFrame:
-        """The values inside the ranges."""
-        limits = broadcast_if_small(found.select(*ks, "_nm_b", F.col("_nm_lo").alias("_nm_from"), F.col("_nm_hi").alias("_nm_to"), "_nm_before", "n"))
+    def within(found: DataFrame, small: bool) -> DataFrame:
+        """The values inside the stored ranges."""
+        limits = found.select(*ks, "_nm_b", F.col("_nm_lo").alias("_nm_from"), F.col("_nm_hi").alias("_nm_to"), "_nm_before", "n")
+        limits = F.broadcast(limits) if small else limits
         return ranged.join(limits, [*keys, "_nm_b"]).where(F.col("value").between(F.col("_nm_from"), F.col("_nm_to")))
 
     crowded = (F.col("_nm_c") > RANGE_ROWS) & (F.col("_nm_lo") < F.col("_nm_hi"))
-    while not ranges.where(crowded).isEmpty():
+    while True:
+        some, size = ranges.agg(F.count_if(crowded), size_of(ranges)).first()
+        small = size <= BROADCAST_BYTES
+        if not some:
+            break
         share = (F.col("value") - F.col("_nm_from")) / (F.col("_nm_to") - F.col("_nm_from"))
         part = F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).alias("_nm_part")
-        parts = within(ranges.where(crowded)).groupBy(*ks, "_nm_b", "_nm_from", "_nm_before", "n", part).agg(*counted)
+        parts = within(ranges.where(crowded), small).groupBy(*ks, "_nm_b", "_nm_from", "_nm_before", "n", part).agg(*counted)
         below = Window.partitionBy(*ks, "_nm_b", "_nm_from").orderBy("_nm_part").rowsBetween(Window.unboundedPreceding, 0)
         finer = wanted(parts.withColumn("_nm_before", F.col("_nm_before") + F.sum("_nm_c").over(below) - F.col("_nm_c")))
         ranges = cut(ranges.where(~crowded).unionByName(finer))
 
     in_range = Window.partitionBy(*ks, "_nm_b", "_nm_from").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        within(ranges)
+        within(ranges, small)
         .groupBy(*ks, "_nm_b", "_nm_from", "_nm_before", "n", "value")
         .agg(F.count(F.lit(1)).alias("_nm_c"))
         .withColumn("_nm_after", F.col("_nm_before") + F.sum("_nm_c").over(in_range))

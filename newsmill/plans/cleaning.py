@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from newsmill.columns import col, present
+from newsmill.columns import col, missing, present
 from newsmill.operators import clean, dedup
 from newsmill.operators.ordering import keep_first
 from newsmill.operators.quality import missing_report, require_valid
@@ -53,26 +53,40 @@ def _numbered(df: DataFrame) -> DataFrame:
     return cut(df).withColumn(_ROW, F.monotonically_increasing_id())
 
 
+def _imputed(df: DataFrame) -> DataFrame:
+    """The rows with their numbers after the row-wise steps, stored; the medians come from what is stored."""
+    return _numbered(df.transform(clean_rows)).transform(clean.fill_medians, IMPUTED)
+
+
 def deduplicate(df: DataFrame, order: Sequence[str], arrival: Sequence[str] = ()) -> DataFrame:
     """Rows equal in every column (but ``arrival``), then URLs, then title and date, then ids.
 
     The rules work on row numbers; the full rows are stored once and joined once with what is left.
     """
-    stored = _numbered(df)
+    return _left(_numbered(df), order, arrival)
+
+
+def _left(stored: DataFrame, order: Sequence[str], arrival: Sequence[str]) -> DataFrame:
     left = _steps(stored, order, arrival)["id"].select(_ROW)
     return stored.join(left, _ROW, "left_semi").drop(_ROW)
 
 
 def clean_all(df: DataFrame, order: Sequence[str], threshold: float = 0.60, check: bool = False, arrival: Sequence[str] = ()) -> DataFrame:
-    """The eleven-step run. The medians scan only the imputed columns. The deduplicated rows are
-    stored once, because the NULL shares, the checks and the caller all read them.
+    """The eleven-step run. The source is read once: the rows are stored after the row-wise steps, and once more when
+    they are unique; the shares of NULL are counted while these are written.
 
     ``order`` says which of several rows comes first. Every column counts when rows are compared, ids
     included; only columns in ``arrival``, made up to number the rows, do not.
     """
-    rows = df.transform(clean_rows).transform(clean.fill_medians, IMPUTED)
-    unique = cut(deduplicate(rows, order, arrival))
-    typed = unique.transform(clean.drop_sparse, threshold).transform(clean.convert_types)
+    unique = _left(_imputed(df), order, arrival)
+    names = clean.unprotected(unique)
+    if names:
+        seen = Observation()
+        unique = cut(unique.observe(seen, F.count(F.lit(1)).alias("_nm_rows"), *[F.count_if(missing(unique, n)).alias(n) for n in names]))
+        sparse = [n for n in names if seen.get[n] > threshold * seen.get["_nm_rows"]]
+    else:
+        unique, sparse = cut(unique), []
+    typed = unique.drop(*sparse).transform(clean.convert_types)
     if check:
         require_valid(typed)
     return typed
@@ -86,7 +100,7 @@ def clean_and_save(df: DataFrame, order: Sequence[str], folder: str, threshold:
 
 def step_counts(df: DataFrame, order: Sequence[str], arrival: Sequence[str] = ()) -> DataFrame:
     """Rows left after each deduplication step."""
-    stored = _numbered(df.transform(clean_rows).transform(clean.fill_medians, IMPUTED))
+    stored = _imputed(df)
     steps = {"input": stored} | _steps(stored, order, arrival)
     counts = [d.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("step"), "rows") for n, d in steps.items()]
     return reduce(DataFrame.unionByName, counts)

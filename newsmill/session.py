@@ -7,7 +7,7 @@ import uuid
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A side is broadcast only after its size was measured and found below this.
@@ -63,11 +63,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _bytes(df: DataFrame) -> int:
-    """The size of the rows: 16 bytes a value, and what texts and nested values hold."""
+def size_of(df: DataFrame) -> Column:
+    """An aggregate for the bytes of all rows: 16 a value, and what texts and nested values hold."""
     wide = [F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{n}`").alias("v"))) if t[:5] in ("array", "struc", "map<s") else F.col(f"`{n}`").cast("string")), F.lit(0)) for n, t in df.dtypes]
     total = reduce(add, wide, F.lit(16 * len(wide)))
-    return df.agg(F.coalesce(F.sum(total.cast("long")), F.lit(0))).first()[0]
+    return F.coalesce(F.sum(total.cast("long")), F.lit(0))
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -77,7 +77,7 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     execution splits its skewed partitions.
     """
     stored = cut(df)
-    return F.broadcast(stored) if _bytes(stored) <= max_bytes else stored
+    return F.broadcast(stored) if stored.agg(size_of(stored)).first()[0] <= max_bytes else stored
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

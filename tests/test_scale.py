@@ -47,7 +47,7 @@ def test_quantiles_beyond_the_broadcast_bound(spark, monkeypatch):
     from newsmill.operators import quantiles
 
     rows, df = skewed(spark)
-    monkeypatch.setattr(quantiles, "broadcast_if_small", lambda d: broadcast_if_small(d, 1))
+    monkeypatch.setattr(quantiles, "BROADCAST_BYTES", 0)
     found = {r["g"]: r["median"] for r in quantiles.exact_quantiles(df, ["v"], {"median": 0.5}, ["g"]).collect()}
     assert found["hot"] == np.median([r[2] for r in rows if r[1] == "hot"])
 
