@@ -277,17 +277,22 @@ def dashboard_rows(df: DataFrame, key: str = "record_id") -> DataFrame:
     return df.withColumns({**texts, **numbers})
 
 
+# The measures of the insight rows, and where their type and title are found.
+INSIGHT_MEASURES = ["rating_score", "popularity", "content_length", "title_length", "engagement_score", "estimated_value"]
+INSIGHT_TYPES = ["document_type_mysql", "document_type_mongo", "document_type"]
+INSIGHT_TITLES = ["title_mysql", "title_mongo", "title"]
+
+
 def insight_rows(df: DataFrame) -> DataFrame:
     """Category, year, zero-filled measures, document type and title, ready for the questions."""
     df = df.transform(with_primary_category).transform(with_analysis_year)
-    names = ["rating_score", "popularity", "content_length", "title_length", "engagement_score", "estimated_value"]
-    kind = first_present(df, ["document_type_mysql", "document_type_mongo", "document_type"])
-    title = first_present(df, ["title_mysql", "title_mongo", "title"])
+    kind = first_present(df, INSIGHT_TYPES)
+    title = first_present(df, INSIGHT_TITLES)
     kind_text = as_text(df, kind) if kind else F.lit(tx.UNKNOWN)
     title_text = as_text(df, title) if title else F.lit(tx.UNTITLED)
     return df.withColumns(
         {
-            **{n: number_or_zero(df, n) for n in names},
+            **{n: number_or_zero(df, n) for n in INSIGHT_MEASURES},
             "analysis_document_type": tx.plain_label(kind_text, ["", "nan", "none"]),
             "analysis_title": tx.fill(title_text, tx.UNTITLED),
         }

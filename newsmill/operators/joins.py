@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,6 @@ SUFFIXES = ("_mysql", "_mongo")
 # From how many rows a key counts as hot, and the share of rows looked at to find out.
 HOT_ROWS = 1_000_000
 HOT_SAMPLE = 0.01
-MAX_HOT_KEYS = 1_000
 
 
 def _keyed(df: DataFrame, on: str) -> DataFrame:
@@ -34,17 +34,11 @@ def _suffixed(df: DataFrame, shared: Sequence[str], suffix: str) -> DataFrame:
     return df.withColumnsRenamed({n: n + suffix for n in shared})
 
 
-def hot_keys(df: DataFrame, on: str) -> list:
-    """The keys that hold more than about ``HOT_ROWS`` rows, at most ``MAX_HOT_KEYS`` of them, by a
-    sample. No result depends on the answer, only the way it is computed."""
+def hot_keys(df: DataFrame, on: str) -> DataFrame:
+    """The keys that hold more than about ``HOT_ROWS`` rows, by a sample: one of so many rows at most. No
+    result depends on the answer, only the way it is computed."""
     counts = df.select(on).sample(HOT_SAMPLE, seed=42).groupBy(on).count()
-    top = counts.where(F.col("count") > HOT_ROWS * HOT_SAMPLE).orderBy(F.desc("count"), on).limit(MAX_HOT_KEYS)
-    return [r[0] for r in top.collect()]
-
-
-def _held(df: DataFrame, on: str, keys: Sequence) -> set:
-    """Those of a bounded list of keys that occur."""
-    return {r[0] for r in df.where(col(on).isin(list(keys))).select(on).distinct().collect()}
+    return counts.where(F.col("count") > HOT_ROWS * HOT_SAMPLE).select(on)
 
 
 def merge(left: DataFrame, right: DataFrame, on: str = "record_id", how: str = "inner", suffixes: tuple[str, str] = SUFFIXES) -> DataFrame:
@@ -63,19 +57,21 @@ def merge(left: DataFrame, right: DataFrame, on: str = "record_id", how: str = "
     if how == "inner":
         return l.join(r, on)
     kind = "full_outer" if how == "outer" else how
-    hot: set = set()
-    if how in ("left", "outer"):
-        hot |= set(hot_keys(r, on))
-    if how in ("right", "outer"):
-        hot |= set(hot_keys(l, on))
-    if not hot:
+    sides = ([r] if how in ("left", "outer") else []) + ([l] if how in ("right", "outer") else [])
+    hot = broadcast_if_small(reduce(DataFrame.unionAll, [hot_keys(side, on) for side in sides]).distinct())
+    if hot.isEmpty():
         return l.join(r, on, kind)
-    is_hot = col(on).isin(sorted(hot))
-    parts = [l.where(~is_hot).join(r.where(~is_hot), on, kind), l.where(is_hot).join(r.where(is_hot), on)]
+
+    def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return df.join(hot, on, "left_semi"), df.join(hot, on, "left_anti")
+
+    (l_hot, l_rest), (r_hot, r_rest) = split(l), split(r)
+    parts = [l_rest.join(r_rest, on, kind), l_hot.join(r_hot, on)]
+    # Of hot keys, those that the other side has: no more than there are hot keys.
     if how in ("left", "outer"):
-        parts.append(l.where(col(on).isin(sorted(hot - _held(r, on, hot)))))
+        parts.append(l_hot.join(broadcast_if_small(r_hot.select(on).distinct()), on, "left_anti"))
     if how in ("right", "outer"):
-        parts.append(r.where(col(on).isin(sorted(hot - _held(l, on, hot)))))
+        parts.append(r_hot.join(broadcast_if_small(l_hot.select(on).distinct()), on, "left_anti"))
     return same_type_union(parts)
 
 

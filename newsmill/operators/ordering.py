@@ -7,31 +7,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from newsmill.columns import col, number_or_zero, require
+from newsmill.session import cut
 
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 10_000
-# From so many rows per group Spark has no group limit, and the parts that groups are then ranked in.
+# From so many rows per group Spark has no group limit.
 GROUP_LIMIT = 1000
-SPREAD = 64
 
 
 def keep_first(df: DataFrame, keys: Sequence[Column], order: Sequence[Column], n: int = 1, out: str | None = None) -> DataFrame:
     """The first ``n`` rows per key in the given order, with their rank (from 1) if ``out`` names it.
 
     The rank filter becomes a group limit that runs before the shuffle, so a hot key sends at
-    most ``n`` rows per input task. Spark sets that limit only below ``GROUP_LIMIT`` rows; for more, a
-    key is first ranked in ``SPREAD`` parts, so that no task sorts all rows of a hot one.
+    most ``n`` rows per input task. Spark sets that limit only below ``GROUP_LIMIT`` rows; for more, the
+    rows of a key are first ranked by the task that they come from, so that the parts of a hot key grow
+    in number with the input and no task sorts all of it.
     """
     if n >= GROUP_LIMIT:
-        spread = F.pmod(F.xxhash64(*[c for c in (col(f.name) for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType)))]), F.lit(SPREAD))
-        part = Window.partitionBy(*keys, spread).orderBy(*order)
-        df = df.withColumn("_nm_rank", F.row_number().over(part)).where(F.col("_nm_rank") <= n).drop("_nm_rank")
+        part = Window.partitionBy(*keys, "_nm_task").orderBy(*order)
+        df = df.withColumn("_nm_task", F.spark_partition_id()).withColumn("_nm_rank", F.row_number().over(part)).where(F.col("_nm_rank") <= n).drop("_nm_rank", "_nm_task")
     w = Window.partitionBy(*keys).orderBy(*order)
     name = out or "_nm_rank"
     ranked = df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n)
@@ -68,30 +64,22 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequen
     )
 
 
-def range_bucket(df: DataFrame, order_col: str, buckets: int) -> DataFrame:
-    """Adds ``_nm_range``, which cuts a unique numeric order key into ranges of similar size.
+def position(df: DataFrame, order_col: str, out: str = "position", ranges: int | None = None) -> DataFrame:
+    """Adds the 0-based position of each row over the whole frame, by a unique key.
 
-    The cut points are read once and become constants of the plan, so that a recomputed task
-    places its rows exactly as the lost one did.
+    Rows are dealt to ranges of the key, sorted within and stored, so that a row keeps its place however often it is
+    read. A position is the number of rows in earlier ranges and the place within its own: no window, and a table
+    with one row per range.
     """
-    key = col(order_col).cast("double")
-    keyed = df.withColumn("_nm_key", key)
-    cuts = keyed.approxQuantile("_nm_key", [i / buckets for i in range(1, buckets)], 0.25 / buckets)
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="_nm_key", outputCol="_nm_range").transform(keyed)
-    return ranged.withColumn("_nm_range", F.col("_nm_range").cast("bigint")).drop("_nm_key")
-
-
-def position(df: DataFrame, order_col: str, out: str = "position", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Adds the 0-based position of each row over the whole frame, by a unique numeric key."""
-    rows = df.select(F.count(col(order_col))).first()[0]
-    buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
-    if buckets < 2:
-        # Counted: the whole frame is no larger than one range.
-        return df.withColumn(out, (F.row_number().over(Window.orderBy(col(order_col))) - 1).cast("bigint"))
-    ranged = range_bucket(df, order_col, buckets)
-    placed = prefix_sum(ranged, [], F.col("_nm_range"), [col(order_col)], F.lit(1).cast("bigint"), out)
-    return placed.drop("_nm_range")
+    keyed = (ranges, col(order_col)) if ranges else (col(order_col),)
+    stored = cut(df.repartitionByRange(*keyed).sortWithinPartitions(col(order_col)))
+    # The number of a row holds that of its range above the place within it.
+    placed = stored.withColumn("_nm_at", F.monotonically_increasing_id())
+    placed = placed.withColumns({"_nm_range": F.shiftright("_nm_at", 33), "_nm_at": F.col("_nm_at").bitwiseAND((1 << 33) - 1)})
+    sizes = placed.groupBy("_nm_range").agg(F.count(F.lit(1)).alias("_nm_rows"))
+    earlier = Window.orderBy("_nm_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_nm_range", F.coalesce(F.sum("_nm_rows").over(earlier), F.lit(0)).alias("_nm_offset"))
+    return placed.join(F.broadcast(offsets), "_nm_range").withColumn(out, F.col("_nm_offset") + F.col("_nm_at")).drop("_nm_range", "_nm_at", "_nm_offset")
 
 
 def group_position(df: DataFrame, keys: Sequence[str], order_col: str, out: str = "position", width: int = 100_000) -> DataFrame:
@@ -101,9 +89,9 @@ def group_position(df: DataFrame, keys: Sequence[str], order_col: str, out: str
     return prefix_sum(df, keys, bucket, [col(order_col)], F.lit(1).cast("bigint"), out)
 
 
-def every_kth(df: DataFrame, order_col: str, step: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def every_kth(df: DataFrame, order_col: str, step: int, ranges: int | None = None) -> DataFrame:
     """Rows 0, k, 2k … in the order of ``order_col``."""
     if step <= 0:
         raise ValueError("step must be above zero")
-    placed = position(df, order_col, "_nm_position", rows_per_bucket)
+    placed = position(df, order_col, "_nm_position", ranges)
     return placed.where(F.col("_nm_position") % step == 0).drop("_nm_position")

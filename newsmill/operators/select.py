@@ -22,6 +22,10 @@ DEFAULT_VALUES = {
     "document_type": ["news_api", "json", "pdf", "word", "excel"],
 }
 TEXT_COLUMNS = ["content_text", "overview", "description", "text", "processed_text", "raw_text", "preview_text"]
+# Stands for the main text of a table.
+MAIN_TEXT = "*"
+TERM_ROWS = ["record_id", "title", MAIN_TEXT, "category", "document_type", "source_name"]
+SHORT_ROWS = ["record_id", "title", MAIN_TEXT, "category", "document_type"]
 SEARCHABLE = ["title", "content_text", "overview", "category", "document_type"]
 DEFAULT_YEARS = (2026, 2026)
 
@@ -102,7 +106,7 @@ def with_terms(df: DataFrame, terms: Sequence[str], column: str | None = None) -
     if name is None:
         return nothing(df)
     hit = df.where(tx.has_any_word(as_text(df, name), list(terms)))
-    return select_present(hit, ["record_id", "title", name, "category", "document_type", "source_name"])
+    return select_present(hit, [name if n == MAIN_TEXT else n for n in TERM_ROWS])
 
 
 def topic_rows(df: DataFrame) -> DataFrame:
@@ -129,7 +133,7 @@ def short_texts(df: DataFrame, limit: int = 40, column: str | None = None) -> Da
     name = column or main_text(df)
     if name is None:
         return nothing(df)
-    return select_present(df.where(tx.is_short(as_text(df, name), limit)), ["record_id", "title", name, "category", "document_type"])
+    return select_present(df.where(tx.is_short(as_text(df, name), limit)), [name if n == MAIN_TEXT else n for n in SHORT_ROWS])
 
 
 def flag_short(df: DataFrame, column: str = "content_text", limit: int = 40) -> DataFrame:

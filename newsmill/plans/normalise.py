@@ -15,7 +15,7 @@ from newsmill.operators.ingest import first_text
 # Placeholders, text candidates in order, and the clues to an unknown document type.
 UNTITLED = "Untitled record"
 UNKNOWN = "unknown"
-TEXT_CANDIDATES = ["description", "text", "processed_text", "raw_text", "preview_text", "content", "transcript"]
+TEXT_CANDIDATES = ["description", "text", "processed_text", "raw_text", "preview_text", "content", "transcript", "content_text"]
 TYPE_BY_SUFFIX = {".json": "json", ".pdf": "pdf", ".docx": "word", ".xlsx": "excel"}
 TYPE_BY_PATH = {"news_page": "json", "scrapethissite.com/pages/forms": "scraped_html", "oscars|ajax": "scraped_json_api"}
 TYPE_BY_URL = "news_api"
@@ -85,9 +85,8 @@ def normalise(df: DataFrame, key: str | None = None) -> DataFrame:
     )
     given = F.coalesce(as_text(df, "category"), F.lit(UNKNOWN)) if "category" in df.columns else col("document_type")
     category = F.when(F.lower(given) == UNKNOWN, col("document_type")).otherwise(given)
-    # An existing content_text is a candidate like the others, in last place.
-    body = first_text(base, [*TEXT_CANDIDATES, "content_text"], col("title"))
-    if not present(df, [*TEXT_CANDIDATES, "content_text"]):
+    body = first_text(base, TEXT_CANDIDATES, col("title"))
+    if not present(df, TEXT_CANDIDATES):
         body = col("title")
     bodied = base.withColumns({"category": category, "content_text": body, "published_year": F.year("published_date")})
     sized = bodied.withColumns({"content_length": F.char_length("content_text"), "title_length": F.char_length("title")})

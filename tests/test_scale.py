@@ -68,9 +68,9 @@ def test_null_groups_and_null_values(spark):
 def test_position_over_many_ranges(spark):
     ids = [i * i * 3 + 1 for i in range(500)]
     df = spark.createDataFrame([(i,) for i in reversed(ids)], "id long")
-    found = {r["id"]: r["position"] for r in ordering.position(df, "id", rows_per_bucket=37).collect()}
+    found = {r["id"]: r["position"] for r in ordering.position(df, "id", ranges=37).collect()}
     assert found == {v: i for i, v in enumerate(ids)}
-    kept = sorted(r[0] for r in ordering.every_kth(df, "id", 7, rows_per_bucket=37).collect())
+    kept = sorted(r[0] for r in ordering.every_kth(df, "id", 7, ranges=37).collect())
     assert kept == ids[::7]
     with pytest.raises(ValueError):
         ordering.every_kth(df, "id", 0)
