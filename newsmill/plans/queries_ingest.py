@@ -163,6 +163,35 @@ def _(spark, sf):
     return out.drop("total_chunks", "segments", "transcript_json_path", "transcript_txt_path", "transcript_srt_path")
 
 
+@query(
+    "stored_envelopes", 25,
+    sql="""SELECT role AS source_file, 'conv/' || conv_id || '/' || turn AS source_path, 'video' AS source_type, 'small' AS model, left(role, 2) AS language, 0.5::DOUBLE AS language_probability,
+      length(text)::DOUBLE AS duration_s, turn AS total_chunks, text AS full_text, turn || '-' || turn + 1 || ': ' || text AS segments,
+      'conv/' || conv_id || '/' || turn || '.json' AS transcript_json_path, 'conv/' || conv_id || '/' || turn || '.txt' AS transcript_txt_path, NULL::VARCHAR AS transcript_srt_path,
+      'transcript' AS type, '2026-01-02' AS fetched_on
+    FROM conversations""",
+)
+def _(spark, sf):
+    segment = F.struct(F.col("turn").cast("double").alias("start"), (F.col("turn") + 1).cast("double").alias("end"), "text")
+    transcripts = table(spark, sf, "conversations").select(
+        "conv_id", "turn", F.col("role").alias("source_file"), F.lit("small").alias("model"), F.left("role", F.lit(2)).alias("language"), F.lit(0.5).alias("language_probability"),
+        F.char_length("text").cast("double").alias("duration_s"), F.col("turn").alias("total_chunks"), F.col("text").alias("full_text"), F.array(segment).alias("segments"),
+    )
+    path = F.concat_ws("/", F.lit("conv"), F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    out = ingest.transcript_envelope(transcripts, path, "video", {"json": F.concat(path, F.lit(".json")), "txt": F.concat(path, F.lit(".txt"))})
+    lines = F.transform("segments", lambda s: F.concat(s["start"].cast("int").cast("string"), F.lit("-"), s["end"].cast("int").cast("string"), F.lit(": "), s["text"]))
+    return out.withColumns({"segments": F.array_join(lines, "\n"), "fetched_on": F.lit("2026-01-02")})
+
+
+@query("transcript_exports", 25, sql="SELECT conv_id, regexp_replace(text, '[\\r\\n]', ' ', 'g') AS line, count(*) AS times FROM conversations GROUP BY ALL")
+def _(spark, sf):
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", F.regexp_replace("text", r"[\r\n]", " ").alias("text"))
+    path = scratch_path(spark, "exports")
+    stores.export_lines(turns, path, "conv_id", ["turn"], F.col("text"))
+    lines = spark.read.text(path).withColumnRenamed("value", "line")
+    return lines.groupBy(F.col("conv_id").cast("bigint").alias("conv_id"), "line").agg(F.count(F.lit(1)).alias("times"))
+
+
 def _time_sql(e: str) -> str:
     return f"printf('%02d:%02d:%02d,%03d', CAST(floor({e} / 3600) AS BIGINT), CAST(floor({e} % 3600 / 60) AS BIGINT), CAST(floor({e} % 60) AS BIGINT), CAST(floor(({e} % 1) * 1000) AS BIGINT))"
 
