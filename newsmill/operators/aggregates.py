@@ -188,16 +188,44 @@ def kpi_row(df: DataFrame) -> DataFrame:
     )
 
 
-def value_counts(df: DataFrame, names: Sequence[str], top: int = 15) -> DataFrame:
-    """The ``top`` values of each column with its distinct count, all columns in one pass.
-    NULL is a value in the counts but not in the distinct count."""
-    counts = tall(df, [], [(n, as_text(df, n)) for n in names], "column", "value", "string")
-    counts = counts.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
-    distinct = counts.groupBy("column").agg(F.count("value").alias("nunique"))
+# First characters of a value that are counted along with its fingerprint.
+HEAD = 32
+
+
+def _told_apart(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``column``, ``value``, and its fingerprint as ``a``, ``b`` and ``none`` (whether it is NULL)."""
+    rows = tall(df, [], [(n, as_text(df, n)) for n in names], "column", "value", "string")
+    f = fingerprint(F.col("value"))
+    return rows.select("column", "value", f["a"].alias("a"), f["b"].alias("b"), F.col("value").isNull().alias("none"))
+
+
+_VALUE = ["column", "a", "b", "none"]
+
+
+def _top_values(rows: DataFrame, counts: DataFrame, top: int) -> DataFrame:
+    """``column``, ``value``, ``count`` and ``rank`` of the ``top`` values: the counts say which fingerprints may be
+    among them, then only the values of these are taken from the rows."""
+    level = Window.partitionBy("column").orderBy(F.desc("count"), F.asc("none"), F.asc("head"))
+    leading = counts.withColumn("rank", F.rank().over(level)).where(F.col("rank") <= top).drop("rank", "head")
+    found = rows.join(broadcast_if_small(leading), _VALUE).groupBy(*_VALUE, "count").agg(F.min("value").alias("value"))
     best = Window.partitionBy("column").orderBy(F.desc("count"), F.asc_nulls_last("value"))
-    ranked = counts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("column", "value", "count", "rank")
+
+
+def _value_groups(rows: DataFrame) -> DataFrame:
+    """One row per column and fingerprint with its count and the first characters of the value, which settle most ties."""
+    return rows.groupBy(*_VALUE).agg(F.count(F.lit(1)).alias("count"), F.min(F.left("value", F.lit(HEAD))).alias("head"))
+
+
+def value_counts(df: DataFrame, names: Sequence[str], top: int = 15) -> DataFrame:
+    """The ``top`` values of each column with its distinct count. NULL is a value in the counts but not in the
+    distinct count. Values are counted by fingerprint, so that long texts are not shuffled; only those that may be
+    among the first are taken from the rows afterwards."""
+    rows = _told_apart(df, names)
+    counts = cut(_value_groups(rows))
+    distinct = counts.groupBy("column").agg(F.count_if(~F.col("none")).alias("nunique"))
     # One row per named column.
-    return ranked.join(F.broadcast(distinct), "column").select("column", "value", "count", "rank", "nunique")
+    return _top_values(rows, counts, top).join(F.broadcast(distinct), "column").select("column", "value", "count", "rank", "nunique")
 
 
 def distinct_counts(df: DataFrame, names: Sequence[str] | None = None, relative_error: float | None = None) -> DataFrame:
@@ -248,11 +276,12 @@ def describe_all(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame
     if numbers:
         parts.append(describe_numbers(df, numbers))
     if texts:
-        every = tall(df, [], [(n, col(n)) for n in texts], "column", "value", "string")
-        counts = every.groupBy("column", "value").agg(F.count("value").alias("c"))
-        best = F.min(F.when(F.col("c") > 0, F.struct((-F.col("c")).alias("neg"), F.col("value")))).alias("best")
-        found = counts.groupBy("column").agg(F.sum("c").alias("count"), F.count("value").alias("unique"), best)
-        parts.append(found.select("column", "count", "unique", F.col("best.value").alias("top"), (-F.col("best.neg")).alias("freq")))
+        rows = _told_apart(df, texts)
+        counts = cut(_value_groups(rows))
+        known = counts.where("NOT none")
+        sizes = counts.groupBy("column").agg(F.coalesce(F.sum(F.when(~F.col("none"), F.col("count"))), F.lit(0)).alias("count"), F.count_if(~F.col("none")).alias("unique"))
+        first = _top_values(rows, known, 1).select("column", F.col("value").alias("top"), F.col("count").alias("freq"))
+        parts.append(sizes.join(first, "column", "left").select("column", "count", "unique", "top", "freq"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)

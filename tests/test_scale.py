@@ -1,5 +1,7 @@
 """Order, quantile and join operators against brute force, on small fixtures with a hot group."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -189,3 +191,21 @@ def test_distinct_counts_by_estimate(spark):
     exact = {r["column"]: r["nunique"] for r in agg.distinct_counts(df).collect()}
     near = {r["column"]: r["nunique"] for r in agg.distinct_counts(df, relative_error=0.02).collect()}
     assert exact["id"] == 900 and abs(near["id"] - 900) < 90 and near["g"] == exact["g"] == 8
+
+
+def test_long_values_are_counted_without_moving_them(spark, monkeypatch):
+    from newsmill.operators import aggregates
+
+    long = "x" * 40
+    values = ["b"] * 5 + ["a"] * 5 + [None] * 4 + [long + "2"] * 3 + [long + "1"] * 3 + [long + "3"] * 3 + ["", "", "z"]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v string, i long")
+    counts = Counter(values)
+    want = sorted(counts, key=lambda v: (-counts[v], v is None, v or ""))
+    for top in (1, 2, 3, 4, 5, 20):
+        got = {r["rank"]: (r.value, r["count"], r.nunique) for r in aggregates.value_counts(df, ["v"], top).collect()}
+        assert got == {k + 1: (v, counts[v], len(counts) - 1) for k, v in enumerate(want[:top])}
+    (row,) = aggregates.describe_all(df, ["v"]).collect()
+    assert (row["count"], row.unique, row.top, row.freq) == (len(values) - 4, len(counts) - 1, "a", 5)
+    plan = aggregates._value_groups(aggregates._told_apart(df, ["v"]))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and all("value#" not in line for line in plan.split("\n") if "Exchange" in line)
+    assert aggregates.value_counts(df.limit(0), ["v"]).count() == 0
