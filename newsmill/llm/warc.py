@@ -18,7 +18,7 @@ RESPONSE = ["record_id", "target_uri", "date", "payload_digest", "block"]
 
 # Elements that begin a line, and what is no text.
 _LINE_TAGS = "address|article|aside|blockquote|br|dd|div|dl|dt|footer|h1|h2|h3|h4|h5|h6|header|hr|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
-_DROPPED = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<title\b.*?</title\s*>"
+_DROPPED = (r"(?is)<script\b.*?</script\s*>", r"(?is)<style\b.*?</style\s*>", r"(?s)<!--.*?-->", r"(?is)<title\b.*?</title\s*>")
 
 
 def digest(content: Column) -> Column:
@@ -59,14 +59,25 @@ def payload_of(block: Column) -> Column:
     return F.when(at > 0, F.substr(block, at + 4)).otherwise(F.lit(""))
 
 
+# References that are replaced one after the other, the ampersand last; the others go through a table.
+_COMMON = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&amp;", "&"))
+_OTHER = "&(?!(?:" + "|".join(name[1:-1] for name, _ in _COMMON) + ");)[A-Za-z#]"
+
+
 def decoded(text: Column) -> Column:
-    """Character references as the characters that they stand for, a no-break space as a blank."""
-    return F.when(F.contains(text, F.lit("&")), decode_entities(F.replace(text, F.lit("&nbsp;"), F.lit(" ")))).otherwise(text)
+    """Character references as the characters that they stand for, each decoded once, a no-break space as a blank."""
+    common = text
+    for name, value in _COMMON:
+        common = F.replace(common, F.lit(name), F.lit(value))
+    every = F.when(F.rlike(text, F.lit(_OTHER)), decode_entities(F.replace(text, F.lit("&nbsp;"), F.lit(" ")))).otherwise(common)
+    return F.when(F.contains(text, F.lit("&")), every).otherwise(text)
 
 
 def plain_text(html: Column) -> Column:
     """Text of a page: without scripts, styles, comments, title and tags, one line per block element."""
-    html = F.regexp_replace(F.regexp_replace(html, _DROPPED, " "), r"[ \t\r\n\f]+", " ")
+    for pattern in _DROPPED:
+        html = F.regexp_replace(html, pattern, " ")
+    html = F.regexp_replace(html, r"[ \t\r\n\f]+", " ")
     html = F.regexp_replace(html, rf"(?i)</?(?:{_LINE_TAGS})\b[^>]*>", "\n")
     text = decoded(F.regexp_replace(html, r"<[^>]*>", ""))
     text = F.regexp_replace(F.regexp_replace(text, r"[ \t]+", " "), r" ?\n[ \n]*", "\n")
@@ -143,7 +154,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _sql() -> str:
-    html = f"regexp_replace(regexp_replace(html, '{_DROPPED}', ' ', 'g'), '[ \\t\\r\\n\\f]+', ' ', 'g')"
+    html = "html"
+    for pattern in _DROPPED:
+        html = f"regexp_replace({html}, '{pattern}', ' ', 'g')"
+    html = f"regexp_replace({html}, '[ \\t\\r\\n\\f]+', ' ', 'g')"
     html = f"regexp_replace({html}, '(?i)</?({_LINE_TAGS})\\b[^>]*>', chr(10), 'g')"
     reference = r"'&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});'"
     names = ", ".join(f"'{name}': chr({code})" for name, code in sorted(name2codepoint.items()))
