@@ -73,20 +73,28 @@ def decoded(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), every).otherwise(text)
 
 
-def plain_text(html: Column) -> Column:
-    """Text of a page: without scripts, styles, comments, title and tags, one line per block element."""
+def bare_text(html: Column) -> Column:
+    """A page without scripts, styles, comments, title and tags, one line per block element, references as they are."""
     for pattern in _DROPPED:
         html = F.regexp_replace(html, pattern, " ")
     html = F.regexp_replace(html, r"[ \t\r\n\f]+", " ")
     html = F.regexp_replace(html, rf"(?i)</?(?:{_LINE_TAGS})\b[^>]*>", "\n")
-    text = decoded(F.regexp_replace(html, r"<[^>]*>", ""))
-    text = F.regexp_replace(F.regexp_replace(text, r"[ \t]+", " "), r" ?\n[ \n]*", "\n")
+    return F.regexp_replace(html, r"<[^>]*>", "")
+
+
+def plain_text(bare: Column) -> Column:
+    """Text of a page from :func:`bare_text`."""
+    text = F.regexp_replace(F.regexp_replace(decoded(bare), r"[ \t]+", " "), r" ?\n[ \n]*", "\n")
     return F.regexp_replace(text, r"\A[ \n]+|[ \n]+\z", "")
 
 
-def title_of(html: Column) -> Column:
-    found = decoded(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title", 1))
-    return F.regexp_replace(F.regexp_replace(found, r"[ \t\r\n\f]+", " "), r"\A +| +\z", "")
+def bare_title(html: Column) -> Column:
+    return F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title", 1)
+
+
+def title_of(bare: Column) -> Column:
+    """Title of a page from :func:`bare_title`."""
+    return F.regexp_replace(F.regexp_replace(decoded(bare), r"[ \t\r\n\f]+", " "), r"\A +| +\z", "")
 
 
 def links_of(html: Column) -> Column:
@@ -109,12 +117,14 @@ def derive(responses_: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """
     block = F.coalesce(F.col("block"), F.lit(""))
     split = responses_.select(*[col(k) for k in keep], *[F.col(c) for c in RESPONSE if c != "block"], head_of(block).alias("_nm_head"), payload_of(block).alias("_nm_html"))
+    # Decoding looks at a text several times: as columns of their own the texts are made once a row.
+    split = split.withColumns({"_nm_bare": bare_text(F.col("_nm_html")), "_nm_title": bare_title(F.col("_nm_html"))})
     links = F.transform(links_of(F.col("_nm_html")), lambda u: F.concat(F.lit("outlink: "), u, F.lit(CRLF)))
     source = F.transform(F.split("_nm_head", CRLF, -1), lambda line: F.concat(F.lit("source-header: "), line, F.lit(CRLF)))
-    fields = F.concat(F.array_join(source, ""), F.lit("title: "), title_of(F.col("_nm_html")), F.lit(CRLF), F.array_join(links, ""))
+    fields = F.concat(F.array_join(source, ""), F.lit("title: "), title_of(F.col("_nm_title")), F.lit(CRLF), F.array_join(links, ""))
     kinds = F.array(
         F.struct(F.lit("metadata").alias("record_type"), F.lit("application/warc-fields").alias("content_type"), fields.alias("content")),
-        F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain; charset=utf-8").alias("content_type"), plain_text(F.col("_nm_html")).alias("content")),
+        F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain; charset=utf-8").alias("content_type"), plain_text(F.col("_nm_bare")).alias("content")),
     )
     both = split.withColumn("_nm_kind", F.explode(kinds))
     content = F.col("_nm_kind.content")

@@ -299,6 +299,12 @@ def test_all_character_references_are_decoded(spark):
     assert f"title: {expected}\r\n" in got["metadata"] and "outlink: /x?q=é&r\r\n" in got["metadata"]
 
 
+def test_texts_are_stripped_once_a_row(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>a &amp; b</p>")], "page_id long, url string, html string")
+    plan = warc.derive(warc.responses(pages, "2026-01-01T00:00:00Z"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<script") == 1 and plan.count("<title[^>]*>(.*?)") == 1
+
+
 def test_responses_without_a_body(spark):
     df = spark.createDataFrame([("<urn:uuid:1>", "u", "d", "p", None), ("<urn:uuid:2>", "u", "d", "p", "HTTP/1.1 404 Not Found")], "record_id string, target_uri string, date string, payload_digest string, block string")
     got = {(r.refers_to, r.record_type): r.content for r in warc.derive(df).collect()}
