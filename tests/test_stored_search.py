@@ -101,3 +101,15 @@ def test_only_candidates_are_read(spark, tmp_path):
     assert [r.record_id for r in rows.collect()] == [77]
     assert rows.select(F.input_file_name()).distinct().count() == 1 < len(spark.read.parquet(f"{tmp_path}/index/texts").inputFiles())
     assert "In(record_id" in rows._jdf.queryExecution().executedPlan().toString() or "EqualTo(record_id,77)" in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_postings_are_lists_of_keys_for_a_slice_of_texts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(substrings, "SLICE_BYTES", 4_000)
+    df = spark.range(600).select(F.col("id").alias("record_id"), F.concat(F.lit("common words "), F.col("id")).alias("title")).coalesce(1)
+    substrings.create(df, f"{tmp_path}/index")
+    held = spark.read.parquet(f"{tmp_path}/index/postings")
+    [code] = substrings.codes_of("mon").tolist()
+    keys = [k for r in held.where(F.col("gram") == code).collect() for k in r["keys"]]
+    assert sorted(keys) == list(range(600)) and held.count() < 600 * len("common")
+    assert len(set(substrings.codes_of("a\U0001f600b\0a\U0001f600").tolist())) == 4
+    assert [r.record_id for r in substrings.texts_to_read(spark, f"{tmp_path}/index", "words 599").collect()].count(599) == 1
