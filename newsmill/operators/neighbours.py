@@ -16,8 +16,9 @@ from newsmill.session import cut
 
 # Rows and bytes of the sample that centres are fitted on, rounds of fitting, and the most cells.
 SAMPLE_ROWS, SAMPLE_BYTES, ROUNDS, MAX_CELLS = 20_000, 32 << 20, 6, 1024
-# Vectors of a block, and vectors that are compared with a block in one task.
-BLOCK_ROWS = 4_096
+# Most vectors of a block, and of it in bytes; blocks that small tables are dealt to; vectors that are compared with a
+# block in one task.
+BLOCK_ROWS, BLOCK_BYTES, FEW_BLOCKS, LEAST_ROWS = 16_384, 64 << 20, 32, 1_024
 ASKING_ROWS = 16_384
 # Cosines are ranked by so many digits, so that the order of a sum decides nothing.
 DIGITS = 9
@@ -77,6 +78,28 @@ def reachable(points: np.ndarray, reach: np.ndarray, centres: np.ndarray, radius
     return distances(points, centres) - radius <= reach[:, None] + SLACK
 
 
+def rows_of_block(n: int, width: int) -> int:
+    """How many of ``n`` vectors a block holds. Every asking row is sent to a block once, so that large blocks mean
+    little to shuffle; small tables have smaller ones, for enough tasks."""
+    return max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * width), max(LEAST_ROWS, n // FEW_BLOCKS)))
+
+
+def pack_cells(centres: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
+    """The group of each cell: cells whose centres are near each other, of at most ``most`` rows together. A larger
+    cell is a group of its own."""
+    groups, left = np.zeros(len(counts), np.int64), np.ones(len(counts), bool)
+    at, group, held = 0, 0, 0
+    for _ in range(len(counts)):
+        left[at] = False
+        if held and held + counts[at] > most:
+            group, held = group + 1, 0
+        groups[at], held = group, held + counts[at]
+        if left.any():
+            apart = distances(centres[at : at + 1], centres)[0]
+            at = int(np.argmin(np.where(left, apart, np.inf)))
+    return groups
+
+
 def in_cells(df: DataFrame, centres: np.ndarray, vector: str) -> DataFrame:
     """``df`` with the number of the nearest centre (``cell``) and the distance to it (``centre_distance``)."""
     width = centres.shape[1]
@@ -116,9 +139,9 @@ def _best(asking: pa.Table, members: pa.Table, width: int, k: int) -> tuple[np.n
 def nearest_to_all(df: DataFrame, k: int = 10, key: str = "id", vector: str = "embedding", width: int | None = None, cells: int | None = None) -> DataFrame:
     """``key``, ``rank``, ``neighbour``, ``cosine``: the ``k`` nearest other rows of every row by cosine, ties by key.
 
-    Rows are dealt to cells around centres. Each row first looks at one block of its own cell: the ``k``-th best
-    there is a bound. By the triangle inequality only cells whose nearest point may lie within that bound are
-    looked at after that, block by block, and each of these comparisons passes on ``k`` rows per asking row.
+    Rows are dealt to cells around centres, near cells together to blocks. Each row first looks at its own block: the
+    ``k``-th best there is a bound. By the triangle inequality only blocks with a cell whose nearest point may lie
+    within that bound are looked at after that, and each of these comparisons passes on ``k`` rows per asking row.
     Keys must be unique. Rows without a usable vector of the width (the most frequent one if not given) have no
     neighbours and are none. How much is pruned depends on the data; the result does not.
     """
@@ -135,10 +158,15 @@ def nearest_to_all(df: DataFrame, k: int = 10, key: str = "id", vector: str = "e
     placed = cut(in_cells(rows, centres, "v"))
     # One row per cell.
     stats = {r["cell"]: (r["n"], r["radius"]) for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("centre_distance").alias("radius")).collect()}
-    blocks = {c: -(-count // BLOCK_ROWS) for c, (count, _) in stats.items()}
-    # At most ``MAX_CELLS`` entries.
-    of_cell = F.create_map(*[F.lit(x) for item in blocks.items() for x in item])[F.col("cell")]
-    blocked = placed.withColumn("block", F.pmod(F.xxhash64("key"), of_cell).cast("int"))
+    numbers = np.array(sorted(stats))
+    counts, radius = np.array([stats[c][0] for c in numbers]), np.array([stats[c][1] for c in numbers])
+    most = rows_of_block(n, width)
+    groups = pack_cells(centres[numbers], counts, most)
+    blocks = -(-np.bincount(groups, weights=counts).astype(np.int64) // most)
+    # At most ``MAX_CELLS`` entries each.
+    of_cell = F.create_map(*[F.lit(int(x)) for item in zip(numbers, groups) for x in item])[F.col("cell")]
+    of_group = F.create_map(*[F.lit(int(x)) for item in enumerate(blocks) for x in item])[F.col("cell")]
+    blocked = placed.withColumn("cell", of_cell).withColumn("block", F.pmod(F.xxhash64("key"), of_group).cast("int"))
 
     def bound(table: pa.Table) -> pa.Table:
         who, _, cosines = _best(table, table, width, k)
@@ -149,17 +177,19 @@ def nearest_to_all(df: DataFrame, k: int = 10, key: str = "id", vector: str = "e
         return pa.table({"key": table["key"], "v": table["v"], "reach": pa.array(reach)})
 
     bounded = cut(blocked.groupBy("cell", "block").applyInArrow(bound, f"key {key_type}, v array<float>, reach double"))
-    numbers = np.array(sorted(stats))
-    radius = np.array([stats[c][1] for c in numbers])
+    by_group = np.argsort(groups, kind="stable")
+    starts = np.searchsorted(groups[by_group], np.arange(len(blocks)))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
-                who, where = np.nonzero(reachable(unit_rows(part.column("v"), width), part.column("reach").to_numpy(), centres[numbers], radius))
-                targets = [(w, int(numbers[c]), b) for w, c in zip(who.tolist(), where.tolist()) for b in range(blocks[int(numbers[c])])]
-                take = pa.array([t[0] for t in targets], pa.int64())
-                columns = [part.column("key").take(take), part.column("v").take(take), pa.array([t[1] for t in targets], pa.int32()), pa.array([t[2] for t in targets], pa.int32())]
+                may = reachable(unit_rows(part.column("v"), width), part.column("reach").to_numpy(), centres[numbers], radius)
+                who, where = np.nonzero(np.logical_or.reduceat(may[:, by_group], starts, axis=1))
+                times = blocks[where]
+                block = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                take = pa.array(np.repeat(who, times))
+                columns = [part.column("key").take(take), part.column("v").take(take), pa.array(np.repeat(where, times).astype(np.int32)), pa.array(block.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, names=["key", "v", "cell", "block"])
 
     routed = bounded.mapInArrow(route, f"key {key_type}, v array<float>, cell int, block int")

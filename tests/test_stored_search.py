@@ -113,3 +113,17 @@ def test_postings_are_lists_of_keys_for_a_slice_of_texts(spark, tmp_path, monkey
     assert sorted(keys) == list(range(600)) and held.count() < 600 * len("common")
     assert len(set(substrings.codes_of("a\U0001f600b\0a\U0001f600").tolist())) == 4
     assert [r.record_id for r in substrings.texts_to_read(spark, f"{tmp_path}/index", "words 599").collect()].count(599) == 1
+
+
+def test_near_cells_share_a_block():
+    rnd = np.random.default_rng(3)
+    near = np.repeat(np.eye(4), 5, axis=0) + rnd.normal(size=(20, 4)) * 0.01
+    order = rnd.permutation(20)
+    centres = near[order] / np.linalg.norm(near[order], axis=1, keepdims=True)
+    counts = np.full(20, 10)
+    groups = neighbours.pack_cells(centres, counts, 50)
+    assert len(set(groups)) == 4 and len(set(zip(groups, order // 5))) == 4
+    counts[3] = 900
+    alone = neighbours.pack_cells(centres, counts, 50)
+    assert (alone == alone[3]).sum() == 1 and all(counts[alone == g].sum() <= 50 for g in set(alone) - {alone[3]})
+    assert neighbours.rows_of_block(600_000, 64) == 16_384 and neighbours.rows_of_block(600_000, 8_192) == 1_024
