@@ -43,24 +43,25 @@ def _counted(rows: DataFrame) -> DataFrame:
         documents: dict[tuple[str, str], Counter] = {}
 
         def drained() -> pa.RecordBatch:
-            keys = [(*group, term) for group, found in occurrences.items() for term in (None, *found)]
+            words = [w for found in occurrences.values() for w in (None, *found)]
             n = [c for found in occurrences.values() for c in (0, *found.values())]
             docs = [c for group, found in occurrences.items() for c in (0, *map(documents[group].__getitem__, found))]
-            langs, sources, words = zip(*keys) if keys else ([], [], [])
-            words = [None if w is None else w.decode() for w in words]
+            group = pa.array(np.repeat(np.arange(len(occurrences)), [len(found) + 1 for found in occurrences.values()]), pa.int64())
+            langs, sources = (pa.array([g[k] for g in occurrences], pa.string()).take(group) for k in (0, 1))
+            columns = [langs, sources, pa.array(words, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(docs, pa.int64())]
             occurrences.clear()
             documents.clear()
-            columns = [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(words, pa.string()), pa.array(n, pa.int64()), pa.array(docs, pa.int64())]
             return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
 
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)
                 for lang, source, text in zip(strings(part, "lang"), strings(part, "source"), strings(part, "text")):
-                    found = Counter(terms(text))
+                    found = terms(text)
                     group = lang, source
+                    # Lists and sets are counted in C, a mapping is added key by key.
                     occurrences.setdefault(group, Counter()).update(found)
-                    documents.setdefault(group, Counter()).update(found.keys())
+                    documents.setdefault(group, Counter()).update(set(found))
                 if sum(map(len, occurrences.values())) >= HELD_TERMS:
                     yield drained()
         yield drained()

@@ -3,6 +3,7 @@
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from newsmill.llm import divergence
@@ -73,3 +74,19 @@ def test_query_as_its_sql(spark, folder):
     import __spark_entry__ as entry
 
     assert difference(entry.queries()["op13_source_divergence"](spark, folder), connect(folder), divergence.SQL) is None
+
+
+def test_texts_are_counted_word_by_word_in_c(monkeypatch):
+    class Strict(Counter):
+        def update(self, found=None, **more):
+            assert not isinstance(found, Counter)
+            super().update(found, **more)
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(divergence, "Counter", Strict)
+    batch = pa.RecordBatch.from_pylist([{"text": "é a A", "lang": "en", "source": None}, {"text": "a", "lang": "en", "source": ""}, {"text": None, "lang": None, "source": "s"}])
+    found = {tuple(r.values()) for out in divergence._counted(Rows())(iter([batch])) for r in out.to_pylist()}
+    assert found == {("en", "", None, 0, 0), ("en", "", "é", 1, 1), ("en", "", "a", 3, 2), ("", "s", None, 0, 0)}
