@@ -9,15 +9,14 @@ from newsmill.session import cut
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    both = edges.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
+    least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("b"), F.least("a", "m").alias("m"))
+    return edges.join(least, "b").select("a", F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionAll(least.select("a", F.col("m").alias("b")))
+    return edges.join(least, "a").select(F.inline(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))))
 
 
 def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -31,7 +30,8 @@ def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
 def components(edges: DataFrame) -> DataFrame:
     """``(a, b)`` links to ``(id, component)``, the smallest id reachable; ids without a link are absent.
 
-    Large star and small star in turn: each round hangs the neighbours of an id under the smallest one.
+    Large star and small star in turn: each round hangs the neighbours of an id under the smallest one. A link
+    is kept once, the larger id first; both directions are made where they are needed, without a second read.
     Only minima and joins are used, so that a neighbour list is never gathered, and the rounds grow with
     the logarithm of the longest chain. Every round is written to the shared checkpoint folder.
     """

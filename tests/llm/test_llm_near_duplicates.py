@@ -124,3 +124,12 @@ def test_many_intersections_as_one_by_one():
     assert len(a) > 2048 and many.tolist() == [len(np.intersect1d(sets[x], sets[y])) for x, y in zip(a, b)]
     apart = [np.arange(10, dtype=np.int64) + 10 * k for k in range(80)]
     assert not near.shared_counts(apart, a, b).any()
+
+
+def test_a_round_reads_its_links_without_unions(spark):
+    edges = spark.createDataFrame([(2, 1), (3, 2), (5, 4), (5, 3), (9, 1), (8, 1)], "a long, b long")
+    large = graph._large_star(edges)
+    both = graph._small_star(large.where("a <> b")).where("a <> b").distinct()
+    assert "Union" not in both._jdf.queryExecution().optimizedPlan().toString()
+    assert {tuple(r) for r in large.collect()} == {(2, 1), (3, 1), (5, 2), (5, 4), (9, 1), (8, 1)}
+    assert {tuple(r) for r in both.collect()} == {(2, 1), (3, 1), (5, 2), (4, 2), (9, 1), (8, 1)}
