@@ -77,15 +77,23 @@ def bare_text(html: Column) -> Column:
     """A page without scripts, styles, comments, title and tags, one line per block element, references as they are."""
     for pattern in _DROPPED:
         html = F.regexp_replace(html, pattern, " ")
-    html = F.regexp_replace(html, r"[ \t\r\n\f]+", " ")
+    # A line begins only at an element; runs of blanks are made one in plain_text.
+    for blank in "\t\r\n\f":
+        html = F.replace(html, F.lit(blank), F.lit(" "))
     html = F.regexp_replace(html, rf"(?i)</?(?:{_LINE_TAGS})\b[^>]*>", "\n")
     return F.regexp_replace(html, r"<[^>]*>", "")
 
 
 def plain_text(bare: Column) -> Column:
-    """Text of a page from :func:`bare_text`."""
-    text = F.regexp_replace(F.regexp_replace(decoded(bare), r"[ \t]+", " "), r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(text, r"\A[ \n]+|[ \n]+\z", "")
+    """Text of a page from :func:`bare_text`, line by line, so that most lines need no pattern: no reference
+    goes over the end of a line."""
+
+    def tidy(line: Column) -> Column:
+        text = F.regexp_replace(F.regexp_replace(decoded(line), r"[ \t]+", " "), r" ?\n[ \n]*", "\n")
+        plain = ~(F.contains(line, F.lit("&")) | F.contains(line, F.lit("  ")) | F.contains(line, F.lit("\t")))
+        return F.btrim(F.when(plain, line).otherwise(text), F.lit(" \n"))
+
+    return F.array_join(F.filter(F.transform(F.split(bare, "\n", -1), tidy), lambda line: line != ""), "\n")
 
 
 def bare_title(html: Column) -> Column:

@@ -305,6 +305,19 @@ def test_texts_are_stripped_once_a_row(spark):
     assert plan.count("<script") == 1 and plan.count("<title[^>]*>(.*?)") == 1
 
 
+def test_lines_without_references_or_runs_need_no_pattern(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>a</p>")], "page_id long, url string, html string")
+    plan = warc.derive(warc.responses(pages, "2026-01-01T00:00:00Z"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(split(_nm_bare" in plan
+
+
+def test_blanks_and_lines_of_a_text(spark):
+    html = " \t<p> a \t b&#32;&#10; &#9;\r\nc&nbsp;</p>\f<b>d</b>  <i>e\x0b</i><br>&nbsp;<br>&#13;<li>f&amp;#10;g <p>&#10;"
+    pages = spark.createDataFrame([(1, "u", html), (2, "u", " \n<p>\t</p>"), (3, "u", None)], "page_id long, url string, html string")
+    got = {r.page_id: r.content for r in warc.derive(warc.responses(pages, "d"), keep=["page_id"]).where("record_type = 'conversion'").collect()}
+    assert got == {1: "a b\nc\nd e\x0b\n\r\nf&#10;g", 2: "", 3: ""}
+
+
 def test_responses_without_a_body(spark):
     df = spark.createDataFrame([("<urn:uuid:1>", "u", "d", "p", None), ("<urn:uuid:2>", "u", "d", "p", "HTTP/1.1 404 Not Found")], "record_id string, target_uri string, date string, payload_digest string, block string")
     got = {(r.refers_to, r.record_type): r.content for r in warc.derive(df).collect()}
