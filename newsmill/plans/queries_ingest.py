@@ -188,7 +188,7 @@ def _(spark, sf):
     turns = table(spark, sf, "conversations").select("conv_id", "turn", F.regexp_replace("text", r"[\r\n]", " ").alias("text"))
     path = scratch_path(spark, "exports")
     stores.export_lines(turns, path, "conv_id", ["turn"], F.col("text"))
-    lines = spark.read.text(path).withColumnRenamed("value", "line")
+    lines = stores.exported_lines(spark, path).withColumnRenamed("value", "line")
     return lines.groupBy(F.col("conv_id").cast("bigint").alias("conv_id"), "line").agg(F.count(F.lit(1)).alias("times"))
 
 

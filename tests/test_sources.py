@@ -65,6 +65,25 @@ def test_results_and_export(spark, tmp_path):
     assert "".join(p.read_text() for p in parts) == "a\nb\n"
 
 
+def test_exported_folders_are_listed_by_few_tasks(spark, tmp_path):
+    most = 4 * spark.sparkContext.defaultParallelism
+    folders = max(most, 32) + 8
+    path, listing = str(tmp_path / "txt"), "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    df = spark.range(folders).select(F.col("id").alias("file"), F.lit(0).alias("n"), F.col("id").cast("string").alias("line"))
+    stores.export_lines(df, path, "file", ["n"], F.col("line"))
+    before = spark.conf.get(listing)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        lines = stores.exported_lines(spark, path)
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(name, None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert [tracker.getStageInfo(s).numTasks for s in stages] == [most] and spark.conf.get(listing) == before
+    assert sorted((r.file, r.value) for r in lines.collect()) == [(i, str(i)) for i in range(folders)]
+
+
 def test_table_reset_and_fixed_schema(spark, tmp_path):
     rows = spark.createDataFrame([(1, "T", 2.0)], "record_id int, title string, rating_score double")
     full = rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in stores.METRICS_SCHEMA if f.name not in rows.columns])
