@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsmill.columns import col
@@ -25,6 +27,10 @@ BLOCK_DOCS = 512
 BLOCK_SHINGLES = 400_000
 # Clusters of more blocks than this are first thinned out by comparing every document with one centre per list.
 FEW_BLOCKS = 4
+# Rows of a posting list that are compared with each other in one task; of longer lists, pairs of blocks are.
+LIST_ROWS = 32_768
+# Lists of up to so many rows are compared side by side, longer ones one at a time.
+SHORT_LIST = 256
 
 _SHINGLE = "doc_id bigint, text_key bigint, n_shingles bigint, set_key binary, tokens array<bigint>"
 
@@ -104,8 +110,15 @@ def _with_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
     return per_batch(likely.join(members, "doc_id"), make, schema)
 
 
+def _sketch(coordinates: int) -> list[Column]:
+    """The last four bits of every coordinate, sixteen to a column. Coordinates that agree have them in common."""
+    bits = [F.shiftleft(F.col("tokens")[k].bitwiseAND(15), 4 * (k % 16)) for k in range(coordinates)]
+    return [reduce(Column.bitwiseOR, bits[k : k + 16]).alias(f"bits_{k // 16}") for k in range(0, coordinates, 16)]
+
+
 def postings(heads: DataFrame, matches: int, coordinates: int) -> DataFrame:
-    """Where documents are posted: ``(token, doc_id)``, a token being a coordinate with its value.
+    """Where documents are posted: a row per document with its sketch, the array ``token``, a token being a
+    coordinate with its value, and beside it ``parts``, into how many blocks the list of the token is dealt.
 
     Two signatures that agree in ``matches`` coordinates share one of the ``coordinates - matches + 1``
     rarest tokens of each. So a document is posted under its rarest ones only, and of these only under
@@ -116,7 +129,92 @@ def postings(heads: DataFrame, matches: int, coordinates: int) -> DataFrame:
     counts = every.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     common = every.join(counts, "token").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("common"))
     room = F.lit(coordinates - matches + 1) - (F.lit(coordinates) - F.size("common"))
-    return common.select("doc_id", F.explode(F.slice("common", F.lit(1), F.greatest(room, F.lit(0)))).alias("t")).select("doc_id", F.col("t.token").alias("token"))
+    rare = common.where(room > 0).select("doc_id", F.slice("common", F.lit(1), room).alias("rare"))
+    parts = F.transform("rare", lambda t: F.ceil(t["n"] / LIST_ROWS).cast("int")).alias("parts")
+    sketched = heads.select("doc_id", "n_shingles", *_sketch(coordinates))
+    return rare.join(sketched, "doc_id").select(*sketched.columns, F.col("rare.token").alias("token"), parts)
+
+
+def _alike(sizes: np.ndarray, bits: list[np.ndarray], a, b, least: int, percent: int) -> np.ndarray:
+    """Whether the sketches of rows ``a`` and ``b`` differ in ``least`` coordinates at most and their sizes allow similarity."""
+    differ = np.zeros(len(b), np.int64)
+    for word in bits:
+        x = word[a] ^ word[b]
+        x |= x >> np.uint64(1)
+        x |= x >> np.uint64(2)
+        differ += np.bitwise_count(x & np.uint64(0x1111111111111111))
+    return (differ <= least) & (100 * np.minimum(sizes[a], sizes[b]) >= percent * np.maximum(sizes[a], sizes[b]))
+
+
+def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of ``n`` rows the first one that it is connected with over the links ``a[k]``, ``b[k]``."""
+    label = np.arange(n)
+    while (label[a] != label[b]).any():
+        one, other = label[a], label[b]
+        np.minimum.at(label, np.maximum(one, other), np.minimum(one, other))
+        while (label[label] != label).any():
+            label = label[label]
+    return label
+
+
+def connected(lists: np.ndarray, sizes: np.ndarray, bits: list[np.ndarray], least: int, percent: int) -> np.ndarray:
+    """For each row, ordered by list, the first of its list that it is connected with over rows with like sketches."""
+    n = len(lists)
+    edges = np.flatnonzero(np.diff(lists, prepend=lists[:1] - 1, append=lists[-1:] + 1)) if n else np.zeros(1, np.int64)
+    lengths = np.diff(edges)
+    short = np.repeat(lengths <= SHORT_LIST, lengths)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    at, step = np.flatnonzero(short), 1
+    while len(at := at[at + step < n]) and len(at := at[lists[at] == lists[at + step]]):
+        good = at[_alike(sizes, bits, at, at + step, least, percent)]
+        found.append((good, good + step))
+        step += 1
+    for k in np.flatnonzero(lengths > SHORT_LIST):
+        rest = np.arange(edges[k], edges[k + 1])
+        while len(rest):  # what is reached from the first row that is left
+            seed, queue, rest = rest[0], [rest[0]], rest[1:]
+            while queue and len(rest):
+                good = _alike(sizes, bits, queue.pop(), rest, least, percent)
+                queue += (new := rest[good]).tolist()
+                found.append((np.full(len(new), seed), new))
+                rest = rest[~good]
+    if not found:
+        return np.arange(n)
+    return _labels(n, *(np.concatenate(side) for side in zip(*found)))
+
+
+def candidates(posted: DataFrame, matches: int, percent: int, coordinates: int) -> DataFrame:
+    """Links ``(a, b)`` that connect all documents of a posting list whose sketches agree in ``matches`` coordinates,
+    one a row at most, to the smallest id. Sharing the token of a list by chance links nothing.
+
+    The rows of a list stand in sequence in one task, those of a list in several parts with those of another part.
+    """
+    words = [c for c in posted.columns if c.startswith("bits_")]
+    rows = posted.select("doc_id", "n_shingles", *words, F.inline(F.arrays_zip("token", "parts")))
+    part = F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int").alias("part")
+    pairs = rows.select("*", part, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    key = F.when(F.col("parts") == 1, F.col("token")).otherwise(F.xxhash64("token", F.least("part", "other"), F.greatest("part", "other")))
+    dealt = pairs.select(key.alias("list"), "doc_id", "n_shingles", *words).repartition("list").sortWithinPartitions("list", "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(rows: list[np.ndarray]) -> pa.RecordBatch:
+            lists, ids, sizes, *bits = rows
+            first = connected(lists, sizes, [w.view(np.uint64) for w in bits], coordinates - matches, percent)
+            linked = first != np.arange(len(first))
+            return pa.RecordBatch.from_arrays([pa.array(ids[linked], pa.int64()), pa.array(ids[first[linked]], pa.int64())], names=["a", "b"])
+
+        held: list[np.ndarray] = []
+        for batch in batches:
+            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            held = [np.concatenate(c) for c in zip(held, new)] if held else new
+            whole = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last list may go on
+            if whole:
+                yield found([c[:whole] for c in held])
+                held = [c[whole:].copy() for c in held]
+        if held:
+            yield found(held)
+
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
 def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
@@ -216,14 +314,15 @@ def _starred(lists: DataFrame) -> DataFrame:
 def links(docs: DataFrame, heads: DataFrame, words: int, percent: int, coordinates: int, matches: int) -> DataFrame:
     """Links ``(a, b)`` between documents of different shingle sets, enough to connect all that are similar.
 
-    Documents that posting lists connect form a cluster; all similar pairs lie within clusters, and small
-    clusters are compared at once. In a large one every document is first compared with the smallest one
-    of each of its lists, which connects most of a group of copies in a pass that is linear in its size.
-    Documents of lists that hold more than one of these groups after that are compared by blocks, leaving
-    out pairs within a group.
+    Documents of a posting list with like sketches are connected, and what is connected forms a cluster; all
+    similar pairs lie within clusters, and small clusters are compared at once. Documents that share values by
+    chance are in no cluster, however many such lists there are in a large table. In a large cluster every
+    document is first compared with the smallest one of each of its lists within the cluster, which connects
+    most of a group of copies in a pass that is linear in its size. Documents of lists that hold more than one
+    of these groups after that are compared by blocks, leaving out pairs within a group.
     """
-    lists = cut(postings(heads, matches, coordinates))
-    clusters = components(_starred(lists)).withColumnsRenamed({"id": "doc_id", "component": "cluster"})
+    posted = cut(postings(heads, matches, coordinates))
+    clusters = components(candidates(posted, matches, percent, coordinates)).withColumnsRenamed({"id": "doc_id", "component": "cluster"})
     members = cut(_in_blocks(clusters.join(heads, "doc_id")))
     small = members.where(F.col("blocks") <= FEW_BLOCKS)
     near = cut(_compared(_with_sets(docs, small, words).withColumn("component", F.col("doc_id")), matches, percent))
@@ -231,7 +330,8 @@ def links(docs: DataFrame, heads: DataFrame, words: int, percent: int, coordinat
     if large.isEmpty():
         return near
     known = cut(_with_sets(docs, large.drop("blocks"), words))
-    crowded = lists.join(large.select("doc_id"), "doc_id", "left_semi")
+    lists = posted.join(large.select("doc_id", "cluster").distinct(), "doc_id").select("doc_id", "cluster", F.explode("token").alias("token"))
+    crowded = lists.select(F.xxhash64("token", "cluster").alias("token"), "doc_id")
     star = cut(_confirmed(_starred(crowded).where("a <> b"), known, matches, percent))
     # The smallest centre that a document is linked with stands for what is connected already.
     label = star.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "doc_id")

@@ -133,3 +133,44 @@ def test_a_round_reads_its_links_without_unions(spark):
     assert "Union" not in both._jdf.queryExecution().optimizedPlan().toString()
     assert {tuple(r) for r in large.collect()} == {(2, 1), (3, 1), (5, 2), (5, 4), (9, 1), (8, 1)}
     assert {tuple(r) for r in both.collect()} == {(2, 1), (3, 1), (5, 2), (4, 2), (9, 1), (8, 1)}
+
+
+def test_values_shared_by_chance_form_no_cluster(spark, monkeypatch):
+    """Passages in ever other company: each document shares rare values with others and is like none, but for two copies."""
+    rnd = random.Random(3)
+    passages = [" ".join(f"p{k}w{j}" for j in range(9)) for k in range(60)]
+    docs = [(i, " ".join(rnd.sample(passages, 10))) for i in range(120)]
+    docs += [(200 + i, docs[i][1] + " end") for i in range(2)]
+    labels, _ = brute_components(docs, 3, 85)
+    sent, compared = [], near._compared
+    monkeypatch.setattr(near, "_compared", lambda members, *limits: sent.append(members.count()) or compared(members, *limits))
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=3, percent=85).collect()
+    assert {r.doc_id: r.component_id for r in got} == labels
+    assert labels[200] == 0 and labels[201] == 1 and sent == [4]
+
+
+def test_lists_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(near, "LIST_ROWS", 8)
+    docs = corpus(seed=6)
+    labels, _ = brute_components(docs, 3, 85)
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=3, percent=85).collect()
+    assert {r.doc_id: r.component_id for r in got} == labels
+
+
+@pytest.mark.parametrize("short", [2, 20, 256])
+def test_rows_of_a_list_are_connected_over_like_sketches(monkeypatch, short):
+    monkeypatch.setattr(near, "SHORT_LIST", short)
+    rnd = np.random.default_rng(4)
+    lists, nibbles, sizes = np.sort(rnd.integers(-9, 9, 300)), rnd.integers(0, 16, (300, 20)), rnd.integers(80, 110, 300)
+    nibbles[:, :14] = rnd.integers(0, 2, (300, 1))  # two groups in a list, whose other coordinates differ
+    words = [sum(nibbles[:, c].astype(np.uint64) << np.uint64(4 * (c % 16)) for c in range(k, min(20, k + 16))) for k in (0, 16)]
+    parent = list(range(300))
+    for a in range(300):
+        for b in range(a):
+            alike = (nibbles[a] == nibbles[b]).sum() >= 16 and 100 * min(sizes[a], sizes[b]) >= 85 * max(sizes[a], sizes[b])
+            if lists[a] == lists[b] and alike and parent[a] != parent[b]:
+                one, other = sorted((parent[a], parent[b]))
+                parent = [one if p == other else p for p in parent]
+    got = near.connected(lists, sizes, words, 4, 85)
+    assert got.tolist() == parent and 50 < len(set(parent)) < 300
+    assert near.connected(lists[:0], sizes[:0], [w[:0] for w in words], 4, 85).tolist() == []
